@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontam, simhash
+from . import decontam, fingerprint, linededup, mixing, simhash
 
 QUERIES = {
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
+    "op4_mixing_sources": mixing.op4_mixing_sources,
     "op7_benchmark_decontamination": decontam.op7_benchmark_decontamination,
+    "op8_line_dedup": linededup.op8_line_dedup,
+    "op9_document_fingerprints": fingerprint.op9_document_fingerprints,
 }
 
 ORACLES = {
+    "op4_mixing_sources": mixing.ORACLE,
     "op7_benchmark_decontamination": decontam.ORACLE,
+    "op8_line_dedup": linededup.ORACLE,
 }
