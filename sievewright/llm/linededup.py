@@ -63,6 +63,6 @@ WITH p AS (SELECT row_number() OVER () AS rid, doc_id, source, text, coalesce('s
 h AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 b AS (SELECT host, list(line) AS lines FROM (SELECT host, line, count(DISTINCT rid) AS n FROM (SELECT rid, host, trim(unnest(parts), ' ') AS line FROM p) WHERE line <> '' GROUP BY host, line) JOIN h USING (host)
   WHERE n >= 10 AND n > pages * 0.1 GROUP BY host),
-k AS (SELECT doc_id, source, text, parts, CASE WHEN lines IS NULL THEN parts ELSE list_filter(parts, x -> trim(x, ' ') = '' OR NOT list_contains(lines, trim(x, ' '))) END AS kept FROM p LEFT JOIN b USING (host))
+k AS (SELECT doc_id, source, text, parts, CASE WHEN lines IS NULL THEN parts ELSE list_filter(parts, lambda x: trim(x, ' ') = '' OR NOT list_contains(lines, trim(x, ' '))) END AS kept FROM p LEFT JOIN b USING (host))
 SELECT doc_id, source, array_to_string(kept, chr(10)) AS text, length(array_to_string(kept, chr(10))) AS n_chars, CAST(coalesce(len(parts) - len(kept), 0) AS BIGINT) AS n_dropped FROM k
 """
