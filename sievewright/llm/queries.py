@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontam, fingerprint, langid, linededup, lmscore, mixing, simhash
+from . import decontam, fingerprint, htmlextract, langid, linededup, lmscore, mixing, simhash, tokencount
 
 QUERIES = {
     "op2_language_id": langid.op2_language_id,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op4_mixing_sources": mixing.op4_mixing_sources,
+    "op5_token_counts": tokencount.op5_token_counts,
+    "op6_html_extraction": htmlextract.op6_html_extraction,
     "op7_benchmark_decontamination": decontam.op7_benchmark_decontamination,
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_document_fingerprints": fingerprint.op9_document_fingerprints,
