@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def host_key(column: Column) -> Column:
     """A text key that keeps null apart from every string."""
     return F.when(column.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), column))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 50_000) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows or more, from sorted batches, that no group of equal keys crosses."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        last = np.ones(n, bool)
+        for key in keys:
+            column = table[key].combine_chunks().to_numpy()
+            last &= column == column[-1]
+        cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        if cut:
+            yield table.slice(0, cut)
+        held, n = table.slice(cut).combine_chunks().to_batches(), n - cut
+    if n:
+        yield pa.Table.from_batches(held)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontam, fingerprint, htmlextract, langid, linededup, lmscore, mixing, simhash, tokencount
+from . import decontam, fingerprint, htmlextract, langid, linededup, lmscore, mixing, simhash, substring, tokencount
 
 QUERIES = {
+    "op1_substring_dedup": substring.op1_substring_dedup,
     "op2_language_id": langid.op2_language_id,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op4_mixing_sources": mixing.op4_mixing_sources,
