@@ -123,7 +123,8 @@ def with_next(rows: DataFrame, ranges: int | None = None) -> tuple[DataFrame, Da
     least = ranged.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id")).alias("least"))
     order = Window.orderBy("range")
     follows = least.select("range", "least", F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy())).alias("previous"))
-    first = ranged.join(follows, "range").where(F.col("doc_id").eqNullSafe(F.col("least.doc_id")))
+    # one row for each range, of which there are ``n`` at most
+    first = ranged.join(F.broadcast(follows), "range").where(F.col("doc_id").eqNullSafe(F.col("least.doc_id")))
     heads = first.groupBy(F.col("previous").alias("range")).agg(F.min("text").alias("head"))
     place = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     placed = ranged.select("*", F.row_number().over(place).alias("at"), F.lead("text").over(place).alias("following"))
