@@ -4,7 +4,705 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from . import schemas as S
+from .functions import arrays, code, crypto, json, text
+from .functions import patterns as P
+from .operators import dedupe, evaluate, fsm, journal, ordering, runs, validate
+from .streaming import assemble
+from .streaming import runs as stream_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+KEY = "k" * 128
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+# ---------------------------------------------------------------- views of the tables
+
+
+def doc_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as samples: the language asks, the source is the input, the text the output."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("seq"), F.col("lang").alias("instruction"), F.col("source").alias("input"), F.col("text").alias("output"))
+
+
+TASKS = ["bug_fixing", "unit_test_generation", "code_explanation", "code_completion", "refactoring", "algorithm_implementation", "documentation", "code_review", "other"]
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a user's turn and the assistant's next."""
+    talk = table(spark, sf_dir, "conversations")
+    after = Window.partitionBy("conv_id").orderBy("turn")
+    paired = talk.select("conv_id", "turn", "role", F.col("text").alias("input"), F.lead("role").over(after).alias("next_role"), F.lead("text").over(after).alias("output"))
+    task = F.element_at(F.array(*map(F.lit, TASKS)), (F.pmod("conv_id", F.lit(len(TASKS))) + 1).cast("int"))
+    return paired.where("role = 'user' and next_role = 'assistant'").select("conv_id", "turn", "input", "output", task.alias("task_type"))
+
+
+SQL_TURNS = f"""turns AS (SELECT conv_id, turn, input, output, ([{", ".join(map(quoted, TASKS))}])[conv_id % {len(TASKS)} + 1] AS task_type FROM (
+  SELECT conv_id, turn, role, text AS input, lead(role) OVER w AS next_role, lead(text) OVER w AS output FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'user' AND next_role = 'assistant')"""
+
+#: Event types of the tables as events of a journal: (type, event type, stage, machine event).
+EVENT_KINDS = [("signup", "pipeline_start", None, "START_FULL"), ("view", "stage_start", "validate", "STAGE_COMPLETE"), ("click", "stage_start", "train", "ROUND_COMPLETE"), ("error", "pipeline_error", None, "ERROR"), ("purchase", "stage_end", "validate", "PIPELINE_COMPLETE")]
+
+
+def journal_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a journal: a user is a run, the event's id its place."""
+    events = table(spark, sf_dir, "events")
+
+    def kind(i: int) -> Column:
+        return F.coalesce(*(F.when(F.col("event_type") == k[0], F.lit(k[i])) for k in EVENT_KINDS))
+
+    return events.select(
+        F.col("user_id").cast("string").alias("run_id"),
+        F.col("event_id").alias("seq"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+        (F.pmod("event_id", F.lit(5)) + 1).cast("int").alias("round"),
+        kind(1).alias("event_type"),
+        kind(2).alias("stage"),
+        kind(3).alias("event"),
+        F.col("event_type").alias("key"),
+        "value",
+        "props",
+    )
+
+
+def sql_case(i: int) -> str:
+    return "CASE event_type " + " ".join(f"WHEN {quoted(k[0])} THEN {quoted(k[i])}" for k in EVENT_KINDS if k[i]) + " END"
+
+
+SQL_JOURNAL = f"""j AS (SELECT CAST(user_id AS VARCHAR) AS run_id, event_id AS seq, ts AS event_time, CAST(event_id % 5 + 1 AS INTEGER) AS round,
+  {sql_case(1)} AS event_type, {sql_case(2)} AS stage, {sql_case(3)} AS event, event_type AS key, value, props FROM events)"""
+
+SQL_HITS = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({{0}}, {quoted(p)}) THEN {quoted('{1}:' + kind)} END" for p, kind in P.SECRETS) + "], lambda x: x IS NOT NULL)"
+
+
+def sql_hits(column: str, label: str) -> str:
+    return SQL_HITS.replace("{0}", column).replace("{1}", label)
+
+
+def sql_redacted(column: str) -> str:
+    out = f"regexp_replace({column}, {quoted(P.ANSI_ESCAPE)}, '', 'g')"
+    for pattern, placeholder in P.REDACTIONS:
+        out = f"regexp_replace({out}, {quoted('(?i)' + pattern)}, {quoted(placeholder)}, 'g')"
+    return out
+
+
+# ---------------------------------------------------------------- validation
+
+SQL_REASON = f"""checked AS (SELECT doc_id AS seq, source, CASE WHEN len({sql_hits("text", "output")}) > 0 THEN 'secret'
+  WHEN length(text) > 2048 THEN 'length' WHEN length(text) < 10 THEN 'length' END AS reason FROM documents)"""
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.with_reason(doc_samples(spark, sf_dir), validate.Gate(semantic=False))
+
+
+@query(f"WITH {SQL_REASON} SELECT source, count(*) FILTER (WHERE reason IS NULL) AS accepted, count(*) FILTER (WHERE reason IS NOT NULL) AS rejected FROM checked GROUP BY source")
+def clean_accept_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = _checked(spark, sf_dir)
+    return checked.groupBy(F.col("input").alias("source")).agg(F.count_if(F.col("reject_reason").isNull()).alias("accepted"), F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+
+
+@query(f"WITH {SQL_REASON} SELECT reason, count(*) AS n FROM checked WHERE reason IS NOT NULL GROUP BY reason")
+def reject_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.reason_histogram(_checked(spark, sf_dir))
+
+
+@query(f"SELECT doc_id, array_to_string({sql_hits('text', 'output')}, ',') AS hits FROM documents WHERE len({sql_hits('text', 'output')}) > 0")
+def secret_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = doc_samples(spark, sf_dir).select(F.col("seq").alias("doc_id"), validate.secret_hits(["output"]).alias("hits"))
+    return hits.where(F.size("hits") > 0).select("doc_id", F.array_join("hits", ",").alias("hits"))
+
+
+SQL_NAME = "regexp_extract(input, 'def\\s+(\\w+)\\s*\\(', 1)"
+SQL_PROSE = "length(regexp_replace(regexp_replace(output, '(?s)```.*?```', '', 'g'), '^\\s+|\\s+$', '', 'g'))"
+SQL_LOST = f"({SQL_NAME} <> '' AND NOT contains(output, {SQL_NAME}))"
+
+
+@query(
+    f"""WITH {SQL_TURNS} SELECT conv_id, turn, CASE
+  {" ".join(f"WHEN contains(output, {quoted(p)}) THEN {quoted('contains_placeholder: ' + p)}" for p in P.PLACEHOLDERS)}
+  WHEN task_type = 'bug_fixing' THEN CASE WHEN {SQL_LOST} THEN 'missing_original_function: ' || {SQL_NAME} WHEN {SQL_PROSE} < 20 THEN 'missing_explanation' WHEN NOT contains(output, '```') THEN 'missing_code_block' END
+  WHEN task_type = 'unit_test_generation' THEN CASE WHEN NOT contains(lower(output), 'pytest') THEN 'missing_pytest' WHEN NOT contains(output, 'def test_') THEN 'missing_test_case' WHEN {SQL_LOST} THEN 'missing_reference_to_' || {SQL_NAME} END
+  WHEN task_type = 'code_explanation' THEN CASE WHEN {SQL_PROSE} < 50 THEN 'explanation_too_short' WHEN {SQL_LOST} THEN 'explanation_missing_identifier: ' || {SQL_NAME} END
+  WHEN task_type = 'code_completion' THEN CASE WHEN {SQL_LOST} THEN 'completion_missing_function: ' || {SQL_NAME} END
+  WHEN task_type = 'refactoring' THEN CASE WHEN {SQL_LOST} THEN 'refactor_missing_function: ' || {SQL_NAME} END
+  WHEN task_type = 'algorithm_implementation' THEN CASE WHEN NOT contains(output, '```') THEN 'algorithm_missing_code' END
+  WHEN task_type = 'documentation' THEN CASE WHEN NOT contains(output, '\"\"\"') AND NOT contains(output, '''''''') THEN 'missing_docstring' WHEN {SQL_LOST} THEN 'documentation_missing_original_function: ' || {SQL_NAME} END
+  WHEN task_type = 'code_review' THEN CASE WHEN {SQL_PROSE} < 50 THEN 'review_too_short' WHEN {SQL_LOST} THEN 'review_missing_reference: ' || {SQL_NAME} END
+  END AS verdict FROM turns"""
+)
+def semantic_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turns(spark, sf_dir)
+    return rows.select("conv_id", "turn", validate.semantic_verdict(F.col("task_type"), F.lit("model"), F.col("input"), F.col("output")).alias("verdict"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN NOT list_contains(json_keys(CAST(props AS JSON)), 'k') THEN 'missing: k' WHEN len(json_keys(CAST(props AS JSON))) > 1 THEN 'unknown' END AS violation,
+  json_type(CAST(props AS JSON), '$.k') = 'VARCHAR' AS text_key FROM events"""
+)
+def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", F.substring_index(validate.key_violation(F.col("props"), ["k"]), "unknown:", 1).alias("violation"), validate.all_strings(F.col("props"), ["k"]).alias("text_key"))
+
+
+@query("SELECT page_id, regexp_matches(html, '(?i)assignment|homework|course work|lab report|university|college|school project') AS homework, CASE WHEN regexp_matches(url, '\\.([^./?#]+)$') THEN true ELSE false END AS has_extension FROM pages")
+def repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", text.homework(F.col("html")).alias("homework"), F.col("url").rlike(r"\.([^./?#]+)$").alias("has_extension"))
+
+
+@query(
+    """WITH e AS (SELECT user_id % 20 AS repo, CASE event_type WHEN 'view' THEN 'tests/a.py' WHEN 'click' THEN 'src/b.cpp' WHEN 'error' THEN '.github/workflows/ci.yml' WHEN 'signup' THEN 'package.json' ELSE 'main.cc' END AS path FROM events WHERE user_id % 7 <> 0)
+SELECT repo, bool_or(path = 'tests/a.py') AS python, bool_or(path = 'main.cc') AS cpp, bool_or(path = '.github/workflows/ci.yml') AS github, bool_or(path = 'package.json') AS node FROM e GROUP BY repo"""
+)
+def repo_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.when(F.col("event_type") == "view", "tests/a.py").when(F.col("event_type") == "click", "src/b.cpp").when(F.col("event_type") == "error", ".github/workflows/ci.yml").when(F.col("event_type") == "signup", "package.json").otherwise("main.cc")
+    return validate.repo_hints(table(spark, sf_dir, "events").where("user_id % 7 <> 0").select((F.col("user_id") % 20).alias("repo"), path.alias("path")))
+
+
+@query()
+def code_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents made to answers with a code block that compiles for even ids only."""
+    docs = doc_samples(spark, sf_dir)
+    block = F.concat(F.lit("```python\ndef answer():\n    return "), F.when(F.col("seq") % 2 == 0, F.col("seq").cast("string")).otherwise("(1"), F.lit("\n```\n"), F.col("output"))
+    return validate.code_gate(docs.withColumn("output", block)).select("seq", "test_result.passed", "test_result.reason", "test_result.blocks_tested")
+
+
+@query(
+    """WITH r AS (SELECT doc_id AS seq, text, instr(text, 'e') AS first_e FROM documents), h AS (SELECT seq, CASE WHEN seq % 3 = 0 THEN NULL ELSE sha256('{"k":' || CAST(seq % 50 AS VARCHAR) || '}') END AS hash FROM r)
+SELECT seq, CASE WHEN hash IS NULL THEN 'raw' WHEN row_number() OVER (PARTITION BY hash ORDER BY seq) = 1 THEN 'clean' ELSE 'duplicate' END AS status FROM h"""
+)
+def response_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_samples(spark, sf_dir)
+    answer = F.when(F.col("seq") % 3 == 0, F.lit("no object {")).otherwise(F.concat(F.lit('So: {"k":'), (F.col("seq") % 50).cast("string"), F.lit("} and more")))
+    return validate.route_responses(docs.select("seq", answer.alias("response"))).select("seq", "status")
+
+
+# ---------------------------------------------------------------- text functions
+
+
+@query(f"WITH r AS (SELECT doc_id, {sql_redacted('text')} AS t FROM documents) SELECT doc_id, CASE WHEN length(t) > 500 THEN substr(t, 1, 497) || '...' ELSE t END AS redacted FROM r")
+def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.truncate(text.redact(F.col("text")), text.MESSAGE_LENGTH).alias("redacted"))
+
+
+@query(
+    """SELECT doc_id, CASE WHEN length(text) > 100 THEN substr(text, 1, 99) || '…' ELSE text END AS shortened, CAST(length(text) // 4 AS BIGINT) AS tokens,
+  CASE WHEN contains(lower(text), 'timeout') THEN 'retryable' ELSE 'fatal' END AS failure FROM documents WHERE text <> '' AND NOT regexp_matches(lower(text), '429|502|503|504|limit|session not found|too many|unavailable|gateway|timed out')"""
+)
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("text <> ''").where(~F.lower("text").rlike("429|502|503|504|limit|session not found|too many|unavailable|gateway|timed out"))
+    return docs.select("doc_id", text.shorten(F.col("text"), 100).alias("shortened"), text.token_estimate(F.length("text")).alias("tokens"), text.error_class(F.col("text")).alias("failure"))
+
+
+@query(
+    f"""WITH {SQL_TURNS} SELECT conv_id, turn, 'Instruction: ' || task_type || chr(10) || chr(10) || CASE WHEN turn % 4 = 0 THEN 'Input: ' || input || chr(10) || chr(10) ELSE '' END || 'Output: ' || output AS prompt,
+  'Instruction: ' || task_type || chr(10) || chr(10) || input || chr(10) || chr(10) || 'Output:' AS asked, trim(output) AS answer FROM turns"""
+)
+def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turns(spark, sf_dir)
+    given = F.when(F.col("turn") % 4 == 0, F.col("input")).otherwise("")
+    prompt = text.training_prompt(F.col("task_type"), given, F.col("output"))
+    return rows.select("conv_id", "turn", prompt.alias("prompt"), text.eval_prompt(F.col("task_type"), F.col("input")).alias("asked"), F.trim(text.answer_of(F.concat(F.lit("x Output: "), F.col("output")))).alias("answer"))
+
+
+SQL_WORDS = "list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '')"
+
+
+@query(
+    f"""WITH w AS (SELECT doc_id, {SQL_WORDS} AS ws FROM documents), c AS (SELECT doc_id, max(n) AS most FROM (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM w) GROUP BY doc_id, word) GROUP BY doc_id)
+SELECT doc_id, round(CASE WHEN len(ws) > 10 THEN most / len(ws) ELSE 0.0 END, 9) AS ratio FROM w LEFT JOIN c USING (doc_id)"""
+)
+def word_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(text.repetition_ratio(F.col("text")), 9).alias("ratio"))
+
+
+SQL_ERRORS = " OR ".join(f"contains(lower(text), {quoted(w)})" for w in P.ERROR_WORDS)
+SQL_CONTENT = "length(regexp_replace(text, '\\s+', '', 'g')) > 0"
+
+
+@query(
+    f"""SELECT doc_id, {SQL_CONTENT} AS has_content, CAST(length(text) AS INTEGER) AS output_length, CAST(len({SQL_WORDS}) AS INTEGER) AS word_count, CAST(len(string_split(text, chr(10))) AS INTEGER) AS line_count,
+  contains(text, '```') AS has_code_blocks, regexp_matches(text, '(?m)^#{{1,6}}\\s') AS has_markdown, ({SQL_ERRORS}) AS has_error_indicators, {SQL_CONTENT} AND NOT ({SQL_ERRORS}) AS format_compliant FROM documents"""
+)
+def format_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = table(spark, sf_dir, "documents").select("doc_id", text.format_checks(F.col("text")).alias("x"))
+    return checks.select("doc_id", *(F.col("x")[c].alias(c) for c in ("has_content", "output_length", "word_count", "line_count", "has_code_blocks", "has_markdown", "has_error_indicators", "format_compliant")))
+
+
+@query(
+    """WITH a AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'x ```json' || chr(10) || props || '``` y' WHEN 1 THEN 'see ' || props || ' there' WHEN 2 THEN '[1, ' || CAST(event_id AS VARCHAR) || ']' ELSE 'none {' END AS t FROM events)
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'json_code_block' WHEN 1 THEN 'json_object' WHEN 2 THEN 'json_full' ELSE 'not_json' END AS json_method,
+  CASE WHEN event_id % 4 < 2 THEN regexp_extract(t, '\\{[^{}]*\\}') END AS object FROM a"""
+)
+def json_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id") % 4
+    answer = F.when(k == 0, F.concat(F.lit("x ```json\n"), "props", F.lit("``` y"))).when(k == 1, F.concat(F.lit("see "), "props", F.lit(" there"))).when(k == 2, F.concat(F.lit("[1, "), F.col("event_id").cast("string"), F.lit("]"))).otherwise("none {")
+    answers = table(spark, sf_dir, "events").select("event_id", answer.alias("t"))
+    return answers.select("event_id", json.json_method(F.col("t")).alias("json_method"), json.first_object(F.col("t")).alias("object"))
+
+
+@query("SELECT doc_id, regexp_extract(text, 'def\\s+(\\w+)\\s*\\(', 1) AS name, CAST(length(regexp_replace(regexp_replace('a ```x y``` ' || text, '(?s)```.*?```', '', 'g'), '^\\s+|\\s+$', '', 'g')) AS INTEGER) AS prose FROM documents")
+def code_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", code.function_name(F.col("text")).alias("name"), code.prose_length(F.concat(F.lit("a ```x y``` "), "text")).alias("prose"))
+
+
+# ---------------------------------------------------------------- signatures and hashes
+
+_PADS = [bytes(b ^ pad for b in __import__("hashlib").sha256(KEY.encode()).digest().ljust(64, b"\0")).hex() for pad in (0x36, 0x5C)]
+
+
+@query(f"SELECT doc_id, sha256(unhex('{_PADS[1]}') || unhex(sha256(unhex('{_PADS[0]}') || encode(text)))) AS signature FROM documents")
+def hmac_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", crypto.hmac_sha256(F.col("text"), KEY).alias("signature"))
+
+
+@query()
+def signed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples signed, every third one changed after it: doc_id and whether the signature holds."""
+    rows = doc_samples(spark, sf_dir).withColumn("signature", crypto.record_signature(F.col("instruction"), F.col("input"), F.col("output"), F.lit("m"), KEY))
+    changed = rows.withColumn("output", F.when(F.col("seq") % 3 == 0, F.concat("output", F.lit("!"))).otherwise(F.col("output")))
+    again = crypto.record_signature(F.col("instruction"), F.col("input"), F.col("output"), F.lit("m"), KEY)
+    return changed.select(F.col("seq").alias("doc_id"), crypto.verified(F.col("signature"), again).alias("verified"))
+
+
+@query()
+def compressed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.octet_length(crypto.compressed(F.col("text"))).alias("n_bytes"))
+
+
+@query(
+    """WITH b AS (SELECT doc_id // 100000 AS block, count(*) AS n, sha256(string_agg(sha256(text || chr(10)), '' ORDER BY doc_id)) AS h FROM documents GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS record_count, sha256(string_agg(h, '' ORDER BY block)) AS dataset_hash FROM b"""
+)
+def dataset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.content_hash(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+# ---------------------------------------------------------------- deduplication
+
+
+@query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY sha256(lang || text)")
+def exact_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.keep_first(doc_samples(spark, sf_dir), dedupe.exact_key(), ["seq"]).select(F.col("seq").alias("doc_id"))
+
+
+@query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY md5(lang || '|' || source || '|' || text)")
+def global_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe_global(doc_samples(spark, sf_dir), ["seq"]).select(F.col("seq").alias("doc_id"))
+
+
+SQL_FUZZY = """t AS (SELECT doc_id, regexp_replace(lower(text), '\\s+', '', 'g') AS t FROM documents),
+g AS (SELECT doc_id, pos, substr(t, pos + 1, 5) AS g FROM (SELECT doc_id, t, unnest(range(length(t) - 4)) AS pos FROM t WHERE length(t) >= 5)),
+c AS (SELECT doc_id, g, count(*) AS n, min(pos) AS pos FROM g GROUP BY doc_id, g),
+k AS (SELECT doc_id, string_agg(g, '' ORDER BY encode(g)) AS k FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, pos) AS r FROM c) WHERE r <= 10 GROUP BY doc_id),
+f AS (SELECT doc_id, sha256(coalesce(k, t)) AS fuzzy FROM t LEFT JOIN k USING (doc_id))"""
+
+
+@query(f"WITH {SQL_FUZZY} SELECT min(doc_id) AS doc_id FROM f GROUP BY fuzzy")
+def fuzzy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = doc_samples(spark, sf_dir).withColumn("instruction", F.lit(""))
+    return dedupe.dedupe_samples(docs).select(F.col("seq").alias("doc_id"))
+
+
+@query(f"WITH {SQL_FUZZY} SELECT doc_id, fuzzy FROM f")
+def fuzzy_keys_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.fuzzy_key_builtin(table(spark, sf_dir, "documents"), "doc_id", F.col("text")).select(F.col("id").alias("doc_id"), "fuzzy")
+
+
+@query("SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text")
+def distinct_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.distinct_strings(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+@query("SELECT count(*) AS total, count(DISTINCT md5(text)) AS distinct_keys, round(count(DISTINCT md5(text)) / count(*), 9) AS ratio FROM documents")
+def dedupe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe_ratio(table(spark, sf_dir, "documents"), F.md5("text")).withColumn("ratio", F.round("ratio", 9))
+
+
+@query("SELECT doc_id FROM documents WHERE md5(text) NOT IN (SELECT md5(text) FROM documents WHERE source = 'src0')")
+def unseen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("hash", F.md5("text"))
+    return dedupe.unseen(docs, docs.where("source = 'src0'")).select("doc_id")
+
+
+@query("SELECT count(*) AS n FROM (SELECT source AS x FROM documents UNION SELECT lang FROM documents UNION SELECT event_type FROM events)")
+def distinct_over_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, events = table(spark, sf_dir, "documents"), table(spark, sf_dir, "events")
+    return journal.distinct_over([docs.select(F.col("source").alias("x")), docs.select(F.col("lang").alias("x")), events.select(F.col("event_type").alias("x"))], "x")
+
+
+# ---------------------------------------------------------------- order, splits and batches
+
+SQL_HASHED = "SELECT doc_id, CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents"
+
+
+@query("SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) > count(*) OVER () - CASE WHEN count(*) OVER () < 2 THEN 0 ELSE greatest(1, CAST(floor(count(*) OVER () * 0.1::DOUBLE) AS BIGINT)) END THEN 'val' ELSE 'train' END AS split FROM documents")
+def split_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.split_tail(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "split")
+
+
+@query(f"WITH h AS ({SQL_HASHED}) SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY h) <= greatest(1, CAST(floor(count(*) OVER () * 0.1::DOUBLE) AS BIGINT)) THEN 'val' ELSE 'train' END AS split FROM h")
+def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.split_shuffled(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "split")
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders")
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.positioned(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+
+
+@query(f"WITH h AS ({SQL_HASHED}) SELECT doc_id FROM h ORDER BY h, doc_id LIMIT 25")
+def shuffled_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.shuffled_limit(table(spark, sf_dir, "documents"), "doc_id", 25).select("doc_id")
+
+
+@query("SELECT event_id, user_id, event_type FROM events ORDER BY event_id DESC LIMIT 50")
+def last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.last_events(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), 50, "event_id")
+
+
+@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS r FROM documents) WHERE r <= 3")
+def top_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.top_by_group(table(spark, sf_dir, "documents"), ["source"], [F.desc("n_chars"), F.asc("doc_id")], 3).select("source", "doc_id")
+
+
+@query("SELECT (r - 1) // 16 AS batch, list(doc_id ORDER BY doc_id) AS ids FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents) GROUP BY 1")
+def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ordering.batches(table(spark, sf_dir, "documents"), "doc_id", 16, ["doc_id"])
+    return rows.select("batch", F.transform("items", lambda x: x["doc_id"]).alias("ids"))
+
+
+@query("SELECT max('checkpoint-' || user_id) AS by_name, 'checkpoint-' || max(user_id) AS by_number FROM events")
+def latest_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "events").select(F.concat(F.lit("checkpoint-"), F.col("user_id").cast("string")).alias("name"))
+    by_name = ordering.latest_checkpoint(names).select(F.lit(1).alias("k"), F.col("name").alias("by_name"))
+    return by_name.join(ordering.latest_checkpoint(names, numeric=True).select(F.lit(1).alias("k"), F.col("name").alias("by_number")), "k").drop("k")
+
+
+@query("SELECT source, greatest(1, CAST(floor(1000 / (count(*) * 3)) AS BIGINT)) AS budget FROM documents GROUP BY source")
+def repo_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    return counts.select("source", ordering.per_repo_budget(F.lit(1000), F.col("n"), F.lit(3)).cast("bigint").alias("budget"))
+
+
+@query()
+def generation_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ordering.specs(spark, 500, ["def f(x):\n    pass\n", "def g(y):\n    return y\n"])
+    return found.select("id", "task_type", "instruction", text.fill_template(F.col("template"), F.col("code"), F.lit("python")).alias("prompt"))
+
+
+@query("SELECT vec_id, list_sort(embedding) AS ordered FROM embeddings")
+def sorted_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", arrays.sorted_floats(F.col("embedding")).alias("ordered"))
+
+
+@query("SELECT vec_id, [embedding[(k % 8) * 8 + k // 8 + 1] for k in range(64)] AS flat FROM embeddings")
+def transposed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", arrays.transposed(F.col("embedding")).alias("flat"))
+
+
+# ---------------------------------------------------------------- evaluation
+
+
+@query(
+    f"""WITH a AS (SELECT source, lang, quality = 1 AS success, text FROM documents JOIN labels USING (doc_id)), s AS (SELECT *, {SQL_CONTENT} AND NOT ({SQL_ERRORS}) AS good, {SQL_WORDS} AS ws FROM a)
+SELECT lang, count(*) AS total_samples, count(*) FILTER (WHERE success) AS successful_samples, count(*) FILTER (WHERE NOT success) AS failed_samples, round(avg(CAST(success AS INTEGER)), 9) AS success_rate,
+  round(avg(CASE WHEN success THEN CAST(good AS INTEGER) END), 9) AS format_compliance_rate, round(avg(CASE WHEN success THEN length(text) END), 6) AS avg_output_length FROM s GROUP BY lang"""
+)
+def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    scored = evaluate.with_scores(docs.select(F.col("doc_id").alias("sample_id"), "lang", (F.col("quality") == 1).alias("success"), F.col("text").alias("output")))
+    found = evaluate.metrics(scored, ["lang"])
+    return found.select("lang", "total_samples", "successful_samples", "failed_samples", F.round("success_rate", 9).alias("success_rate"), F.round("format_compliance_rate", 9).alias("format_compliance_rate"), F.round("avg_output_length", 6).alias("avg_output_length"))
+
+
+SQL_ROUNDS = "r AS (SELECT CAST(substr(source, 4) AS INTEGER) AS round, avg(quality) AS rate FROM documents JOIN labels USING (doc_id) GROUP BY 1)"
+
+
+def _rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return docs.groupBy(F.substring("source", 4, 9).cast("int").alias("round")).agg(F.avg("quality").alias("success_rate")).withColumn("format_compliance_rate", F.lit(None).cast("double"))
+
+
+@query(f"WITH {SQL_ROUNDS} SELECT round AS best_round, round(rate, 9) AS best_metric FROM r WHERE rate > 0 ORDER BY rate DESC, round LIMIT 1")
+def best_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.best_round(_rounds(spark, sf_dir)).select("best_round", F.round("best_metric", 9).alias("best_metric"))
+
+
+@query(f"WITH {SQL_ROUNDS} SELECT round AS best_trial, round(1 - rate, 9) AS best_loss FROM r ORDER BY round(1 - rate, 12), round LIMIT 1")
+def best_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trials = _rounds(spark, sf_dir).select(F.col("round").alias("trial"), F.round(1 - F.col("success_rate"), 12).alias("eval_loss"), F.lit(None).cast("double").alias("train_loss"))
+    return evaluate.best_trial(trials).withColumn("best_loss", F.round("best_loss", 9))
+
+
+SQL_RANKED = "SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS pos, count(*) OVER (PARTITION BY event_type) AS n FROM events"
+
+
+@query(
+    f"""SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean, max(value) FILTER (WHERE pos = round_even((n - 1) * 0.5::DOUBLE, 0)) AS p50,
+  max(value) FILTER (WHERE pos = round_even((n - 1) * 0.95::DOUBLE, 0)) AS p95 FROM ({SQL_RANKED}) GROUP BY event_type"""
+)
+def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.latency_summary(table(spark, sf_dir, "events"), "value", ["event_type"]).withColumn("mean", F.round("mean", 6))
+
+
+@query(
+    """SELECT event_id, min(value) OVER (w ROWS UNBOUNDED PRECEDING) AS best, coalesce(value < min(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS improved FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
+)
+def best_so_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.best_so_far(table(spark, sf_dir, "events"), "value", ["event_id"], ["user_id"]).select("event_id", "best", "improved")
+
+
+@query("SELECT item_id, gram, count(*) AS n FROM (SELECT item_id, unnest([substr(text, CAST(i AS INTEGER), 5) for i in range(1, length(text) - 3)]) AS gram FROM benchmark) GROUP BY item_id, gram")
+def gram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.gram_counts(table(spark, sf_dir, "benchmark"), "item_id", "text")
+
+
+# ---------------------------------------------------------------- journal
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS key, round(CASE WHEN event_type = 'error' THEN max_by(value, event_id) ELSE sum(value) END, 6) AS value FROM events WHERE event_type <> 'view' GROUP BY user_id, event_type")
+def counter_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = journal.counter_fold(journal_events(spark, sf_dir), ["signup", "click", "error", "purchase"], ["error"])
+    return folded.withColumn("value", F.round("value", 6))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, " + ", ".join(f"round(coalesce(sum(value) FILTER (WHERE event_type = '{k}'), 0), 6) AS {k}" for k in ("click", "purchase")) + " FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY user_id")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = journal.pivoted(journal.counter_fold(journal_events(spark, sf_dir), ["click", "purchase", "view"], []), ["click", "purchase"])
+    return wide.select("run_id", F.round("click", 6).alias("click"), F.round("purchase", 6).alias("purchase"))
+
+
+SQL_PRICES = "(VALUES " + ", ".join(f"({quoted(m)}, {i}::DOUBLE, {o}::DOUBLE)" for m, i, o in S.PRICES) + ") p(model, i, o)"
+MODELS = [m for m, _, _ in S.PRICES] + ["unpriced"]
+
+
+@query(
+    f"""WITH u AS (SELECT ([{", ".join(map(quoted, MODELS))}])[user_id % {len(MODELS)} + 1] AS model, count(*) * 500 AS input_tokens, count(*) * 1500 AS output_tokens FROM events GROUP BY 1)
+SELECT model, input_tokens, output_tokens, round(coalesce(input_tokens / 1000000 * i + output_tokens / 1000000 * o, 0), 9) AS estimated_cost_usd FROM u LEFT JOIN {SQL_PRICES} USING (model)"""
+)
+def usage_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = F.element_at(F.array(*map(F.lit, MODELS)), (F.pmod("user_id", F.lit(len(MODELS))) + 1).cast("int"))
+    usage = table(spark, sf_dir, "events").groupBy(model.alias("model")).agg((F.count("*") * 500).alias("input_tokens"), (F.count("*") * 1500).alias("output_tokens"))
+    return journal.with_cost(usage, S.prices(spark)).withColumn("estimated_cost_usd", F.round("estimated_cost_usd", 9))
+
+
+@query(
+    """SELECT CAST(user_id AS VARCHAR) AS run_id, CAST(event_id % 5 + 1 AS INTEGER) AS round, count(*) FILTER (WHERE event_type = 'view') AS raw, count(*) FILTER (WHERE event_type = 'click') AS clean,
+  greatest(count(*) FILTER (WHERE event_type = 'view') - count(*) FILTER (WHERE event_type = 'click'), 0) AS rejected, count(*) FILTER (WHERE event_type = 'signup') AS train, count(*) FILTER (WHERE event_type = 'error') AS val FROM events GROUP BY 1, 2"""
+)
+def round_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("key") == "view", "raw").when(F.col("key") == "click", "clean").when(F.col("key") == "signup", "train").when(F.col("key") == "error", "val")
+    return journal.round_metrics(journal_events(spark, sf_dir).withColumn("kind", kind))
+
+
+@query(
+    """WITH c AS (SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'view') AS DOUBLE) AS v, CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE) AS e, CAST(count(*) FILTER (WHERE event_type = 'click') AS DOUBLE) AS c FROM events GROUP BY user_id)
+SELECT CAST(user_id AS VARCHAR) AS run_id, round(CASE WHEN v + e > 0 THEN v / (v + e) ELSE 0 END, 9) AS success_rate, round(CASE WHEN v > 0 THEN c / v ELSE 0 END, 9) AS validation_rate, round(CASE WHEN c + e > 0 THEN c / (c + e) ELSE 0 END, 9) AS test_pass_rate, round(least(100, 100 * v / 500), 9) AS train_progress FROM c"""
+)
+def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = lambda k: F.count_if(F.col("key") == k).cast("double")
+    counters = journal_events(spark, sf_dir).groupBy("run_id").agg(n("view").alias("teacher_generated"), n("error").alias("teacher_failed"), n("click").alias("validated_ok"), n("view").alias("raw_written"), n("click").alias("test_pass"), n("error").alias("test_fail"), n("view").alias("train_step"))
+    return journal.progress(counters, 500).select("run_id", *(F.round(c, 9).alias(c) for c in ("success_rate", "validation_rate", "test_pass_rate", "train_progress")))
+
+
+@query(
+    """WITH l AS (SELECT CAST(user_id AS VARCHAR) AS run_id, event_id AS seq, event_type || '|' || props AS line FROM events), p AS (SELECT *, coalesce(lag(sha256(line || chr(10))) OVER (PARTITION BY run_id ORDER BY seq), run_id) AS expected FROM l)
+SELECT run_id, seq, expected, seq % 97 <> 0 AS chained FROM p"""
+)
+def hash_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines chained by their hashes, one in 97 changed after it."""
+    rows = journal_events(spark, sf_dir).select("run_id", "seq", F.concat_ws("|", "key", "props").alias("raw_line"))
+    before = F.lag(journal.line_hash(F.col("raw_line"))).over(Window.partitionBy("run_id").orderBy("seq"))
+    rows = rows.withColumn("prev_hash", F.when(F.col("seq") % 97 == 0, F.lit("broken")).otherwise(F.coalesce(before, F.col("run_id"))))
+    return journal.chain_check(rows).select("run_id", "seq", "expected", "chained")
+
+
+@query()
+def chained_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A journal written as a chain and checked again: lines and chained lines of each run."""
+    events = _full_events(spark, sf_dir)
+    lines = journal.chained(events).withColumnRenamed("line", "raw_line")
+    return journal.chain_check(lines).groupBy("run_id").agg(F.count("*").alias("n"), F.count_if("chained").alias("n_chained"))
+
+
+def _full_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = journal_events(spark, sf_dir)
+    return rows.select(
+        F.lit(S.JOURNAL_VERSION).alias("event_version"), F.col("event_time").cast("string").alias("ts"), "run_id", "round", F.coalesce("stage", F.lit("")).alias("stage"), F.lit("info").alias("level"), "event_type",
+        F.col("props").alias("message"), F.create_map("key", "value").alias("counters_delta"), F.create_map().cast("map<string,double>").alias("usage_delta"), F.array().cast("array<string>").alias("artifact_paths"), F.lit(None).cast("string").alias("prev_hash"), "seq",
+    )
+
+
+SQL_STATE = "CASE " + " ".join(f"WHEN event_type = {quoted(t)}{'' if s is None else f' AND stage = {quoted(s)}'} THEN {quoted(state)}" for t, s, state in S.REPLAY_STATES) + " END"
+
+
+@query(f"WITH {SQL_JOURNAL} SELECT run_id, seq, coalesce(last_value({SQL_STATE} IGNORE NULLS) OVER (PARTITION BY run_id ORDER BY seq ROWS UNBOUNDED PRECEDING), 'IDLE') AS state FROM j")
+def state_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.replay(journal_events(spark, sf_dir)).select("run_id", "seq", "state")
+
+
+@query(f"WITH {SQL_JOURNAL}, s AS (SELECT *, {SQL_STATE} AS st FROM j) SELECT run_id, coalesce(max_by(st, seq) FILTER (WHERE st IS NOT NULL), 'IDLE') AS final_state, max(round) AS max_round, count(*) AS n_events FROM s GROUP BY run_id")
+def final_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.final_states(journal_events(spark, sf_dir))
+
+
+@query(
+    f"""WITH {SQL_JOURNAL}, p AS (SELECT *, lead(event_type) OVER w AS nt, lead(event_time) OVER w AS ended FROM j WHERE event_type IN ('stage_start', 'stage_end') WINDOW w AS (PARTITION BY run_id, round, stage ORDER BY seq))
+SELECT run_id, round, stage, epoch_us(event_time) AS started_us, (epoch_us(ended) - epoch_us(event_time)) // 1000 AS duration_ms FROM p WHERE event_type = 'stage_start' AND nt = 'stage_end'"""
+)
+def stage_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = journal.stage_durations(journal_events(spark, sf_dir))
+    return found.select("run_id", "round", "stage", F.unix_micros("started").alias("started_us"), "duration_ms")
+
+
+@query(f"WITH {SQL_JOURNAL}, g AS (SELECT run_id, event_time AS a, lead(event_time) OVER (PARTITION BY run_id ORDER BY event_time, seq) AS b FROM j) SELECT run_id, epoch_us(a) AS from_us, round((epoch_us(b) - epoch_us(a)) / 1000000, 6) AS idle_seconds FROM g WHERE (epoch_us(b) - epoch_us(a)) / 1000000 > 600")
+def idle_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.idle_gaps(journal_events(spark, sf_dir)).select("run_id", F.unix_micros("idle_from").alias("from_us"), F.round("idle_seconds", 6).alias("idle_seconds"))
+
+
+@query(
+    f"""WITH {SQL_JOURNAL}, m AS (SELECT *, CASE WHEN epoch_us(event_time) - lag(epoch_us(event_time)) OVER w < 600000000 THEN 0 ELSE 1 END AS fresh FROM j WINDOW w AS (PARTITION BY run_id ORDER BY event_time, seq)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY run_id ORDER BY event_time, seq ROWS UNBOUNDED PRECEDING) AS session FROM m)
+SELECT run_id, min(epoch_us(event_time)) AS from_us, max(epoch_us(event_time)) AS idle_us, count(*) AS n FROM s GROUP BY run_id, session"""
+)
+def active_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stream_runs.idle_runs(journal_events(spark, sf_dir))
+    return found.select("run_id", F.unix_micros("active_from").alias("from_us"), F.unix_micros("idle_from").alias("idle_us"), "n")
+
+
+@query("SELECT epoch_us(date_trunc('hour', ts)) AS started_us, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("event_time", F.col("ts").cast("timestamp"))
+    return stream_runs.windowed_counts(events).select(F.unix_micros("started").alias("started_us"), "event_type", "n")
+
+
+@query(f"WITH {SQL_JOURNAL} SELECT stage, key AS level, count(*) AS n FROM j GROUP BY ROLLUP (stage, key)")
+def event_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.event_histogram(journal_events(spark, sf_dir).withColumn("level", F.col("key")), totals=True)
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.outcome_counts(table(spark, sf_dir, "events"), "event_type")
+
+
+@query()
+def machine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events walked through the state machine: phase, status and legality after each."""
+    return fsm.replay_machine(journal_events(spark, sf_dir).withColumn("mode", F.lit("TRAIN"))).select("run_id", "seq", "phase", "status", "legal")
+
+
+SQL_MOVES = "(VALUES " + ", ".join(f"({quoted(a)}, {quoted(b)}, {quoted(c)})" for a, b, c in S.TRANSITIONS) + ") t(phase, event, next_phase)"
+PHASES = ["INITIALIZING", "GENERATING", "VALIDATING", "TESTING", "TRAINING", "EVALUATING", "COMPLETE", "ERROR"]
+
+
+@query(f"WITH {SQL_JOURNAL}, p AS (SELECT run_id, seq, event, ([{', '.join(map(quoted, PHASES))}])[seq % 8 + 1] AS phase FROM j) SELECT run_id, seq, phase, event, next_phase, next_phase IS NOT NULL AS legal FROM p LEFT JOIN {SQL_MOVES} USING (phase, event)")
+def move_legality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phase = F.element_at(F.array(*map(F.lit, PHASES)), (F.col("seq") % 8 + 1).cast("int"))
+    return fsm.legality(journal_events(spark, sf_dir).withColumn("phase", phase), spark).select("run_id", "seq", "phase", "event", "next_phase", "legal")
+
+
+@query()
+def rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = journal_events(spark, sf_dir).select(F.col("run_id").alias("key"), "seq", (F.unix_micros("event_time") / 1e6).alias("at"))
+    return fsm.rate_limited(rows, 3600).select("key", "seq", "accepted")
+
+
+@query()
+def token_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = journal_events(spark, sf_dir).select(F.lit("all").alias("key"), "seq", (F.unix_micros("event_time") / 1e6).alias("at"))
+    return fsm.token_bucket(rows.withColumn("key", F.col("seq") % 16), 0.001, 3).select("key", "seq", "accepted")
+
+
+# ---------------------------------------------------------------- runs and conversations
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, max_by(event_type, event_id) AS status, max(event_id) AS seq FROM events GROUP BY user_id")
+def latest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.latest_states(journal_events(spark, sf_dir).select("run_id", F.col("key").alias("status"), "seq"))
+
+
+@query(
+    """WITH l AS (SELECT user_id, max_by(event_type, event_id) AS status, max(event_id) AS modified FROM events WHERE user_id % 3 <> 0 GROUP BY user_id), r AS (SELECT user_id, max_by(event_type, event_id) AS status, max(event_id) AS modified FROM events WHERE user_id % 2 = 0 AND event_id % 2 = 0 GROUP BY user_id)
+SELECT CAST(coalesce(l.user_id, r.user_id) AS VARCHAR) AS run_id, coalesce(l.status, r.status) AS status, coalesce(l.modified, r.modified) AS modified, 0 AS current_round, false AS stop_requested FROM l FULL JOIN r ON l.user_id = r.user_id"""
+)
+def run_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = journal_events(spark, sf_dir).select("run_id", F.col("key").alias("status"), "seq")
+    local = runs.latest_states(events.where("run_id % 3 <> 0")).withColumnRenamed("seq", "modified")
+    remote = runs.latest_states(events.where("run_id % 2 = 0 and seq % 2 = 0")).withColumnRenamed("seq", "modified")
+    return runs.catalogue(local, remote)
+
+
+@query(
+    """SELECT conv_id, max(text) FILTER (WHERE role = 'system' AND turn = first_system) AS system, count(*) FILTER (WHERE role <> 'system') AS n_turns, max(text) FILTER (WHERE role = 'user' AND turn = last_user) AS last_user,
+  string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS lines FROM (SELECT *, min(turn) FILTER (WHERE role = 'system') OVER (PARTITION BY conv_id) AS first_system, max(turn) FILTER (WHERE role = 'user') OVER (PARTITION BY conv_id) AS last_user FROM conversations) GROUP BY conv_id"""
+)
+def chat_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    talks = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(ordered.alias("m"))
+    m = F.col("m")
+    parted = runs.system_and_turns(m)
+    return talks.select("conv_id", parted["system"].alias("system"), F.size(parted["turns"]).cast("bigint").alias("n_turns"), runs.last_of_role(m, "user").alias("last_user"), runs.role_lines(m).alias("lines"))
+
+
+@query(
+    """WITH q AS (SELECT DISTINCT conv_id AS id FROM conversations WHERE role = 'user'), r AS (SELECT conv_id AS id, max_by(text, turn) AS output FROM conversations WHERE role = 'assistant' GROUP BY conv_id) SELECT id, output FROM q LEFT JOIN r USING (id)"""
+)
+def matched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = table(spark, sf_dir, "conversations")
+    asked = talk.where("role = 'user'").select(F.col("conv_id").alias("id")).distinct()
+    answers = talk.where("role = 'assistant'").select(F.col("conv_id").alias("id"), F.col("turn").alias("seq"), F.col("text").alias("output"))
+    return runs.matched(asked, answers, strict=False)
+
+
+# ---------------------------------------------------------------- streams
+
+
+def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as event streams: each turn's text comes in two deltas, and the last turn completes the session."""
+    talk = table(spark, sf_dir, "conversations").select(F.concat(F.lit("s"), "conv_id").alias("session"), "turn", "text")
+    n = F.length("text")
+    halves = talk.select("session", "turn", F.posexplode(F.array(F.substring(F.col("text"), F.lit(1), F.floor(n / 2).cast("int")), F.substring(F.col("text"), F.floor(n / 2).cast("int") + 1, n))).alias("half", "delta"))
+    props = F.struct(F.col("session").alias("sessionID"), F.lit("m").alias("messageID"), F.concat(F.lit("p"), "turn").alias("partID"), F.lit("text").alias("field"), "delta")
+    return halves.select("session", (F.col("turn") * 2 + F.col("half")).alias("seq"), F.to_json(F.struct(F.lit("message.part.delta").alias("type"), props.alias("properties"))).alias("event"))
+
+
+@query("SELECT 's' || conv_id AS session, string_agg(text, '' ORDER BY turn) AS text, false AS completed, 2 * count(*) AS n_events FROM conversations GROUP BY conv_id")
+def sse_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.assembled(_stream_events(spark, sf_dir)).select("session", "text", "completed", "n_events")
+
+
+@query("SELECT CAST(conv_id AS VARCHAR) AS stream, CASE WHEN bool_or(role = 'system') THEN NULL ELSE trim(string_agg(CASE WHEN turn % 2 = 0 THEN text ELSE '' END, '' ORDER BY turn), ' ' || chr(10)) END AS text, CASE WHEN bool_or(role = 'system') THEN 'system' END AS error FROM conversations GROUP BY conv_id")
+def completed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = table(spark, sf_dir, "conversations")
+    event = F.when(F.col("role") == "system", F.to_json(F.struct(F.lit("error").alias("type"), F.lit("system").alias("message")))).otherwise(
+        F.to_json(F.struct(F.lit("text").alias("type"), F.struct("text", F.struct(F.when(F.col("turn") % 2 == 0, F.lit("9")).alias("end")).alias("time")).alias("part")))
+    )
+    rows = talk.select(F.col("conv_id").cast("string").alias("stream"), F.col("turn").alias("seq"), F.from_json(event, S.STREAM_EVENT).alias("event"))
+    return assemble.completed_text(rows)
