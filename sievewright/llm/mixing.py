@@ -30,7 +30,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 #: Times that a document may be taken at most.
 MOST = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
 
 _SPACE = "\\x20\\x09-\\x0D"
 
