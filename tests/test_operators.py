@@ -1,0 +1,221 @@
+import hashlib
+import json
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sievewright import schemas as S
+from sievewright.operators import dedupe, evaluate, fsm, journal, ordering, runs
+
+
+def fuzzy(s):
+    t = "".join(s.lower().split())
+    if len(t) < 5:
+        return hashlib.sha256(t.encode()).hexdigest()
+    c = Counter(t[i : i + 5] for i in range(len(t) - 4))
+    return hashlib.sha256("".join(sorted(g for g, _ in c.most_common(10))).encode()).hexdigest()
+
+
+def test_fuzzy_keys_both_ways(spark):
+    rng = random.Random(1)
+    rows = [(i, "".join(rng.choice("ab c\nÉ") for _ in range(rng.choice([0, 3, 5, 8, 40])))) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    want = {i: fuzzy(t) for i, t in rows}
+    assert {r.id: r.k for r in df.select("id", dedupe.fuzzy_key(F.col("t")).alias("k")).collect()} == want
+    assert {r.id: r.fuzzy for r in dedupe.fuzzy_key_builtin(df, "id", F.col("t")).collect()} == want
+
+
+def test_sequential_dedupe_is_first_per_key(spark):
+    rng = random.Random(2)
+    texts = ["abcdefgh", "ABC defgh", "abcdefgx", "ab", "a b", "", None]
+    rows = [(i, rng.choice(texts), rng.choice(texts)) for i in range(60)]
+    exact, near, want = set(), set(), []
+    for i, a, b in rows:
+        e, f = (a or "") + (b or ""), fuzzy((a or "") + (b or ""))
+        if e in exact or f in near:
+            continue
+        exact.add(e)
+        near.add(f)
+        want.append(i)
+    df = spark.createDataFrame(rows, "seq int, instruction string, output string")
+    assert sorted(r.seq for r in dedupe.dedupe_samples(df).collect()) == want
+
+
+def test_prefer_latest_pool_and_ratio(spark):
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
+    b = spark.createDataFrame([("y", 3), ("z", 4)], "k string, v int")
+    assert {(r.k, r.v) for r in dedupe.prefer(a, b, "k").collect()} == {("x", 1), ("y", 2), ("z", 4)}
+    rows = spark.createDataFrame([("x", 1, "old"), ("x", 2, "new"), ("y", 1, None)], "k string, seq int, v string")
+    assert {(r.k, r.v) for r in dedupe.latest(rows, "k", ["seq"]).collect()} == {("x", "new"), ("y", None)}
+    assert dedupe.pool(rows, "k", 1).count() == 1
+    assert dedupe.dedupe_ratio(rows.limit(0), F.col("k")).first().ratio == 1.0
+
+
+@pytest.mark.parametrize("n, train, val", [(0, 0, 0), (1, 1, 0), (2, 1, 1), (9, 8, 1), (100, 90, 10)])
+def test_tail_split(spark, n, train, val):
+    rows = spark.range(n).select((F.col("id") * 7 - 3).alias("i"))
+    got = ordering.split_tail(rows, "i").collect()
+    assert Counter(r.split for r in got) == Counter({"train": train, "val": val} if val else {"train": train} if train else {})
+    assert all(r.i >= max([x.i for x in got if x.split == "train"], default=-99) for r in got if r.split == "val")
+
+
+def test_positions_and_shuffled_split(spark):
+    ids = random.Random(3).sample(range(-5000, 5000), 700)
+    df = spark.createDataFrame([(i,) for i in ids], "i int")
+    for ranges in (1, 5, 64):
+        got = {r.i: r.position for r in ordering.positioned(df, "i", ranges=ranges).collect()}
+        assert got == {v: k for k, v in enumerate(sorted(ids))}
+    one, two = (sorted(map(tuple, ordering.split_shuffled(df.repartition(k), "i").collect())) for k in (2, 5))
+    assert one == two and sum(s == "val" for _, s in one) == 70
+    assert [r.split for r in ordering.split_shuffled(df.limit(1), "i").collect()] == ["val"]
+
+
+def test_batches_specs_and_limits(spark):
+    df = spark.range(10).select(F.col("id").alias("i"))
+    got = {r.batch: [x.i for x in r["items"]] for r in ordering.batches(df, "i", 4, ["i"]).collect()}
+    assert got == {0: [0, 1, 2, 3], 1: [4, 5, 6, 7], 2: [8, 9]}
+    specs = ordering.specs(spark, 50, ["a", "b"]).collect()
+    assert len({r.id for r in specs}) == 50 and {r.code for r in specs} == {"a", "b"} and len({r.task_type for r in specs}) == 3
+    assert specs == ordering.specs(spark, 50, ["a", "b"]).collect()
+    names = spark.createDataFrame([("checkpoint-1000",), ("checkpoint-200",)], "name string")
+    assert ordering.latest_checkpoint(names).first().name == "checkpoint-200" and ordering.latest_checkpoint(names, numeric=True).first().name == "checkpoint-1000"
+
+
+def test_metrics_and_report(spark):
+    rows = [("a", True, '{"x": 1}'), ("b", True, "an error"), ("c", False, ""), ("d", None, "x")]
+    scored = evaluate.with_scores(spark.createDataFrame(rows, "sample_id string, success boolean, output string"))
+    m = evaluate.metrics(scored).first()
+    assert (m.total_samples, m.successful_samples, m.failed_samples, m.success_rate) == (4, 2, 2, 0.5)
+    assert (m.json_parse_rate, m.format_compliance_rate, m.repetition_rate, m.avg_output_length) == (0.5, 0.5, 0.0, 8.0)
+    assert evaluate.metrics(scored.limit(0)).collect() == [] and evaluate.metrics(scored.where("success is null")).first().json_parse_rate is None
+    r = evaluate.report(scored).first()
+    assert r.metrics.total_samples == 4 and [x.sample_id for x in r.sample_results] == list("abcd")
+
+
+def test_percentiles_use_the_nearest_rank(spark):
+    rng = random.Random(4)
+    rows = [(g, rng.random()) for g in "abc" for _ in range(rng.randint(1, 40))]
+    got = {r.g: r for r in evaluate.latency_summary(spark.createDataFrame(rows, "g string, v double"), "v", ["g"]).collect()}
+    for g in "abc":
+        xs = sorted(v for k, v in rows if k == g)
+        for p, name in ((0.5, "p50"), (0.95, "p95")):
+            assert got[g][name] == xs[round((len(xs) - 1) * p)]
+
+
+def test_best_round_and_trial(spark):
+    reports = spark.createDataFrame([(1, 0.5, 0.1), (2, None, 0.9), (3, 0.9, 0.0)], "round int, format_compliance_rate double, success_rate double")
+    assert tuple(evaluate.best_round(reports).first()) == (2, 0.9)
+    assert evaluate.best_round(reports.where("round = 9")).collect() == [] and evaluate.best_round(reports.selectExpr("round", "0D AS format_compliance_rate", "success_rate")).collect() == []
+    trials = spark.createDataFrame([(1, None, None), (2, 0.5, 0.6), (3, None, 0.5)], "trial int, eval_loss double, train_loss double")
+    assert tuple(evaluate.best_trial(trials).first()) == (2, 0.5) and evaluate.best_trial(trials.limit(1)).first().best_loss == math.inf
+
+
+def full_events(spark, rows):
+    """(run, seq, type, stage, round) as full events."""
+    made = [("1.0", f"t{s}", r, n, stage, "info", t, "m é", {"x": 1.5}, None, [], None, s) for r, s, t, stage, n in rows]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.JOURNAL_EVENT.fields)
+    return spark.createDataFrame(made, ddl + ", seq bigint")
+
+
+def test_a_chain_is_written_and_checked(spark):
+    events = full_events(spark, [(r, s, "stage_start", "train", 1) for r in ("a", "b", "c") for s in range(40)])
+    lines = journal.chained(events).withColumnRenamed("line", "raw_line")
+    got = lines.orderBy("run_id", "seq").collect()
+    prev = {}
+    for r in got:
+        assert r.prev_hash == prev.get(r.run_id, r.run_id) == json.loads(r.raw_line)["prev_hash"]
+        prev[r.run_id] = hashlib.sha256((r.raw_line + "\n").encode()).hexdigest()
+    assert all(r.chained for r in journal.chain_check(lines).collect()) and len(got) == 120
+    tampered = lines.withColumn("raw_line", F.when((F.col("seq") == 5) & (F.col("run_id") == "b"), F.replace("raw_line", F.lit("train"), F.lit("eval"))).otherwise(F.col("raw_line")))
+    assert [(r.run_id, r.seq) for r in journal.chain_check(tampered).where("not chained").collect()] == [("b", 6)]
+
+
+def test_replay(spark):
+    events = full_events(spark, [("a", 1, "pipeline_start", "", 1), ("a", 2, "stage_start", "train", 2), ("a", 3, "other", "train", 1), ("b", 1, "other", "", None), ("c", 1, "pipeline_error", "", 3), ("c", 2, "pipeline_stop", "x", 3)])
+    assert {(r.run_id, r.final_state, r.max_round, r.n_events) for r in journal.final_states(events).collect()} == {("a", "FINALIZING", 2, 3), ("b", "IDLE", 0, 1), ("c", "IDLE", 3, 2)}
+    assert [r.state for r in journal.replay(events).where("run_id = 'a'").orderBy("seq").collect()] == ["COLLECTING", "FINALIZING", "FINALIZING"]
+
+
+def test_folds_and_sanitising(spark):
+    events = full_events(spark, [("a", s, "x", "", 1) for s in range(3)])
+    deltas = journal.deltas_of(events.withColumn("counters_delta", F.create_map(F.lit("raw_written"), F.lit(2.0), F.lit("train_loss"), F.col("seq").cast("double"), F.lit("odd"), F.lit(1.0))), "counters_delta")
+    got = {r.key: r.value for r in journal.counter_fold(deltas, S.COUNTERS).collect()}
+    assert got == {"raw_written": 6.0, "train_loss": 2.0}
+    wide = journal.pivoted(journal.counter_fold(deltas), S.COUNTERS).first()
+    assert wide.raw_written == 6.0 and wide.test_fail == 0.0
+    clean = journal.sanitized(events.withColumn("message", F.lit("token=" + "z" * 30)).withColumn("secret", F.lit(1))).first()
+    assert clean.message == "[TOKEN]" and "secret" not in clean.asDict()
+    assert "usage_delta" not in json.loads(journal.as_lines(events).first().line)
+    state = spark.createDataFrame([("r", "x" * 300, "hidden")], "run_id string, message string, other string")
+    assert journal.redacted_state(state, ["run_id", "message"]).first().message == "x" * 97 + "..."
+
+
+def test_conflicts(spark):
+    text = ["a", "=======", "<<<<<<< ours", "b", "=======", "c", ">>>>>>> theirs", "d", "<<<<<<<", "e"]
+    df = spark.createDataFrame([("f", i, v) for i, v in enumerate(text)], "path string, line_no int, value string")
+    assert [r.value for r in journal.without_conflicts(df).orderBy("line_no").collect()] == ["a", "b", "d", "e"]
+
+
+def test_content_hash_depends_on_order(spark):
+    df = spark.createDataFrame([(i, f"line {i}") for i in range(50)], "seq int, value string")
+    one = journal.content_hash(df).first()
+    assert one.record_count == 50 and one == journal.content_hash(df.repartition(7)).first()
+    assert one.dataset_hash != journal.content_hash(df.withColumn("seq", -F.col("seq"))).first().dataset_hash
+    assert journal.content_hash(df.limit(0)).first().record_count == 0
+
+
+def test_machine(spark):
+    script = ["START_FULL", "STAGE_COMPLETE", "TRAIN_NOW", "REQUEST_PAUSE", "REQUEST_RESUME", "STAGE_COMPLETE", "STAGE_COMPLETE", "STAGE_COMPLETE", "ROUND_COMPLETE", "REQUEST_STOP", "ERROR", "STAGE_COMPLETE", "START_COLLECT"]
+    rows = [(r, i, e, "TRAIN") for r in ("a", "b") for i, e in enumerate(script)]
+    got = fsm.replay_machine(spark.createDataFrame(rows, "run_id string, seq int, event string, mode string")).where("run_id = 'b'").orderBy("seq").collect()
+    assert [r.phase for r in got] == ["GENERATING", "VALIDATING", "VALIDATING", "VALIDATING", "VALIDATING", "TESTING", "TRAINING", "EVALUATING", "GENERATING", "GENERATING", "ERROR", "ERROR", "INITIALIZING"]
+    assert [r.legal for r in got] == [True, True, False, *[True] * 8, False, True]
+    assert [r.status for r in got][3:5] == ["PAUSED", "RUNNING"] and got[9].status == "STOPPED" and got[10].status == "ERROR"
+    modes = spark.createDataFrame([("TRAIN", "TRAINING"), ("COLLECT", "COMPLETE"), ("COLLECT", "TRAINING"), ("IDLE", "COMPLETE")], "m string, p string")
+    assert [r.c for r in modes.select(fsm.can_train(F.col("m"), F.col("p")).alias("c")).collect()] == [True, True, False, False]
+
+
+def test_limits_depend_on_what_was_accepted(spark):
+    rng = random.Random(5)
+    rows = [(k, i, float(t)) for k in range(3) for i, t in enumerate(sorted(rng.random() * 2000 for _ in range(60)))]
+    df = spark.createDataFrame(rows, "key int, seq int, at double").repartition(5)
+    got = {(r.key, r.seq): r.accepted for r in fsm.rate_limited(df).collect()}
+    for k in range(3):
+        last = None
+        for _, i, t in (r for r in rows if r[0] == k):
+            ok = last is None or t - last >= 300
+            last = t if ok else last
+            assert got[k, i] == ok
+    got = {(r.key, r.seq): r.accepted for r in fsm.token_bucket(df, 0.01, 3).collect()}
+    for k in range(3):
+        tokens, last = 3.0, None
+        for _, i, t in (r for r in rows if r[0] == k):
+            tokens = min(3.0, tokens + (t - (t if last is None else last)) * 0.01)
+            last = t
+            assert got[k, i] == (tokens >= 1)
+            tokens -= tokens >= 1
+
+
+def test_statuses(spark):
+    rows = [(True, "running", None, None, "r", 0), (False, "error", None, None, "r", 0), (None, "", "boom", None, "r", 1), (None, None, None, "degraded", "r", 1), (None, None, None, None, "r", 1), (None, None, None, None, "r", 0), (None, None, None, None, None, 5)]
+    df = spark.createDataFrame(rows, "stop boolean, status string, err string, health string, run string, n int").coalesce(1)
+    got = df.select(runs.resolved_status(*(F.col(c) for c in ("stop", "status", "err", "health", "run")), F.col("n"), F.lit(0), F.lit(None)).alias("s")).collect()
+    assert [r.s for r in got] == ["stopped", "error", "error", "error", "running", "idle", "idle"]
+
+
+def test_matching_fails_without_a_response(spark):
+    asked = spark.createDataFrame([("a",), ("b",)], "id string")
+    answers = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "id string, seq int, output string")
+    assert {(r.id, r.output) for r in runs.matched(asked, answers, strict=False).collect()} == {("a", "y"), ("b", None)}
+    with pytest.raises(Exception, match="no response: b"):
+        runs.matched(asked, answers).collect()
+
+
+def test_messages(spark):
+    df = spark.createDataFrame([([("system", "s"), ("user", "u"), ("assistant", "a"), ("user", "v")],), ([],)], "m array<struct<role:string,content:string>>").coalesce(1)
+    got = df.select(runs.system_and_turns(F.col("m")).alias("p"), runs.last_of_role(F.col("m"), "user").alias("u"), runs.role_lines(F.col("m")).alias("l"), runs.as_parts(F.col("m")).alias("q")).collect()
+    assert got[0].p.system == "s" and len(got[0].p.turns) == 3 and got[0].u == "v" and got[0].l.endswith("user: v") and got[0].q[1].parts[0].text == "u"
+    assert got[1].p.system is None and got[1].u is None
