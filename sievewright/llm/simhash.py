@@ -18,12 +18,17 @@ are at most 2080 for 64 bits, so the walk stays linear in the keys.
 
 Links between the members of a group leave a task as a spanning forest, never as
 all pairs, and only links between different fingerprints are looked for: equal
-ones are one class with the least id as its representative.
+ones are one class with the least id as its representative. Where a key is but a
+lane of a wider fingerprint, the fingerprints don't travel with the keys: a group
+with few candidates hands them on as pairs of classes, which are then held
+against each other; only groups with many get their fingerprints and are joined
+by forests.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -39,6 +44,8 @@ from .components import components
 
 #: Keys of one trie group in one task; larger groups are split further down the trie.
 GROUP_LIMIT = 50_000
+#: Candidate pairs for each row of a trie group up to which they are tried one by one; denser groups are joined by forests.
+DENSE = 4
 #: Shingles that are summed at once.
 _CHUNK = 1 << 13
 #: Bits of a byte, each in a byte of a 64-bit word, highest bit first in memory.
@@ -203,34 +210,60 @@ def _verified(rows: pd.DataFrame, opens: np.ndarray, a: np.ndarray, b: np.ndarra
     return label
 
 
-def _group_links(rows: pd.DataFrame, bits: int, budget: int, far: int | None) -> pd.DataFrame:
-    """Spanning links of whole groups; rows are sorted by node, side and rest."""
-    rest, node, side = rows["rest"].to_numpy().view(np.uint64), rows["node"].to_numpy(), rows["side"].to_numpy()
-    n = len(rows)
-    new_side = np.concatenate([[True], (node[1:] != node[:-1]) | (side[1:] != side[:-1])])
-    first = np.flatnonzero(new_side | np.concatenate([[True], rest[1:] != rest[:-1]]))  # of each key
-    keys, errors = rest[first], rows["errors"].to_numpy().astype(np.int64)[first]
-    opens = np.flatnonzero(new_side[first])  # of each side, in keys
-    closes = np.append(opens[1:], len(first))
-    whose, which = side[first[opens]], node[first[opens]]
-    alone = np.flatnonzero(whose == 0)
-    left = np.flatnonzero((whose[:-1] == 1) & (which[:-1] == which[1:]))
-    one, two = np.concatenate([alone, left]), np.concatenate([alone, left + 1])
-    ok = (one != two) | (closes[one] - opens[one] > 1)
-    one, two = one[ok], two[ok]
-    found = list(walk(keys, (opens[one], closes[one], opens[two], closes[two], errors[opens[one]]), bits, budget))
-    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-    label = forest(n, first[a], first[b]) if far is None else _verified(rows, first, a, b, far)
-    rep = rows["rep"].to_numpy()
-    ids, at = np.unique(rep, return_inverse=True)  # a class is in many groups
-    label = forest(len(ids), at, at[label])
-    moved = label != np.arange(len(ids))
-    return pd.DataFrame({"src": ids[moved], "dst": ids[label[moved]]})
-
-
-def _linker(bits: int, budget: int, far: int | None, limit: int):
+class _Groups:
+    """Whole nodes of one batch; rows are sorted by node, side and rest. ``first`` has the first row of each key."""
+
+    def __init__(self, rows: pd.DataFrame, bits: int, budget: int):
+        rest, node, side = rows["rest"].to_numpy().view(np.uint64), rows["node"].to_numpy(), rows["side"].to_numpy()
+        new_node = np.concatenate([[True], node[1:] != node[:-1]])
+        new_side = new_node | np.concatenate([[True], side[1:] != side[:-1]])
+        self.rows, self.rep, self.node = rows, rows["rep"].to_numpy(), node
+        self.first = first = np.flatnonzero(new_side | np.concatenate([[True], rest[1:] != rest[:-1]]))
+        self.number = np.cumsum(new_node) - 1  # of each row's node
+        keys, errors = rest[first], rows["errors"].to_numpy().astype(np.int64)[first]
+        opens = np.flatnonzero(new_side[first])  # of each side, in keys
+        closes = np.append(opens[1:], len(first))
+        whose, which = side[first[opens]], self.number[first[opens]]
+        alone = np.flatnonzero(whose == 0)
+        left = np.flatnonzero((whose[:-1] == 1) & (which[:-1] == which[1:]))
+        one, two = np.concatenate([alone, left]), np.concatenate([alone, left + 1])
+        ok = (one != two) | (closes[one] - opens[one] > 1)
+        one, two = one[ok], two[ok]
+        found = list(walk(keys, (opens[one], closes[one], opens[two], closes[two], errors[opens[one]]), bits, budget))
+        #: Pairs of keys within the budget.
+        self.a, self.b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+
+    def forest(self, far: int | None) -> pd.DataFrame:
+        """Spanning links of each node's classes, within ``far`` bits of the whole fingerprint if that is given."""
+        first = self.first
+        label = forest(len(self.rep), first[self.a], first[self.b]) if far is None else _verified(self.rows, first, self.a, self.b, far)
+        ids, at = np.unique(self.rep, return_inverse=True)  # a class is in many groups
+        label = forest(len(ids), at, at[label])
+        moved = label != np.arange(len(ids))
+        return pd.DataFrame({"src": ids[moved], "dst": ids[label[moved]]})
+
+    def pairs(self) -> pd.DataFrame:
+        """Each candidate pair of classes (src, dst); of a node with over ``DENSE`` pairs a row, its name alone."""
+        n, first = len(self.rep), self.first
+        sizes = np.diff(np.append(first, n))
+        a, b = (np.concatenate([x, np.arange(len(first))]) for x in (self.a, self.b))
+        made = np.where(a == b, sizes[a] * (sizes[a] - 1) // 2, sizes[a] * sizes[b])
+        where = self.number[first[a]]
+        total = np.bincount(where, made, self.number[-1] + 1)
+        dense = total > DENSE * np.bincount(self.number)
+        a, b = (x[~dense[where] & (made > 0)] for x in (a, b))
+        u = T.ranges(first[a], sizes[a])  # rows of the first key, each with all rows of the second
+        k = np.repeat(np.arange(len(a)), sizes[a])
+        v = T.ranges(first[b[k]], sizes[b[k]])
+        x, y = self.rep[np.repeat(u, sizes[b[k]])], self.rep[v]
+        pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
+        names = self.node[np.flatnonzero(np.diff(self.number, prepend=-1))[dense]]
+        return pd.concat([pd.DataFrame({"src": pair[:, 0], "dst": pair[:, 1], "node": None}), pd.DataFrame({"src": None, "dst": None, "node": names})]).astype({"src": "Int64", "dst": "Int64"})
+
+
+def _linker(bits: int, budget: int, limit: int, of):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Batches hold sorted rows; a group goes on over batch ends."""
+        """``of`` of about ``limit`` rows at a time. Batches hold sorted rows; a group goes on over batch ends."""
         held: list[pd.DataFrame] = []
         n = 0
         for batch in batches:
@@ -244,10 +277,20 @@ def _linker(bits: int, budget: int, far: int | None, limit: int):
             node = whole["node"].to_numpy()
             cut = int(np.flatnonzero(node != node[-1])[-1]) + 1 if (node != node[-1]).any() else 0
             if cut:
-                yield _group_links(whole.iloc[:cut], bits, budget, far)
+                yield of(_Groups(whole.iloc[:cut], bits, budget))
             held, n = [whole.iloc[cut:]], len(whole) - cut
         if n:
-            yield _group_links(pd.concat(held, ignore_index=True), bits, budget, far)
+            yield of(_Groups(pd.concat(held, ignore_index=True), bits, budget))
+
+    return rows
+
+
+def _near_pairs(far: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of (src, dst, a, b), the pairs whose fingerprints a and b are within ``far``."""
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3)) if batch.num_rows else (np.zeros((0, 1), np.uint64),) * 2
+            yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(one ^ two).sum(axis=1) <= far))
 
     return rows
 
@@ -273,8 +316,8 @@ def _rotated(classes: DataFrame, width: int, bits: int, budget: int, parts: int)
             total = F.shiftleft(total, blocks[i][1]).bitwiseOR(_part(F.col("key"), *blocks[i]))
         return total
 
-    keyed = classes.select("rep", "fp", F.array(*(_lane(lane, bits) for lane in range(width // bits))).alias("keys"))
-    exploded = keyed.select("rep", "fp", F.posexplode("keys").alias("lane", "key"))
+    keyed = classes.select("rep", F.array(*(_lane(lane, bits) for lane in range(width // bits))).alias("keys"))
+    exploded = keyed.select("rep", F.posexplode("keys").alias("lane", "key"))
     structs = [
         F.struct(
             F.concat_ws(".", F.col("lane"), F.lit(n), packed(choice)).alias("node"),
@@ -283,7 +326,7 @@ def _rotated(classes: DataFrame, width: int, bits: int, budget: int, parts: int)
         )
         for n, choice in enumerate(choices)
     ]
-    rows = exploded.select("rep", "fp", F.explode(F.array(*structs)).alias("x")).select("rep", "fp", "x.*")
+    rows = exploded.select("rep", F.explode(F.array(*structs)).alias("x")).select("rep", "x.*")
     return rows.withColumns({"side": F.lit(0), "errors": F.lit(0)}), max(rests)
 
 
@@ -298,7 +341,6 @@ def _deeper(rows: DataFrame, step: int, budget: int) -> DataFrame:
     side = F.expr("CASE WHEN side <> 0 THEN side WHEN child = other THEN 0 WHEN child < other THEN 1 ELSE 2 END")
     return out.select(
         "rep",
-        "fp",
         F.concat_ws(".", "node", first, second).alias("node"),
         F.expr(f"rest & (shiftleft(1L, bits - {step}) - 1)").alias("rest"),
         (F.col("bits") - step).alias("bits"),
@@ -330,8 +372,6 @@ def links(classes: DataFrame, width: int = 64, budget: int = 2, lane_bits: int =
     whole = lane_bits == width
     lane_budget = budget if whole else (lane_budget if lane_budget is not None else 2)
     rows, bits = _rotated(classes, width, lane_bits, lane_budget, parts or lane_budget + 2)
-    if whole:
-        rows = rows.withColumn("fp", F.lit(None).cast("binary"))
     parts_of: list[DataFrame] = []
     while True:
         hot = rows.groupBy("node").agg(F.count("*").alias("n"), F.max("bits").alias("left")).where(F.col("n") > group_limit)
@@ -342,13 +382,22 @@ def links(classes: DataFrame, width: int = 64, budget: int = 2, lane_bits: int =
         parts_of.append(_salted(rows, hot.where(F.col("left") < step), group_limit))
         rows = written(_deeper(rows.join(hot.where(F.col("left") >= step), "node", "left_semi"), step, lane_budget))
     parts_of.append(rows)
-    found = None
-    for part in parts_of:
-        at = part.withColumn("rest", F.expr(f"shiftleft(rest, {bits} - bits)")).select("node", "side", "rest", "errors", "rep", "fp")
-        at = at.repartition(shuffle_partitions(classes.sparkSession), "node").sortWithinPartitions("node", "side", "rest")
-        made = at.mapInPandas(_linker(bits, lane_budget, None if whole else budget, group_limit), "src bigint, dst bigint")
-        found = made if found is None else found.unionByName(made)
-    return found
+    aligned = [part.withColumn("rest", F.expr(f"shiftleft(rest, {bits} - bits)")).select("node", "side", "rest", "errors", "rep") for part in parts_of]
+    n = shuffle_partitions(classes.sparkSession)
+
+    def grouped(rows: DataFrame, of, schema: str) -> DataFrame:
+        return rows.repartition(n, "node").sortWithinPartitions("node", "side", "rest").mapInPandas(_linker(bits, lane_budget, group_limit, of), schema)
+
+    if whole:
+        return reduce(DataFrame.unionByName, [grouped(x, lambda g: g.forest(None), "src bigint, dst bigint") for x in aligned])
+    tried = written(reduce(DataFrame.unionByName, [grouped(x, _Groups.pairs, "src bigint, dst bigint, node string") for x in aligned]))
+    one, two = (classes.select(F.col("rep").alias(i), F.col("fp").alias(c)) for i, c in (("src", "a"), ("dst", "b")))
+    pairs = tried.where("node is null").select("src", "dst").distinct().join(one, "src").join(two, "dst").select("src", "dst", "a", "b")
+    dense = written(tried.where("node is not null").select("node").distinct())
+    found = [pairs.mapInArrow(_near_pairs(budget), "src bigint, dst bigint")]
+    for x in aligned:
+        found.append(grouped(x.join(dense, "node", "left_semi").join(classes, "rep"), lambda g: g.forest(budget), "src bigint, dst bigint"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, width: int = 64, budget: int = 2, lane_bits: int | None = None, lane_budget: int = 2, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text", group_limit: int = GROUP_LIMIT) -> DataFrame:
