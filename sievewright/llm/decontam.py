@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import shared_dir
+from ._shared import shared_dir, written
 
 #: Words of test items that go to the executors in one pass; a larger set takes more passes.
 PACK_WORDS = 2_000_000
@@ -221,7 +221,8 @@ def report(hits: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of an item; rows of a null doc_id are kept only if no such row is hit."""
-    bad = search(build_index(docs), items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_bad")).distinct()
+    # written first, so that its size is known and texts are shuffled only where it is too large to be sent
+    bad = written(search(build_index(docs), items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_bad")).distinct())
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
 
 
