@@ -45,7 +45,8 @@ from .components import components
 #: Keys of one trie group in one task; larger groups are split further down the trie.
 GROUP_LIMIT = 50_000
 #: Candidate pairs for each row of a trie group up to which they are tried one by one; denser groups are joined by forests.
-DENSE = 4
+#: A pair needs two fingerprints, a row one: below a half, pairs are less to shuffle.
+DENSE = 0.5
 #: Shingles that are summed at once.
 _CHUNK = 1 << 13
 #: Bits of a byte, each in a byte of a 64-bit word, highest bit first in memory.
