@@ -18,16 +18,22 @@ are at most 2080 for 64 bits, so the walk stays linear in the keys.
 
 Links between the members of a group leave a task as a spanning forest, never as
 all pairs, and only links between different fingerprints are looked for: equal
-ones are one class with the least id as its representative. Where a key is but a
-lane of a wider fingerprint, the fingerprints don't travel with the keys: a group
-with few candidates hands them on as pairs of classes, which are then held
-against each other; only groups with many get their fingerprints and are joined
-by forests.
+ones are one class with the least id as its representative.
+
+Where a key is but a lane of a wider fingerprint, keys within the lane's budget
+are candidates, and the fingerprints don't travel with the keys. A group hands on
+its candidate pairs, or a spanning tree of them where that is fewer, and these are
+held against each other. A group of which the tree doesn't end up in one component
+is read again, with fingerprints and components, and its candidates of different
+components are tried one by one; in all other groups every candidate pair lies
+within one component already. So each candidate pair is decided or needs no
+decision, whatever the group's size. Pairs whose fingerprints leave the similarity
+open are decided by the Jaccard similarity of their shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -44,9 +50,6 @@ from .components import components
 
 #: Keys of one trie group in one task; larger groups are split further down the trie.
 GROUP_LIMIT = 50_000
-#: Candidate pairs for each row of a trie group up to which they are tried one by one; denser groups are joined by forests.
-#: A pair needs two fingerprints, a row one: below a half, pairs are less to shuffle.
-DENSE = 0.5
 #: Shingles that are summed at once.
 _CHUNK = 1 << 13
 #: Bits of a byte, each in a byte of a 64-bit word, highest bit first in memory.
@@ -88,26 +91,42 @@ class _Counter:
         return total
 
 
-def _fingerprinter(shingle: int, width: int):
+def _hashed_texts(column: pa.Array, shingle: int, distinct: bool) -> Iterator[np.ndarray]:
+    data, offsets = T.text_buffers(column)
+    raw = data.data if len(data) else memoryview(b"")
+    for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        hashes = shingle_hashes(bytes(raw[low:high]), shingle)
+        yield np.unique(hashes) if distinct else hashes
+
+
+def _named(hashes: np.ndarray) -> int:
+    """A number for a text's shingles."""
+    return xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
+def _fingerprinter(shingle: int, width: int, distinct: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(width)
         for batch in batches:
-            data, offsets = T.text_buffers(batch.column(1))
-            raw, out = data.data if len(data) else memoryview(b""), []
-            for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                hashes = shingle_hashes(bytes(raw[low:high]), shingle)
+            out, names = [], []
+            for hashes in _hashed_texts(batch.column(1), shingle, distinct):
                 out.append(np.packbits(counter.counts(hashes) * 2 > len(hashes)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "fp"])
+                names.append(_named(hashes))
+            columns = [batch.column(0), pa.array(out, pa.binary()), *([pa.array(names, pa.int64())] if distinct else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "fp", "sid"][: len(columns)])
 
     return rows
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, width: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the SimHash of each row's whole text as ``width`` / 8 bytes. A text without words has the fingerprint zero."""
+def fingerprints(docs: DataFrame, shingle: int = 3, width: int = 64, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
+    """(id, fp): the SimHash of each row's whole text as ``width`` / 8 bytes. A text without words has the fingerprint zero.
+
+    With ``distinct``, a repeated shingle counts once, and ``sid`` names the text's set of shingles.
+    """
     if width % 64:
         raise ValueError("width must be a multiple of 64")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprinter(shingle, width), "id bigint, fp binary")
+    return rows.mapInArrow(_fingerprinter(shingle, width, distinct), "id bigint, fp binary" + ", sid bigint" * distinct)
 
 
 def _blocks(bits: int, parts: int) -> list[tuple[int, int]]:
@@ -169,48 +188,6 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _close(wide: np.ndarray, a: np.ndarray, b: np.ndarray, far: int) -> np.ndarray:
-    """Whether the whole fingerprints of a and b are within the budget."""
-    parts = [np.bitwise_count(wide[a[i : i + 100_000]] ^ wide[b[i : i + 100_000]]).sum(axis=1) <= far for i in range(0, len(a), 100_000)]
-    return np.concatenate(parts) if parts else np.zeros(0, bool)
-
-
-def _verified(rows: pd.DataFrame, opens: np.ndarray, a: np.ndarray, b: np.ndarray, far: int) -> np.ndarray:
-    """Labels of rows under the links within ``far``, where rows of one key (from ``opens`` on) and of the key pairs a-b are candidates.
-
-    Each row is first held against its key's first row, and the first rows of key
-    pairs against each other; then every candidate pair that this left apart is
-    tried. A large group of copies so costs its size, not its square.
-    """
-    n = len(rows)
-    wide = np.frombuffer(b"".join(rows["fp"]), np.uint64).reshape(n, -1)
-    sizes = np.diff(np.append(opens, n))
-    first = np.repeat(opens, sizes)
-    pairs = [(first, np.arange(n)), (opens[a], opens[b])]
-    x, y = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-    near = (x != y) & _close(wide, x, y, far)
-    x, y = x[near], y[near]
-    label = forest(n, x, y)
-    low, high = np.minimum.reduceat(label, opens), np.maximum.reduceat(label, opens)
-    a, b = np.concatenate([a, np.arange(len(opens))]), np.concatenate([b, np.arange(len(opens))])
-    apart = (np.minimum(low[a], low[b]) != np.maximum(high[a], high[b]))
-    a, b = a[apart], b[apart]
-    if len(a):
-        more = [(x, y)]
-        left = np.repeat(np.arange(len(a)), sizes[a])
-        u = T.ranges(opens[a], sizes[a])
-        for i in range(0, len(u), 4096):  # rows of the first key, each with all rows of the second
-            k = left[i : i + 4096]
-            v = T.ranges(opens[b[k]], sizes[b[k]])
-            w = np.repeat(u[i : i + 4096], sizes[b[k]])
-            try_it = label[w] != label[v]
-            w, v = w[try_it], v[try_it]
-            near = _close(wide, w, v, far)
-            more.append((w[near], v[near]))
-        label = forest(n, *(np.concatenate([m[k] for m in more]) for k in (0, 1)))
-    return label
-
-
 class _Groups:
     """Whole nodes of one batch; rows are sorted by node, side and rest. ``first`` has the first row of each key."""
 
@@ -234,32 +211,96 @@ class _Groups:
         #: Pairs of keys within the budget.
         self.a, self.b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
 
-    def forest(self, far: int | None) -> pd.DataFrame:
-        """Spanning links of each node's classes, within ``far`` bits of the whole fingerprint if that is given."""
+    def forest(self) -> pd.DataFrame:
+        """Spanning links of each node's classes."""
         first = self.first
-        label = forest(len(self.rep), first[self.a], first[self.b]) if far is None else _verified(self.rows, first, self.a, self.b, far)
+        label = forest(len(self.rep), first[self.a], first[self.b])
         ids, at = np.unique(self.rep, return_inverse=True)  # a class is in many groups
         label = forest(len(ids), at, at[label])
         moved = label != np.arange(len(ids))
         return pd.DataFrame({"src": ids[moved], "dst": ids[label[moved]]})
 
+    def _products(self, a: np.ndarray, b: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row pairs of all rows of the groups a with all of b; groups begin at ``first``."""
+        u = T.ranges(first[a], sizes[a])
+        k = np.repeat(np.arange(len(a)), sizes[a])
+        return np.repeat(u, sizes[b[k]]), T.ranges(first[b[k]], sizes[b[k]])
+
     def pairs(self) -> pd.DataFrame:
-        """Each candidate pair of classes (src, dst); of a node with over ``DENSE`` pairs a row, its name alone."""
-        n, first = len(self.rep), self.first
-        sizes = np.diff(np.append(first, n))
-        a, b = (np.concatenate([x, np.arange(len(first))]) for x in (self.a, self.b))
+        """Candidate pairs (src, dst) of classes: all of a node, or with the node's name a spanning tree of them, where that is fewer.
+
+        In a tree each row is tied to the least of its candidates, and one that is
+        the least itself to the least of all that candidates join.
+        """
+        rep, first, own = self.rep, self.first, np.arange(len(self.first))
+        sizes = np.diff(np.append(first, len(rep)))
+        a, b = (np.concatenate([x, own]) for x in (self.a, self.b))
         made = np.where(a == b, sizes[a] * (sizes[a] - 1) // 2, sizes[a] * sizes[b])
         where = self.number[first[a]]
-        total = np.bincount(where, made, self.number[-1] + 1)
-        dense = total > DENSE * np.bincount(self.number)
-        a, b = (x[~dense[where] & (made > 0)] for x in (a, b))
-        u = T.ranges(first[a], sizes[a])  # rows of the first key, each with all rows of the second
-        k = np.repeat(np.arange(len(a)), sizes[a])
-        v = T.ranges(first[b[k]], sizes[b[k]])
-        x, y = self.rep[np.repeat(u, sizes[b[k]])], self.rep[v]
+        many = np.bincount(where, made, self.number[-1] + 1) > np.bincount(self.number)
+        few = ~many[where] & (made > 0)
+        x, y = (rep[i] for i in self._products(a[few], b[few], first, sizes))
         pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
-        names = self.node[np.flatnonzero(np.diff(self.number, prepend=-1))[dense]]
-        return pd.concat([pd.DataFrame({"src": pair[:, 0], "dst": pair[:, 1], "node": None}), pd.DataFrame({"src": None, "dst": None, "node": names})]).astype({"src": "Int64", "dst": "Int64"})
+        least = np.minimum.reduceat(rep, first)
+        nearest, joined = least.copy(), least.copy()
+        np.minimum.at(nearest, self.a, least[self.b])
+        np.minimum.at(nearest, self.b, least[self.a])
+        label = forest(len(first), self.a, self.b)
+        np.minimum.at(joined, label, least)
+        key = np.repeat(own, sizes)
+        to = np.where(nearest[key] == rep, joined[label[key]], nearest[key])
+        tied = many[self.number] & (to != rep)
+        one = pd.DataFrame({"src": pair[:, 0], "dst": pair[:, 1], "node": None})
+        return pd.concat([one, pd.DataFrame({"src": to[tied], "dst": rep[tied], "node": self.node[tied]})])
+
+    def crossing(self, sure: int, far: int) -> pd.DataFrame:
+        """(src, dst, bits) of candidates of different labels within ``far`` bits; those within ``sure`` as spanning links."""
+        number, label = np.unique(self.rows["label"].to_numpy(), return_inverse=True)
+        key = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(self.rep))))
+        order = np.lexsort((label, key))  # keys are in order already
+        key, label, rep = key[order], label[order], self.rep[order]
+        wide = np.frombuffer(b"".join(self.rows["fp"].to_numpy()[order]), np.uint64).reshape(len(rep), -1)
+        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (label[1:] != label[:-1])]))
+        sizes = np.diff(np.append(starts, len(rep)))
+        subs = np.searchsorted(key[starts], np.arange(len(self.first)))  # the first part of one label of each key
+        n_subs = np.diff(np.append(subs, len(starts)))
+        of = label[starts]
+        one, two = self._products(np.concatenate([self.a, np.arange(len(subs))]), np.concatenate([self.b, np.arange(len(subs))]), subs, n_subs)
+        apart = (of[one] != of[two]) & ((key[starts[one]] != key[starts[two]]) | (one < two))
+        one, two = one[apart], two[apart]
+        found: list[tuple[np.ndarray, ...]] = []
+        groups, step = np.arange(len(number)), max(1, _CHUNK // int(sizes.max(initial=1)))
+        for i in range(0, len(one), step):
+            a, b = one[i : i + step], two[i : i + step]
+            open_ = groups[of[a]] != groups[of[b]]  # not linked meanwhile
+            for u, v in self._blocks_of(a[open_], b[open_], starts, sizes):
+                bits = np.bitwise_count(wide[u] ^ wide[v]).sum(axis=1)
+                near = bits <= far
+                found.append((rep[u[near]], rep[v[near]], bits[near], label[u[near]], label[v[near]]))
+                linked = bits <= sure
+                if linked.any():
+                    pair = np.unique(np.stack([groups[label[u[linked]]], groups[label[v[linked]]]]), axis=1)
+                    groups = forest(len(number), pair[0], pair[1])[groups]
+        if not found:
+            return pd.DataFrame({"src": [], "dst": [], "bits": []})
+        src, dst, bits, la, lb = (np.concatenate([f[k] for f in found]) for k in range(5))
+        # of the sure links one for each pair of labels, and what is unsure between labels that these leave apart
+        certain = bits <= sure
+        _, at = np.unique(np.stack([np.minimum(la, lb), np.maximum(la, lb)])[:, certain], axis=1, return_index=True)
+        keep = np.flatnonzero(certain)[at]
+        keep = np.concatenate([keep, np.flatnonzero(~certain & (groups[la] != groups[lb]))])
+        return pd.DataFrame({"src": src[keep], "dst": dst[keep], "bits": bits[keep].astype(np.int64)})
+
+    def _blocks_of(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Row pairs of the parts a and b, about a million at a time."""
+        u, k = T.ranges(starts[a], sizes[a]), np.repeat(np.arange(len(a)), sizes[a])
+        each = sizes[b[k]]
+        total = np.cumsum(each)
+        low = 0
+        while low < len(u):
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 20), "right")))
+            yield np.repeat(u[low:high], each[low:high]), T.ranges(starts[b[k[low:high]]], each[low:high])
+            low = high
 
 
 def _linker(bits: int, budget: int, limit: int, of):
@@ -286,12 +327,15 @@ def _linker(bits: int, budget: int, limit: int, of):
     return rows
 
 
-def _near_pairs(far: int):
+def _distances(far: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of (src, dst, a, b), the pairs whose fingerprints a and b are within ``far``."""
+        """Of (src, dst, a, b), the pairs whose fingerprints a and b are within ``far``, with their differing bits."""
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3)) if batch.num_rows else (np.zeros((0, 1), np.uint64),) * 2
-            yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(one ^ two).sum(axis=1) <= far))
+            if batch.num_rows:
+                one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3))
+                bits = np.bitwise_count(one ^ two).sum(axis=1).astype(np.int64)
+                near = pa.array(bits <= far)
+                yield pa.RecordBatch.from_arrays([x.filter(near) for x in (batch.column(0), batch.column(1), pa.array(bits))], names=["src", "dst", "bits"])
 
     return rows
 
@@ -332,10 +376,11 @@ def _rotated(classes: DataFrame, width: int, bits: int, budget: int, parts: int)
 
 
 def _deeper(rows: DataFrame, step: int, budget: int) -> DataFrame:
-    """Replaces node pairs by the pairs of their descendants ``step`` bits further down."""
-    below = F.expr(f"CAST(shiftrightunsigned(rest, bits - {step}) & {(1 << step) - 1} AS INT)")
+    """Replaces node pairs by the pairs of their descendants ``step`` bits further down, or at the leaves."""
+    down = f"least({step}, bits)"
+    below = F.expr(f"CAST(shiftrightunsigned(rest, bits - {down}) & (shiftleft(1L, {down}) - 1) AS INT)")
     # of a pair, side 1 names its child first; of a node with itself, the lesser child comes first
-    near = F.expr(f"filter(sequence(0, {(1 << step) - 1}), o -> errors + bit_count(o ^ child) <= {budget})")
+    near = F.expr(f"filter(sequence(0, shiftleft(1, {down}) - 1), o -> errors + bit_count(o ^ child) <= {budget})")
     out = rows.withColumn("child", below).withColumn("other", F.explode(near))
     first = F.expr("CASE WHEN side = 0 THEN least(child, other) WHEN side = 1 THEN child ELSE other END")
     second = F.expr("CASE WHEN side = 0 THEN greatest(child, other) WHEN side = 1 THEN other ELSE child END")
@@ -343,75 +388,165 @@ def _deeper(rows: DataFrame, step: int, budget: int) -> DataFrame:
     return out.select(
         "rep",
         F.concat_ws(".", "node", first, second).alias("node"),
-        F.expr(f"rest & (shiftleft(1L, bits - {step}) - 1)").alias("rest"),
-        (F.col("bits") - step).alias("bits"),
+        F.expr(f"rest & (shiftleft(1L, bits - {down}) - 1)").alias("rest"),
+        F.expr(f"bits - {down}").alias("bits"),
         side.alias("side"),
         F.expr("errors + bit_count(child ^ other)").alias("errors"),
     )
 
 
-def _salted(rows: DataFrame, hot: DataFrame, limit: int) -> DataFrame:
-    """Nodes whose keys are all but equal, cut by a hash of the class; the node's least class is in each part.
+def _stars(leaves: DataFrame) -> DataFrame:
+    """Each row of a node of equal keys, tied to the node's least class."""
+    least = leaves.groupBy("node").agg(F.min("rep").alias("src"))
+    return leaves.join(least, "node").where("rep <> src").select("src", F.col("rep").alias("dst"), "node")
 
-    Rows of different parts are then linked through that class alone.
-    """
-    spread = rows.join(hot.select("node", "n"), "node").withColumn("salts", F.ceil(F.col("n") / limit).cast("int"))
-    cut = spread.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
-    least = spread.groupBy("node").agg(F.min_by(F.struct(*spread.columns), "rep").alias("x")).select("x.*").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    both = cut.unionByName(least).dropDuplicates(["node", "salt", "rep"])
-    return both.withColumn("node", F.concat_ws("/", "node", "salt")).select(rows.columns)
+
+def _squared(leaves: DataFrame, limit: int) -> DataFrame:
+    """Nodes of equal keys cut into parts of about ``limit`` rows, as a node for each two parts: any two rows of a node meet."""
+    n = leaves.groupBy("node").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
+    cut = leaves.join(n, "node").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    return cut.withColumn("node", F.concat_ws("/", "node", F.least("part", "other"), F.greatest("part", "other"))).drop("parts", "part", "other")
 
 
-def links(classes: DataFrame, width: int = 64, budget: int = 2, lane_bits: int = 64, lane_budget: int | None = None, parts: int | None = None, group_limit: int = GROUP_LIMIT, step: int = 8) -> DataFrame:
+def links(
+    classes: DataFrame,
+    width: int = 64,
+    budget: int = 2,
+    lane_bits: int = 64,
+    lane_budget: int | None = None,
+    parts: int | None = None,
+    group_limit: int = GROUP_LIMIT,
+    step: int = 8,
+    sure: int | None = None,
+    confirm: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(src, dst) links that join the classes (rep bigint, fp binary, distinct) as all pairs within the budget would.
 
     With lanes shorter than the fingerprint a pair is a candidate if any lane has
     at most ``lane_budget`` differing bits, and linked if the whole fingerprint
     has at most ``budget``; with one lane that is the lane's own budget and the
-    result is exact.
+    result is exact. ``confirm`` decides candidates (src, dst) of more than ``sure`` bits.
     """
     whole = lane_bits == width
     lane_budget = budget if whole else (lane_budget if lane_budget is not None else 2)
     rows, bits = _rotated(classes, width, lane_bits, lane_budget, parts or lane_budget + 2)
-    parts_of: list[DataFrame] = []
+    cold: list[DataFrame] = []
+    leaves: list[DataFrame] = []
     while True:
-        hot = rows.groupBy("node").agg(F.count("*").alias("n"), F.max("bits").alias("left")).where(F.col("n") > group_limit)
-        if hot.isEmpty():
+        large = rows.groupBy("node").agg(F.count("*").alias("n"), F.max("bits").alias("left")).where(F.col("n") > group_limit)
+        if large.isEmpty():
             break
-        hot = written(hot)
-        parts_of.append(rows.join(hot, "node", "left_anti"))
-        parts_of.append(_salted(rows, hot.where(F.col("left") < step), group_limit))
-        rows = written(_deeper(rows.join(hot.where(F.col("left") >= step), "node", "left_semi"), step, lane_budget))
-    parts_of.append(rows)
-    aligned = [part.withColumn("rest", F.expr(f"shiftleft(rest, {bits} - bits)")).select("node", "side", "rest", "errors", "rep") for part in parts_of]
+        large = written(large)
+        cold.append(rows.join(large, "node", "left_anti"))
+        leaves.append(rows.join(large.where("left = 0"), "node", "left_semi"))
+        rows = written(_deeper(rows.join(large.where("left > 0"), "node", "left_semi"), step, lane_budget))
+    cold.append(rows)
+
+    def aligned(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rest", F.expr(f"shiftleft(rest, {bits} - bits)"))
+
     n = shuffle_partitions(classes.sparkSession)
 
-    def grouped(rows: DataFrame, of, schema: str) -> DataFrame:
-        return rows.repartition(n, "node").sortWithinPartitions("node", "side", "rest").mapInPandas(_linker(bits, lane_budget, group_limit, of), schema)
+    def grouped(rows: DataFrame, columns: list[str], of, schema: str) -> DataFrame:
+        found = rows.select("node", "side", "rest", "errors", *columns)
+        return found.repartition(n, "node").sortWithinPartitions("node", "side", "rest").mapInPandas(_linker(bits, lane_budget, group_limit, of), schema)
 
     if whole:
-        return reduce(DataFrame.unionByName, [grouped(x, lambda g: g.forest(None), "src bigint, dst bigint") for x in aligned])
-    tried = written(reduce(DataFrame.unionByName, [grouped(x, _Groups.pairs, "src bigint, dst bigint, node string") for x in aligned]))
+        # of equal keys there is one class each: a leaf pair is a link by itself
+        return reduce(DataFrame.unionByName, [grouped(aligned(x), ["rep"], _Groups.forest, "src bigint, dst bigint") for x in [*cold, *leaves]])
+    tried = [grouped(aligned(x), ["rep"], _Groups.pairs, "src bigint, dst bigint, node string") for x in cold]
+    tried = written(reduce(DataFrame.unionByName, [*tried, *map(_stars, leaves)]))
     one, two = (classes.select(F.col("rep").alias(i), F.col("fp").alias(c)) for i, c in (("src", "a"), ("dst", "b")))
-    pairs = tried.where("node is null").select("src", "dst").distinct().join(one, "src").join(two, "dst").select("src", "dst", "a", "b")
-    dense = written(tried.where("node is not null").select("node").distinct())
-    found = [pairs.mapInArrow(_near_pairs(budget), "src bigint, dst bigint")]
-    for x in aligned:
-        found.append(grouped(x.join(dense, "node", "left_semi").join(classes, "rep"), lambda g: g.forest(budget), "src bigint, dst bigint"))
-    return reduce(DataFrame.unionByName, found)
+    pairs = tried.select("src", "dst").distinct().join(one, "src").join(two, "dst").select("src", "dst", "a", "b")
+    sure = budget if sure is None else sure
+
+    def decided(near: DataFrame) -> DataFrame:
+        if confirm is None:
+            return near.select("src", "dst")
+        near = written(near)
+        return near.where(F.col("bits") <= sure).select("src", "dst").unionByName(confirm(near.where(F.col("bits") > sure).select("src", "dst")))
+
+    first = written(decided(pairs.mapInArrow(_distances(budget), "src bigint, dst bigint, bits bigint")))
+    trees = tried.where("node is not null")
+    label = components(first)
+    apart = trees.select("src", "dst").distinct().join(first, ["src", "dst"], "left_anti")
+    for side in ("src", "dst"):
+        known = label.select(F.col("id").alias(side), F.col("component").alias(f"{side}_in"))
+        apart = apart.join(known, side, "left").withColumn(f"{side}_in", F.coalesce(f"{side}_in", side))
+    again = written(trees.join(apart.where("src_in <> dst_in"), ["src", "dst"], "left_semi").select("node").distinct())
+    if again.isEmpty():
+        return first
+    known = classes.join(label, F.col("rep") == F.col("id"), "left").select("rep", "fp", F.coalesce("component", "rep").alias("label"))
+    open_rows = [x.join(again, "node", "left_semi") for x in cold] + [_squared(x.join(again, "node", "left_semi"), group_limit) for x in leaves]
+    crossing = [grouped(aligned(x).join(known, "rep"), ["rep", "fp", "label"], lambda g: g.crossing(sure, budget), "src bigint, dst bigint, bits bigint") for x in open_rows]
+    return first.unionByName(decided(reduce(DataFrame.unionByName, crossing)))
+
+
+def _sets(shingle: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of (rep, sid, text), the shingle sets of the texts that sid names."""
+        for batch in batches:
+            keep, out = [], []
+            for i, hashes in enumerate(_hashed_texts(batch.column(2), shingle, True)):
+                if _named(hashes) == batch.column(1)[i].as_py():
+                    keep.append(i)
+                    out.append(hashes.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(out, pa.list_(pa.int64()))], names=["rep", "shingles"])
+
+    return rows
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, width: int = 64, budget: int = 2, lane_bits: int | None = None, lane_budget: int = 2, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text", group_limit: int = GROUP_LIMIT) -> DataFrame:
+def _jaccard(classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> Callable[[DataFrame], DataFrame]:
+    """Keeps the pairs of classes whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.distinct()
+        reps = pairs.select(F.explode(F.array("src", "dst")).alias("rep")).distinct()
+        wanted = written(classes.join(reps, "rep", "left_semi").select("rep", "sid"))
+        sets = texts.join(wanted, F.col("id") == F.col("rep")).select("rep", "sid", "text").mapInArrow(_sets(shingle), "rep bigint, shingles array<bigint>").dropDuplicates(["rep"])
+        one, two = (sets.select(F.col("rep").alias(i), F.col("shingles").alias(c)) for i, c in (("src", "a"), ("dst", "b")))
+        both = F.size(F.array_intersect("a", "b"))
+        alike = both >= similarity * (F.size("a") + F.size("b") - both) - 1e-9
+        return pairs.join(one, "src").join(two, "dst").where(alike).select("src", "dst")
+
+    return confirm
+
+
+def near_duplicates(
+    docs: DataFrame,
+    shingle: int = 3,
+    width: int = 64,
+    budget: int = 2,
+    lane_bits: int | None = None,
+    lane_budget: int = 2,
+    parts: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    group_limit: int = GROUP_LIMIT,
+    similarity: float | None = None,
+) -> DataFrame:
     """(id, fp, component_id): each row's fingerprint and the least id that links of at most ``budget`` differing bits reach.
 
+    With ``similarity``, fingerprints are of distinct shingles, and it is the Jaccard
+    similarity of the shingle sets that links: fingerprints decide alone where they
+    are more than MARGIN standard deviations from what that similarity has.
+
     Rows that share an id are one document and repeat in the result. A row of a
     null id has a fingerprint and no component, and links nothing. A null or
     empty text has no words and the fingerprint zero, linked like any other.
     """
-    found = written(fingerprints(docs, shingle, width, id_col, text_col))
+    exact = similarity is not None
+    found = written(fingerprints(docs, shingle, width, id_col, text_col, exact))
     named = found.where("id is not null")
-    classes = written(named.groupBy("fp").agg(F.min("id").alias("rep")))
-    edges = links(classes, width, budget, lane_bits or width, lane_budget, parts, group_limit)
+    if exact:
+        least = named.groupBy("fp").agg(F.min(F.struct("id", "sid")).alias("x"))
+        classes = written(least.select("fp", F.col("x.id").alias("rep"), F.col("x.sid").alias("sid")))
+        texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+        sure, far = similarity_bits(similarity, width)
+        edges = links(classes.select("rep", "fp"), width, far, lane_bits or width, lane_budget, parts, group_limit, sure=sure, confirm=_jaccard(classes, texts, shingle, similarity))
+    else:
+        classes = written(named.groupBy("fp").agg(F.min("id").alias("rep")))
+        edges = links(classes, width, budget, lane_bits or width, lane_budget, parts, group_limit)
     # an id with several texts joins their classes
     repeats = named.groupBy("id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select("id")
     same = named.join(repeats, "id").join(classes, "fp").select(F.col("id").alias("src"), F.col("rep").alias("dst"))
@@ -420,15 +555,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, width: int = 64, budget:
     return found.join(roots, "fp", "left").select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def similarity_budget(similarity: float, width: int, margin: float = 1.0) -> int:
-    """Differing bits of ``width`` at which shingle sets of that Jaccard similarity are still linked.
+#: Standard deviations around the expected distance within which shingle sets are compared themselves.
+MARGIN = 3.0
+
+
+def similarity_bits(similarity: float, width: int, margin: float = MARGIN) -> tuple[int, int]:
+    """Differing bits of ``width`` up to which, and beyond which, shingle sets are above or below that Jaccard similarity.
 
     Jaccard j of sets of about equal size is a cosine of 2j / (1 + j); the
-    expected share of differing bits is the angle over pi. ``margin`` standard
-    deviations are added, since the share is an estimate.
+    expected share of differing bits is the angle over pi, with ``margin``
+    standard deviations to either side.
     """
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(width * share + margin * np.sqrt(width * share * (1 - share)))
+    middle, spread = width * share, margin * np.sqrt(width * share * (1 - share))
+    return max(int(middle - spread), 0), int(middle + spread)
 
 
 #: Parameters of near-duplicates at a similarity of 0.8 on shingles of five words: 24 tries of 32 bits.
@@ -438,10 +578,10 @@ SIMILAR = {"shingle": 5, "width": 768, "lane_bits": 32, "lane_budget": 2, "parts
 def keep_one(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the least doc_id; rows of a null doc_id stay.
 
-    Two texts are near-duplicates if their fingerprints of 768 bits, made of
-    five-word shingles, estimate a similarity of at least ``similarity``.
+    Two texts are near-duplicates if their sets of five-word shingles have a Jaccard
+    similarity of at least ``similarity``.
     """
-    near = near_duplicates(docs, budget=similarity_budget(similarity, SIMILAR["width"]), **SIMILAR)
+    near = near_duplicates(docs, similarity=similarity, **SIMILAR)
     first = near.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
     named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
