@@ -24,6 +24,13 @@ def padded(ids: Column, length: Column, pad: int, most: int) -> Column:
     return F.concat(cut, F.array_repeat(F.lit(pad), F.greatest(length - F.size(cut), F.lit(0))))
 
 
+def training_arrays(ids: Column, length: Column, pad: int, most: int) -> Column:
+    """(input_ids, attention_mask, labels): ids cut at ``most`` and filled up to ``length``; labels are a copy of the ids, fill included."""
+    filled = padded(ids, length, pad, most)
+    mask = padded(F.transform(F.slice(ids, 1, most), lambda _: F.lit(1)), length, 0, most)
+    return F.struct(filled.alias("input_ids"), mask.alias("attention_mask"), filled.alias("labels"))
+
+
 def nearest_rank(values: Column, share: float) -> Column:
     """The value at the index round((n - 1) * share), halves to even, of the sorted numbers; null without any."""
     ordered = F.array_sort(values)

@@ -38,18 +38,25 @@ def dangerous(code: Column) -> Column:
     return F.filter(F.array(*(F.when(code.rlike(f"(?i){p}"), F.lit(p)) for p in P.DANGEROUS_CODE)), lambda x: x.isNotNull())
 
 
+def _compile_error(text: str | None) -> str | None:
+    if text is None:
+        return "no code"
+    try:
+        compile(text, "<block>", "exec")
+    except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
+        return f"{type(e).__name__}: {getattr(e, 'msg', None) or e}"
+    return None
+
+
 @F.pandas_udf(T.StringType())
 def _syntax_error(code: pd.Series) -> pd.Series:
-    def check(text: str | None) -> str | None:
-        if text is None:
-            return "no code"
-        try:
-            compile(text, "<block>", "exec")
-        except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
-            return f"{type(e).__name__}: {getattr(e, 'msg', None) or e}"
-        return None
-
-    return code.map(check).astype(object)
+    return code.map(_compile_error).astype(object)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def syntax_errors(blocks: pd.Series) -> pd.Series:
+    """For each of an array of codes, why it doesn't compile, or null."""
+    return blocks.map(lambda found: [_compile_error(b) for b in found])
 
 
 def syntax_error(code: Column) -> Column:

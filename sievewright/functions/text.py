@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,32 +84,36 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
 
 
+@F.pandas_udf(T.DoubleType())
+def _most_frequent(text: pd.Series) -> pd.Series:
+    def share(t: str | None) -> float | None:
+        if t is None:
+            return None
+        found = t.lower().split()
+        return max(Counter(found).values()) / len(found) if len(found) > 10 else 0.0
+
+    return text.map(share, na_action=None).astype("float64")
+
+
 def repetition_ratio(text: Column) -> Column:
     """Share of the most frequent word, in lower case, of a text of over ten words; else 0.
 
-    The words are sorted, so that one pass finds the longest run of equal ones.
+    Words are counted in Arrow batches: in built-in functions a text's words would
+    have to be sorted, or shuffled by word.
     """
-    ordered = F.array_sort(words(F.lower(text)))
-    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(0).alias("most"))
-
-    def step(acc: Column, w: Column) -> Column:
-        run = F.when(w == acc["word"], acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(w.alias("word"), run.alias("run"), F.greatest(acc["most"], run).alias("most"))
-
-    most = F.aggregate(ordered, start, step, lambda acc: acc["most"])
-    return F.when(F.size(ordered) > 10, most / F.size(ordered)).otherwise(F.lit(0.0))
+    return _most_frequent(text)
 
 
 def format_checks(text: Column) -> Column:
     """A struct of what an answer looks like; ``format_compliant`` if it has content and no word of an error."""
     ratio = repetition_ratio(text)
-    content = F.length(F.regexp_replace(text, r"(?U)\s+", "")) > 0
-    errors = reduce(lambda a, b: a | b, (F.contains(F.lower(text), F.lit(w)) for w in P.ERROR_WORDS))
+    content = text.rlike(r"(?U)\S")
+    errors = F.lower(text).rlike("|".join(P.ERROR_WORDS))
     return F.struct(
         content.alias("has_content"),
         F.length(text).alias("output_length"),
-        F.size(words(text)).alias("word_count"),
-        F.size(F.split(text, "\n")).alias("line_count"),
+        F.regexp_count(text, F.lit(r"(?U)\S+")).alias("word_count"),
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("line_count"),
         F.contains(text, F.lit("```")).alias("has_code_blocks"),
         text.rlike(r"(?m)^#{1,6}\s").alias("has_markdown"),
         ratio.alias("repetition_ratio"),
@@ -139,6 +145,37 @@ def eval_prompt(instruction: Column, input_text: Column) -> Column:
     return F.concat(F.lit("Instruction: "), asked, F.lit("\n\nOutput:"))
 
 
+# What a model is asked for, by sample and by batch.
+_REQUEST = """Return ONLY strict JSON (no markdown) with keys instruction,input,output.
+instruction must exactly match the provided instruction.
+input must exactly match the provided input.
+
+Constraints: output must be concise and <= %d tokens.
+
+"""
+_BATCH_REQUEST = """Return ONLY strict JSON (no markdown).
+Output must be a JSON array where each element has keys id,instruction,input,output.
+id must exactly match the provided id.
+instruction must exactly match the provided instruction.
+input must exactly match the provided input.
+Constraints: each output must be concise and <= %d tokens.
+
+"""
+_BETWEEN = "\n\n---\n\n"
+
+
+def teacher_request(instruction: Column, input_text: Column, max_tokens: int = 256) -> Column:
+    """The request for one sample's answer; a null text is empty."""
+    i, x = (F.coalesce(c, F.lit("")) for c in (instruction, input_text))
+    return F.concat(F.lit(_REQUEST % max_tokens), F.lit("instruction: "), i, F.lit("\n\ninput: "), x, F.lit("\n"))
+
+
+def batch_request(items: Column, max_tokens: int = 256) -> Column:
+    """The request for the answers to an array of (id, instruction, input), in their order."""
+    part = lambda s: F.concat(F.lit("id: "), s["id"], F.lit("\ninstruction: "), F.coalesce(s["instruction"], F.lit("")), F.lit("\ninput: "), F.coalesce(s["input"], F.lit("")))
+    return F.concat(F.lit(_BATCH_REQUEST % max_tokens), F.array_join(F.transform(items, part), _BETWEEN), F.lit("\n"))
+
+
 def answer_of(response: Column) -> Column:
     """The text behind the first ``Output:``, trimmed; the whole response without one."""
     at = F.instr(response, "Output:")

@@ -1,7 +1,7 @@
 """Exact and near-exact deduplication where the first row wins.
 
-Keys and order columns alone are shuffled: the row that stays is found by a
-minimum that is taken before the shuffle, and the full rows join back.
+The row that stays is a minimum by the order columns, taken in each task before
+the one shuffle, so that a key that a third of all rows have is a row per task.
 """
 
 from __future__ import annotations
@@ -25,11 +25,18 @@ def first_of(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.min(F.struct(*order)).alias("_first")).select(*key, "_first.*")
 
 
-def keep_first(rows: DataFrame, key: Column, order: list[str]) -> DataFrame:
-    """The first row of each key, in the order of columns that identify a row."""
-    keyed = rows.select(*order, key.alias("_key"))
-    firsts = first_of(keyed, ["_key"], order).drop("_key")
-    return rows.join(firsts, order, "left_semi")
+def keep_first(rows: DataFrame, key: Column, order: list[str], columns: list[str] | None = None) -> DataFrame:
+    """The first row of each key (null is a key too), with ``columns`` or all of its columns.
+
+    Order columns may repeat or be null: nulls come first, and of rows with equal
+    order the one with the least hash of the row stays.
+    """
+    from .ordering import row_hash
+
+    names = columns or rows.columns
+    picked = F.struct(*(F.col(f"`{c}`") for c in names))
+    found = rows.groupBy(key.alias("_key")).agg(F.min_by(picked, F.struct(*order, row_hash(rows).alias("_tie"))).alias("_row"))
+    return found.select(*(F.col("_row")[c].alias(c) for c in names))
 
 
 def exact_key(instruction: str = "instruction", output: str = "output") -> Column:
@@ -73,18 +80,18 @@ def fuzzy_key_builtin(rows: DataFrame, id_col: str, text: Column) -> DataFrame:
     return long.unionByName(short).select("id", F.sha2("k", 256).alias("fuzzy"))
 
 
-def dedupe_samples(samples: DataFrame, order: list[str] | None = None) -> DataFrame:
+def dedupe_samples(samples: DataFrame, order: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """The first of each group of samples with one fuzzy key of instruction and output.
 
     Equal texts have equal keys, so exact duplicates go with them.
     """
     text = F.concat(F.coalesce(F.col("instruction"), F.lit("")), F.coalesce(F.col("output"), F.lit("")))
-    return keep_first(samples, fuzzy_key(text), order or ["seq"])
+    return keep_first(samples, fuzzy_key(text), order or ["seq"], columns)
 
 
-def dedupe_global(samples: DataFrame, order: list[str] | None = None) -> DataFrame:
+def dedupe_global(samples: DataFrame, order: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
     """The first line of each (instruction, input, output) over all files, in the order of path and line."""
-    return keep_first(samples, global_key(), order or ["path", "line_no"])
+    return keep_first(samples, global_key(), order or ["path", "line_no"], columns)
 
 
 def distinct_strings(rows: DataFrame, column: str, order: str = "seq") -> DataFrame:

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import json, text
+from .ordering import ranged
+
+#: Of approximate percentiles: their error in rank is a share of at most 1 / _ACCURACY.
+_ACCURACY = 10_000
+#: Half of the share of ranks that is looked at for an exact percentile, and the rows below which all are.
+_SLACK, _SMALL = 0.003, 1_000
 
 
 def with_scores(answers: DataFrame, output: str = "output", keep: int = 500) -> DataFrame:
@@ -50,33 +58,41 @@ def metrics(results: DataFrame, by: list[str] | None = None) -> DataFrame:
     return results.groupBy(*(by or [])).agg(*_metric_columns()).where("total_samples > 0")
 
 
-def report(results: DataFrame) -> DataFrame:
-    """One row: the metrics as a struct and the results as an array, in the order of sample_id.
-
-    For the results of one evaluation, which are a report's size; use
-    ``metrics`` for more.
-    """
-    names = ["total_samples", "successful_samples", "failed_samples", "success_rate", "json_parse_rate", "format_compliance_rate", "repetition_rate", "avg_output_length"]
-    rest = [c for c in results.columns if c != "sample_id"]
-    whole = results.agg(*_metric_columns(), F.array_sort(F.collect_list(F.struct("sample_id", *rest))).alias("sample_results"))
-    return whole.where("total_samples > 0").select(F.struct(*names).alias("metrics"), "sample_results")
+def report(results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two tables of a report: one row of metrics, and the results, sorted by sample_id where they are written."""
+    return metrics(results), results.select("sample_id", *(c for c in results.columns if c != "sample_id")).orderBy("sample_id")
 
 
 def latency_summary(rows: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """n, mean, p50 and p95 by the nearest rank, round((n - 1) * share) with halves to even.
 
-    Ranks are taken by a window over each group, which spills; nothing is
-    gathered in an array.
+    An approximate percentile, whose error in rank has a bound, brackets each
+    exact one; values below the bracket are counted, and only the few inside it
+    are ranked, equal ones as one row.
     """
-    keys = by or []
-    valued = rows.where(F.col(value).isNotNull())
-    ordered = Window.partitionBy(*keys).orderBy(value)
-    ranked = valued.select(*keys, F.col(value).alias("v"), (F.row_number().over(ordered) - 1).alias("at"), F.count("*").over(Window.partitionBy(*keys)).alias("n"))
-
-    def at(share: float) -> Column:
-        return F.max(F.when(F.col("at") == F.bround((F.col("n") - 1) * F.lit(share), 0), F.col("v")))
-
-    return ranked.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("v").alias("mean"), at(0.5).alias("p50"), at(0.95).alias("p95"))
+    groups, shares = [F.col(c) for c in by] if by else [F.lit(0)], (0.5, 0.95)
+    keys = [f"_k{i}" for i in range(len(groups))]
+    valued = rows.where(F.col(value).isNotNull()).select(*(c.alias(k) for c, k in zip(groups, keys, strict=True)), F.col(value).alias("v"))
+    cuts = [min(max(p + d, 0.0), 1.0) for p in shares for d in (-_SLACK, _SLACK)]
+    stats = valued.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.percentile_approx("v", cuts, _ACCURACY).alias("cut"))
+
+    def both(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Joined by the keys, of which null is one."""
+        named = right.withColumnsRenamed({k: f"{k}_" for k in keys})
+        on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys))
+        return left.join(named if by else F.broadcast(named), on).drop(*(f"{k}_" for k in keys))  # without ``by`` it is one row
+
+    found = stats
+    for i in range(len(shares)):
+        low, high = F.col("cut")[2 * i], F.col("cut")[2 * i + 1]
+        # values below the bracket are one row with the rest of what is counted
+        small = F.col("n") < _SMALL
+        counted = both(valued, stats).where(small | (F.col("v") <= high)).groupBy(*keys, F.when(small | (F.col("v") >= low), F.col("v")).alias("v")).agg(F.count("*").alias("c"), F.any_value("n").alias("n"))
+        upto = F.sum("c").over(Window.partitionBy(*keys).orderBy(F.col("v").asc_nulls_first()))
+        rank = F.bround((F.col("n") - 1) * F.lit(shares[i]), 0)
+        at = counted.withColumn("_upto", upto).where((F.col("_upto") > rank) & (F.col("_upto") - F.col("c") <= rank) & F.col("v").isNotNull())
+        found = both(found, at.select(*keys, F.col("v").alias(f"p{round(100 * shares[i])}")))
+    return found.select(*(F.col(k).alias(c) for c, k in zip(by or [], keys, strict=False)), "n", "mean", *(f"p{round(100 * p)}" for p in shares))
 
 
 def best_round(reports: DataFrame) -> DataFrame:
@@ -93,8 +109,21 @@ def best_trial(trials: DataFrame) -> DataFrame:
 
 
 def best_so_far(rows: DataFrame, value: str, order: list[str], by: list[str] | None = None) -> DataFrame:
-    """``rows`` with ``best`` (the least value up to the row) and ``improved`` (whether the row set it)."""
-    window = Window.partitionBy(*(by or [])).orderBy(*order)
+    """``rows`` with ``best`` (the least value up to the row) and ``improved`` (whether the row set it).
+
+    Without ``by`` the order is one column of numbers, and its ranges are summed
+    up first, so that no task has all rows.
+    """
+    if not by:
+        cut = ranged(rows, order[0])
+        least = cut.groupBy("_range").agg(F.min(value).alias("_least"))
+        earlier = F.min("_least").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+        cut = cut.join(F.broadcast(least.select("_range", earlier.alias("_earlier"))), "_range")
+        inner = Window.partitionBy("_range").orderBy(F.col(order[0]).asc_nulls_first(), "_tie")
+        before = F.least(F.min(value).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.col("_earlier"))
+        done = cut.withColumn("_before", before).withColumn("best", F.least("_before", value))
+        return done.withColumn("improved", F.coalesce(F.col(value) < F.col("_before"), F.col(value).isNotNull())).select(*rows.columns, "best", "improved")
+    window = Window.partitionBy(*by).orderBy(*order)
     before = F.min(value).over(window.rowsBetween(Window.unboundedPreceding, -1))
     return rows.withColumn("best", F.min(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("improved", F.coalesce(F.col(value) < before, F.col(value).isNotNull()))
 

@@ -2,33 +2,71 @@
 
 A global position is made in two steps: rows are cut by the order column into
 ranges, ranges are counted, and each row's place in its range is added to the
-rows before the range.
+rows before the range. A value that fills several ranges is cut further by a hash
+of the row.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import arrays, text
 
 
 def _ranges(spark: SparkSession) -> int:
     return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def positioned(rows: DataFrame, order: str, name: str = "position", ranges: int | None = None) -> DataFrame:
-    """``rows`` with their place from 0 in ascending ``order``, a column of distinct numbers."""
+def bounds_below(value: Column, bounds: list, kind: str = "bigint") -> Column:
+    """How many of the sorted bounds are below the value, by bisection; 0 for null."""
+    if not bounds:
+        return F.lit(0)
+    array = F.split(F.lit(",".join(map(str, bounds))), ",").cast(f"array<{kind}>")
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+
+    def step(acc: Column, _: Column) -> Column:
+        middle = ((acc["low"] + acc["high"]) / 2).cast("int")
+        above = value > F.get(array, middle)
+        done = acc["low"] >= acc["high"]
+        return F.struct(F.when(done | ~above, acc["low"]).otherwise(middle + 1).alias("low"), F.when(done | above, acc["high"]).otherwise(middle).alias("high"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step, lambda acc: acc["low"])
+    return F.when(value.isNull(), F.lit(0)).otherwise(found)
+
+
+def row_hash(rows: DataFrame) -> Column:
+    """A hash of the whole row; maps count by their entries."""
+    return F.xxhash64(*(F.map_entries(f"`{c}`") if t.startswith("map<") else F.col(f"`{c}`") for c, t in rows.dtypes))
+
+
+def ranged(rows: DataFrame, order: str, ranges: int | None = None, tie: str | None = None) -> DataFrame:
+    """``rows`` with ``_tie``, a hash of the row (or the number ``tie``), and ``_range``, which rises with ``order`` (a number, nulls first) and then with the hash."""
     n = ranges or _ranges(rows.sparkSession)
-    bounds = rows.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10_000)).first()[0] or []
-    cut = reduce(lambda c, b: c + (F.col(order) > F.lit(b)).cast("int"), sorted(set(bounds)), F.lit(0))
-    ranged = rows.withColumn("_range", cut)
+    cuts = [i / n for i in range(1, n)]
+    bounds = (rows.agg(F.percentile_approx(order, cuts, max(10_000, 20 * n))).first()[0] if cuts else None) or []
+    distinct = sorted(set(bounds))
+    times = [bounds.count(b) for b in distinct]
+    most = max(times, default=1)
+    tied = rows.withColumn("_tie", F.col(tie) if tie else row_hash(rows))
+    if not distinct:
+        return tied.withColumn("_range", F.lit(0).cast("bigint"))
+    kind = rows.schema[order].dataType.simpleString()
+    at = tied.withColumn("_below", bounds_below(F.col(order), distinct, kind))
+    # a bound that is met several times has so many ranges of its own, behind the values below it
+    bound, share = (F.get(F.split(F.lit(",".join(map(str, x))), ",").cast(f"array<{k}>"), F.col("_below")) for x, k in ((distinct, kind), (times, "int")))
+    own = F.when((share > 1) & (F.col(order) == bound), 1 + F.floor((F.col("_tie") / F.lit(2.0**64) + 0.5) * share)).otherwise(0)
+    return at.withColumn("_range", F.col("_below").cast("bigint") * (most + 2) + F.coalesce(own, F.lit(0))).drop("_below")
+
+
+def positioned(rows: DataFrame, order: str, name: str = "position", ranges: int | None = None, tie: str | None = None) -> DataFrame:
+    """``rows`` with their place from 0 in ascending ``order``, a column of numbers; nulls come first, equal ones by a hash of the row or by ``tie``."""
+    cut = ranged(rows, order, ranges, tie)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return ranged.join(F.broadcast(counts), "_range").withColumn(name, (F.col("_before") + place).cast("bigint")).drop("_range", "_before")
+    counts = cut.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first(), "_tie")) - 1
+    return cut.join(F.broadcast(counts), "_range").withColumn(name, (F.col("_before") + place).cast("bigint")).drop("_range", "_before", "_tie")
 
 
 def validation_rows(total: int, ratio: float, minimum: int = 1) -> int:
@@ -39,16 +77,18 @@ def validation_rows(total: int, ratio: float, minimum: int = 1) -> int:
 def split_tail(rows: DataFrame, order: str, ratio: float = 0.1) -> DataFrame:
     """``rows`` with ``split``: the last share of them in order is ``val``, all before ``train``.
 
-    The border is found by a count and one top-k of the order column, not by a
-    sort of the rows.
+    Only the order column and a hash of each row are moved to find the border.
+    Rows without an order come first; equal rows stay on one side.
     """
     total = rows.count()
     held = validation_rows(total, ratio)
     if not held:
         return rows.withColumn("split", F.lit("train"))
-    placed = positioned(rows.select(order), order)
-    border = placed.where(F.col("position") == total - held).first()[0]
-    return rows.withColumn("split", F.when(F.col(order) >= F.lit(border), "val").otherwise("train"))
+    placed = positioned(rows.select(F.col(order).alias("_v"), row_hash(rows).alias("_h")), "_v", "_at", tie="_h")
+    border = placed.where(F.col("_at") == total - held).first()
+    ahead = F.col(order) > F.lit(border._v) if border._v is not None else F.col(order).isNotNull()
+    late = F.coalesce(ahead, F.lit(False)) | (F.col(order).eqNullSafe(F.lit(border._v)) & (row_hash(rows) >= border._h))
+    return rows.withColumn("split", F.when(late, "val").otherwise("train"))
 
 
 def hash_order(key: Column, seed: int = 42) -> Column:
@@ -105,10 +145,22 @@ def batches(rows: DataFrame, order: str, size: int, columns: list[str]) -> DataF
     return grouped.agg(F.array_sort(F.collect_list(F.struct("_at", *columns))).alias("items")).select("batch", F.transform("items", lambda x: F.struct(*(x[c].alias(c) for c in columns))).alias("items"))
 
 
+def training_batches(rows: DataFrame, order: str, size: int, ids: str = "ids", pad: int = 0, most: int = 2048) -> DataFrame:
+    """``rows`` with ``batch`` and the training arrays of their token ids, filled up to the longest of their batch of ``size`` rows in order."""
+    placed = positioned(rows, order, "_at").withColumn("batch", F.floor(F.col("_at") / size)).drop("_at")
+    longest = F.max(F.least(F.size(ids), F.lit(most))).over(Window.partitionBy("batch"))
+    return placed.withColumn("_length", longest).withColumn("x", arrays.training_arrays(F.col(ids), F.col("_length"), pad, most)).select(*rows.columns, "batch", "x.*")
+
+
+def batch_requests(samples: DataFrame, order: str, size: int, max_tokens: int = 256) -> DataFrame:
+    """(batch, request): one request for each ``size`` samples (id, instruction, input) in order."""
+    return batches(samples, order, size, ["id", "instruction", "input"]).select("batch", text.batch_request(F.col("items"), max_tokens).alias("request"))
+
+
 def specs(spark: SparkSession, n: int, codes: list[str], seed: int = 42, round_no: int = 1) -> DataFrame:
     """``n`` generation requests: id, task type, instruction and template, and a code sample, chosen by a seeded hash."""
     index = F.col("idx")
-    pick = lambda salt, k: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), index), F.lit(k))
+    pick = lambda salt, k: hash_order(F.concat(F.lit(f"{salt}:"), index.cast("string")), seed) % k
     tasks = spark.createDataFrame([(i, *t) for i, t in enumerate(S.TEMPLATES)], "task bigint, task_type string, instruction string, template string")
     rows = spark.range(n).withColumnRenamed("id", "idx").withColumn("task", pick("task", len(S.TEMPLATES))).withColumn("code", F.element_at(F.array(*map(F.lit, codes)), (pick("code", len(codes)) + 1).cast("int")))
     return rows.join(F.broadcast(tasks), "task").select(F.format_string("round_%d_%04d", F.lit(round_no), index).alias("id"), "idx", "task_type", "instruction", "template", "code")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedupe import latest, prefer
+from .validate import required
 
 
 def resolved_status(stop: Column, status: Column, last_error: Column, health: Column, run_id: Column, generated: Column, requests: Column, steps: Column) -> Column:
@@ -48,8 +49,7 @@ def matched(requests: DataFrame, responses: DataFrame, strict: bool = True) -> D
     last = responses.groupBy("id").agg(F.max_by("output", "seq").alias("output"))
     joined = requests.join(last.withColumn("_there", F.lit(True)), "id", "left")
     if strict:
-        missing = F.raise_error(F.concat(F.lit("no response: "), F.col("id"))).cast("string")
-        joined = joined.withColumn("output", F.when(F.col("_there"), F.col("output")).otherwise(missing))
+        joined = required(joined, F.when(F.col("_there").isNull(), F.concat(F.lit("no response: "), F.coalesce(F.col("id").cast("string"), F.lit("null")))))
     return joined.drop("_there")
 
 

@@ -144,14 +144,24 @@ def reason_histogram(checked: DataFrame) -> DataFrame:
     return rejected(checked).groupBy(kind.alias("reason")).agg(F.count("*").alias("n")).orderBy("reason")
 
 
+def required(rows: DataFrame, problem: Column) -> DataFrame:
+    """``rows``, failing at the first row with a problem (a text, or null for none), whichever columns are read later.
+
+    The check is a filter, which nothing prunes, unlike a column that raises.
+    """
+    return rows.where(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))
+
+
 def strict(checked: DataFrame) -> DataFrame:
     """``checked``, failing at the first row with a reason of the kind schema."""
-    broken = F.coalesce(F.col("reject_reason").startswith("schema"), F.lit(False))
-    return checked.withColumn("reject_reason", F.when(broken, F.raise_error(F.col("reject_reason")).cast("string")).otherwise(F.col("reject_reason")))
+    return required(checked, F.when(F.col("reject_reason").startswith("schema"), F.col("reject_reason")))
 
 
 def journal_violation(raw: Column) -> Column:
-    """Why a journal line isn't valid, or null: at most 1 MiB, the twelve keys, the version, and no NaN or infinity."""
+    """Why a journal line isn't valid, or null: at most 1 MiB, the twelve keys and no more, the version, and no NaN or infinity.
+
+    Keys are counted by the parsed object, so that eleven separators follow from twelve keys.
+    """
     keys = key_violation(raw, S.JOURNAL_KEYS)
     version = F.get_json_object(raw, "$.event_version")
     odd = raw.rlike(r"[:,\[]\s*-?(NaN|Infinity|nan|inf)\b")
@@ -159,7 +169,7 @@ def journal_violation(raw: Column) -> Column:
         F.when(F.octet_length(raw) > 1 << 20, "too long")
         .when(odd, "not a finite number")
         .when(keys.isNotNull(), keys)
-        .when(version != S.JOURNAL_VERSION, F.concat(F.lit("version: "), version))
+        .when(~version.eqNullSafe(F.lit(S.JOURNAL_VERSION)), F.concat(F.lit("version: "), F.coalesce(version, F.lit("null"))))
     )
 
 
@@ -225,30 +235,13 @@ def code_gate(samples: DataFrame, only_passed: bool = False) -> DataFrame:
     """``samples`` with ``test_result``: the answer's code blocks, compiled but never run, and dangerous patterns.
 
     A sample passes without blocks, and if no block is dangerous and all compile.
-    Blocks are compiled one row each, in Arrow batches, and come back by sample.
+    A sample's blocks are compiled where it lies, in Arrow batches.
     """
-    blocks = C.code_blocks(F.coalesce(F.col("output"), F.lit("")))
-    keyed = samples.withColumn("_row", F.monotonically_increasing_id()) if "seq" not in samples.columns else samples.withColumn("_row", F.col("seq"))
-    exploded = keyed.select("_row", F.posexplode(blocks).alias("at", "block"))
-    tested = exploded.select("_row", "at", C.dangerous(F.col("block")).alias("patterns"), C.syntax_error(F.col("block")).alias("error"))
-    results = tested.groupBy("_row").agg(
-        F.count("*").cast("int").alias("n"),
-        F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "patterns"))), lambda x: x["patterns"]))).alias("patterns"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("at", "error"))), lambda x: F.struct(x["at"].alias("block_index"), x["error"].isNull().alias("passed"), x["error"].alias("error"))
-        ).alias("blocks"),
-    )
-    joined = keyed.join(results, "_row", "left")
-    broken = F.exists("blocks", lambda b: ~b["passed"])
-    reason = F.when(F.col("n").isNull(), "no_code").when(F.size("patterns") > 0, "dangerous_code").when(broken, "syntax_error").otherwise("ok")
-    out = joined.withColumn(
-        "test_result",
-        F.struct(
-            reason.isin("ok", "no_code").alias("passed"),
-            reason.alias("reason"),
-            F.coalesce("n", F.lit(0)).alias("blocks_tested"),
-            F.coalesce("patterns", F.array().cast("array<string>")).alias("patterns"),
-            F.coalesce("blocks", F.array().cast("array<struct<block_index:int,passed:boolean,error:string>>")).alias("block_results"),
-        ),
-    ).drop("_row", "n", "patterns", "blocks")
+    tested = samples.withColumn("_blocks", C.code_blocks(F.coalesce(F.col("output"), F.lit("")))).withColumn("_errors", C.syntax_errors(F.col("_blocks")))
+    patterns = F.array_distinct(F.flatten(F.transform("_blocks", C.dangerous)))
+    results = F.transform("_errors", lambda e, i: F.struct(i.alias("block_index"), e.isNull().alias("passed"), e.alias("error")))
+    broken = F.exists("_errors", lambda e: e.isNotNull())
+    reason = F.when(F.size("_blocks") == 0, "no_code").when(F.size(patterns) > 0, "dangerous_code").when(broken, "syntax_error").otherwise("ok")
+    result = F.struct(reason.isin("ok", "no_code").alias("passed"), reason.alias("reason"), F.size("_blocks").alias("blocks_tested"), patterns.alias("patterns"), results.alias("block_results"))
+    out = tested.withColumn("test_result", result).drop("_blocks", "_errors")
     return out.where("test_result.passed") if only_passed else out

@@ -52,9 +52,12 @@ def clean(samples: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
 
 
 def run_round(spark: SparkSession, raw: str, out: str, plan: Plan | None = None) -> dict[str, DataFrame]:
-    """A round: raw JSON lines to clean samples, reasons, and the split for training; all tables lie under ``out``."""
+    """A round: raw JSON lines of one or several files to clean samples, reasons, and the split for training; all tables lie under ``out``.
+
+    ``seq`` rises with path and line over all files.
+    """
     plan = plan or Plan()
-    samples = readers.json_lines(spark, raw, S.RAW_SAMPLE).withColumnRenamed("line_no", "seq")
+    samples = numbered(readers.json_lines(spark, raw, S.RAW_SAMPLE)).withColumnRenamed("_at", "seq")
     kept = step(spark, f"{out}/clean", lambda: clean(samples, plan)[0])
     reasons = step(spark, f"{out}/reasons", lambda: validate.reason_histogram(validate.with_reason(samples, plan.gate)))
     parted = step(spark, f"{out}/split", lambda: split(kept, plan))
@@ -78,9 +81,9 @@ def build(spark: SparkSession, data: str, out: str, plan: Plan | None = None, pa
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """Rows with ``_at``, a number that rises with path and line."""
+    """Rows with ``_at``, a number that rises with path and line; what one task orders is the list of files."""
     paths = rows.select("path").distinct()
-    rank = paths.select("path", F.row_number().over(Window.orderBy("path")).alias("_file"))
+    rank = paths.select("path", (F.row_number().over(Window.orderBy("path")) - 1).alias("_file"))
     return rows.join(rank, "path").withColumn("_at", F.shiftleft(F.col("_file").cast("bigint"), 40) + F.col("line_no")).drop("_file")
 
 

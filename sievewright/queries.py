@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +13,7 @@ from . import schemas as S
 from .functions import arrays, code, crypto, json, text
 from .functions import patterns as P
 from .operators import dedupe, evaluate, fsm, journal, ordering, runs, validate
+from .sources import readers, writers
 from .streaming import assemble
 from .streaming import runs as stream_runs
 
@@ -175,15 +178,15 @@ def repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH e AS (SELECT user_id % 20 AS repo, CASE event_type WHEN 'view' THEN 'tests/a.py' WHEN 'click' THEN 'src/b.cpp' WHEN 'error' THEN '.github/workflows/ci.yml' WHEN 'signup' THEN 'package.json' ELSE 'main.cc' END AS path FROM events WHERE user_id % 7 <> 0)
+    """WITH e AS (SELECT user_id % 20 AS repo, CASE event_type WHEN 'view' THEN 'tests/a.py' WHEN 'click' THEN 'src/b.cpp' WHEN 'error' THEN '.github/workflows/ci.yml' WHEN 'signup' THEN 'package.json' ELSE 'main.cc' END AS path FROM events)
 SELECT repo, bool_or(path = 'tests/a.py') AS python, bool_or(path = 'main.cc') AS cpp, bool_or(path = '.github/workflows/ci.yml') AS github, bool_or(path = 'package.json') AS node FROM e GROUP BY repo"""
 )
 def repo_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.when(F.col("event_type") == "view", "tests/a.py").when(F.col("event_type") == "click", "src/b.cpp").when(F.col("event_type") == "error", ".github/workflows/ci.yml").when(F.col("event_type") == "signup", "package.json").otherwise("main.cc")
-    return validate.repo_hints(table(spark, sf_dir, "events").where("user_id % 7 <> 0").select((F.col("user_id") % 20).alias("repo"), path.alias("path")))
+    return validate.repo_hints(table(spark, sf_dir, "events").select((F.col("user_id") % 20).alias("repo"), path.alias("path")))
 
 
-@query()
+@query("SELECT doc_id AS seq, doc_id % 2 = 0 AS passed, CASE WHEN doc_id % 2 = 0 THEN 'ok' ELSE 'syntax_error' END AS reason, 1 AS blocks_tested FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, true, 'no_code', 0 FROM documents WHERE text IS NULL")
 def code_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents made to answers with a code block that compiles for even ids only."""
     docs = doc_samples(spark, sf_dir)
@@ -210,11 +213,11 @@ def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CASE WHEN length(text) > 100 THEN substr(text, 1, 99) || '…' ELSE text END AS shortened, CAST(length(text) // 4 AS BIGINT) AS tokens,
-  CASE WHEN contains(lower(text), 'timeout') THEN 'retryable' ELSE 'fatal' END AS failure FROM documents WHERE text <> '' AND NOT regexp_matches(lower(text), '429|502|503|504|limit|session not found|too many|unavailable|gateway|timed out')"""
+    f"""SELECT doc_id, CASE WHEN length(text) > 100 THEN substr(text, 1, 99) || '…' ELSE text END AS shortened, CAST(length(text) // 4 AS BIGINT) AS tokens,
+  CASE WHEN text IS NULL OR text = '' THEN NULL WHEN contains(lower(text), 'session not found') THEN 'session_not_found' WHEN {" OR ".join(f"contains(lower(text), {quoted(w)})" for w in P.RETRYABLE)} THEN 'retryable' ELSE 'fatal' END AS failure FROM documents"""
 )
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where("text <> ''").where(~F.lower("text").rlike("429|502|503|504|limit|session not found|too many|unavailable|gateway|timed out"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", text.shorten(F.col("text"), 100).alias("shortened"), text.token_estimate(F.length("text")).alias("tokens"), text.error_class(F.col("text")).alias("failure"))
 
 
@@ -254,9 +257,10 @@ def format_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'x ```json' || chr(10) || props || '``` y' WHEN 1 THEN 'see ' || props || ' there' WHEN 2 THEN '[1, ' || CAST(event_id AS VARCHAR) || ']' ELSE 'none {' END AS t FROM events)
-SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'json_code_block' WHEN 1 THEN 'json_object' WHEN 2 THEN 'json_full' ELSE 'not_json' END AS json_method,
-  CASE WHEN event_id % 4 < 2 THEN regexp_extract(t, '\\{[^{}]*\\}') END AS object FROM a"""
+    """WITH a AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'x ```json' || chr(10) || props || '``` y' WHEN 1 THEN 'see ' || props || ' there' WHEN 2 THEN '[1, ' || CAST(event_id AS VARCHAR) || ']' ELSE 'none {' END AS t FROM events),
+b AS (SELECT *, regexp_extract(t, '(?s)```json\n?(.*?)```', 1) AS block, regexp_extract(t, '\{[^{}]*\}') AS flat FROM a)
+SELECT event_id, CASE WHEN block <> '' AND json_valid(block) THEN 'json_code_block' WHEN flat <> '' AND json_valid(flat) THEN 'json_object' WHEN json_valid(t) THEN 'json_full' ELSE 'not_json' END AS json_method,
+  CASE WHEN flat <> '' AND json_valid(flat) THEN flat END AS object FROM b"""
 )
 def json_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id") % 4
@@ -281,7 +285,7 @@ def hmac_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", crypto.hmac_sha256(F.col("text"), KEY).alias("signature"))
 
 
-@query()
+@query("SELECT doc_id, doc_id % 3 <> 0 OR text IS NULL AS verified FROM documents")
 def signed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples signed, every third one changed after it: doc_id and whether the signature holds."""
     rows = doc_samples(spark, sf_dir).withColumn("signature", crypto.record_signature(F.col("instruction"), F.col("input"), F.col("output"), F.lit("m"), KEY))
@@ -308,12 +312,12 @@ def dataset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY sha256(lang || text)")
 def exact_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.keep_first(doc_samples(spark, sf_dir), dedupe.exact_key(), ["seq"]).select(F.col("seq").alias("doc_id"))
+    return dedupe.keep_first(doc_samples(spark, sf_dir), dedupe.exact_key(), ["seq"], ["seq"]).select(F.col("seq").alias("doc_id"))
 
 
 @query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY md5(lang || '|' || source || '|' || text)")
 def global_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.dedupe_global(doc_samples(spark, sf_dir), ["seq"]).select(F.col("seq").alias("doc_id"))
+    return dedupe.dedupe_global(doc_samples(spark, sf_dir), ["seq"], ["seq"]).select(F.col("seq").alias("doc_id"))
 
 
 SQL_FUZZY = """t AS (SELECT doc_id, regexp_replace(lower(text), '\\s+', '', 'g') AS t FROM documents),
@@ -326,7 +330,7 @@ f AS (SELECT doc_id, sha256(coalesce(k, t)) AS fuzzy FROM t LEFT JOIN k USING (d
 @query(f"WITH {SQL_FUZZY} SELECT min(doc_id) AS doc_id FROM f GROUP BY fuzzy")
 def fuzzy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = doc_samples(spark, sf_dir).withColumn("instruction", F.lit(""))
-    return dedupe.dedupe_samples(docs).select(F.col("seq").alias("doc_id"))
+    return dedupe.dedupe_samples(docs, columns=["seq"]).select(F.col("seq").alias("doc_id"))
 
 
 @query(f"WITH {SQL_FUZZY} SELECT doc_id, fuzzy FROM f")
@@ -410,9 +414,17 @@ def repo_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("source", ordering.per_repo_budget(F.lit(1000), F.col("n"), F.lit(3)).cast("bigint").alias("budget"))
 
 
-@query()
+SQL_PICK = "CAST('0x' || substr(md5('42:{0}:' || i), 1, 15) AS BIGINT) % {1}"
+SNIPPETS = ["def f(x):\n    pass\n", "def g(y):\n    return y\n"]
+
+
+@query(
+    f"""WITH t AS (SELECT * FROM (VALUES {", ".join(f"({n}, {', '.join(quoted(x) for x in t)})" for n, t in enumerate(S.TEMPLATES))}) t(task, task_type, instruction, template)),
+s AS (SELECT i, {SQL_PICK.format("task", len(S.TEMPLATES))} AS task, ([{", ".join(map(quoted, SNIPPETS))}])[{SQL_PICK.format("code", 2)} + 1] AS code FROM range(500) r(i))
+SELECT 'round_1_' || lpad(CAST(i AS VARCHAR), 4, '0') AS id, task_type, instruction, replace(replace(template, '{{language}}', 'python'), '{{code}}', code) AS prompt FROM s JOIN t USING (task)"""
+)
 def generation_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ordering.specs(spark, 500, ["def f(x):\n    pass\n", "def g(y):\n    return y\n"])
+    found = ordering.specs(spark, 500, SNIPPETS)
     return found.select("id", "task_type", "instruction", text.fill_template(F.col("template"), F.col("code"), F.lit("python")).alias("prompt"))
 
 
@@ -543,7 +555,7 @@ def hash_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journal.chain_check(rows).select("run_id", "seq", "expected", "chained")
 
 
-@query()
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, count(*) AS n, count(*) AS n_chained FROM events GROUP BY user_id")
 def chained_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A journal written as a chain and checked again: lines and chained lines of each run."""
     events = _full_events(spark, sf_dir)
@@ -612,13 +624,22 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journal.outcome_counts(table(spark, sf_dir, "events"), "event_type")
 
 
-@query()
+SQL_MOVES = "(VALUES " + ", ".join(f"({quoted(a)}, {quoted(b)}, {quoted(c)})" for a, b, c in S.TRANSITIONS) + ") t(phase, event, next_phase)"
+
+
+@query(
+    f"""WITH RECURSIVE {SQL_JOURNAL}, r AS (SELECT run_id, seq, event, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS n FROM j),
+w AS (SELECT DISTINCT run_id, 0::BIGINT AS n, NULL::BIGINT AS seq, 'INITIALIZING' AS phase, 'IDLE' AS status, true AS legal FROM r UNION ALL
+  SELECT r.run_id, r.n, r.seq, CASE WHEN r.event = 'ERROR' THEN 'ERROR' ELSE coalesce(t.next_phase, w.phase) END, CASE WHEN r.event = 'ERROR' THEN 'ERROR' WHEN t.next_phase IS NULL THEN w.status WHEN t.next_phase = 'COMPLETE' THEN 'COMPLETED' ELSE 'RUNNING' END,
+    coalesce(r.event = 'ERROR', false) OR t.next_phase IS NOT NULL
+  FROM w JOIN r ON r.run_id = w.run_id AND r.n = w.n + 1 LEFT JOIN {SQL_MOVES} ON t.phase = w.phase AND t.event = r.event)
+SELECT run_id, seq, phase, status, legal FROM w WHERE n > 0"""
+)
 def machine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events walked through the state machine: phase, status and legality after each."""
     return fsm.replay_machine(journal_events(spark, sf_dir).withColumn("mode", F.lit("TRAIN"))).select("run_id", "seq", "phase", "status", "legal")
 
 
-SQL_MOVES = "(VALUES " + ", ".join(f"({quoted(a)}, {quoted(b)}, {quoted(c)})" for a, b, c in S.TRANSITIONS) + ") t(phase, event, next_phase)"
 PHASES = ["INITIALIZING", "GENERATING", "VALIDATING", "TESTING", "TRAINING", "EVALUATING", "COMPLETE", "ERROR"]
 
 
@@ -628,16 +649,28 @@ def move_legality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fsm.legality(journal_events(spark, sf_dir).withColumn("phase", phase), spark).select("run_id", "seq", "phase", "event", "next_phase", "legal")
 
 
-@query()
+SQL_ATTEMPTS = "r AS (SELECT CAST(user_id AS VARCHAR) AS key, event_id AS seq, epoch_us(ts) / 1000000.0::DOUBLE AS moment, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)"
+
+
+@query(
+    f"""WITH RECURSIVE {SQL_ATTEMPTS}, w AS (SELECT DISTINCT key, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::DOUBLE AS last, false AS accepted FROM r UNION ALL
+  SELECT r.key, r.n, r.seq, CASE WHEN w.last IS NULL OR r.moment - w.last >= 3600 THEN r.moment ELSE w.last END, w.last IS NULL OR r.moment - w.last >= 3600 FROM w JOIN r ON r.key = w.key AND r.n = w.n + 1)
+SELECT key, seq, accepted FROM w WHERE n > 0"""
+)
 def rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = journal_events(spark, sf_dir).select(F.col("run_id").alias("key"), "seq", (F.unix_micros("event_time") / 1e6).alias("at"))
     return fsm.rate_limited(rows, 3600).select("key", "seq", "accepted")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {SQL_ATTEMPTS}, w AS (SELECT DISTINCT key, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::DOUBLE AS last, 3.0::DOUBLE AS tokens, false AS accepted FROM r UNION ALL
+  SELECT key, n, seq, moment, have - CASE WHEN have >= 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, have >= 1
+  FROM (SELECT r.key, r.n, r.seq, r.moment, least(3.0::DOUBLE, w.tokens + greatest(0.0::DOUBLE, r.moment - coalesce(w.last, r.moment)) * 0.00001::DOUBLE) AS have FROM w JOIN r ON r.key = w.key AND r.n = w.n + 1))
+SELECT key, seq, accepted FROM w WHERE n > 0"""
+)
 def token_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = journal_events(spark, sf_dir).select(F.lit("all").alias("key"), "seq", (F.unix_micros("event_time") / 1e6).alias("at"))
-    return fsm.token_bucket(rows.withColumn("key", F.col("seq") % 16), 0.001, 3).select("key", "seq", "accepted")
+    rows = journal_events(spark, sf_dir).select(F.col("run_id").alias("key"), "seq", (F.unix_micros("event_time") / 1e6).alias("at"))
+    return fsm.token_bucket(rows, 0.00001, 3).select("key", "seq", "accepted")
 
 
 # ---------------------------------------------------------------- runs and conversations
@@ -649,13 +682,14 @@ def latest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH l AS (SELECT user_id, max_by(event_type, event_id) AS status, max(event_id) AS modified FROM events WHERE user_id % 3 <> 0 GROUP BY user_id), r AS (SELECT user_id, max_by(event_type, event_id) AS status, max(event_id) AS modified FROM events WHERE user_id % 2 = 0 AND event_id % 2 = 0 GROUP BY user_id)
-SELECT CAST(coalesce(l.user_id, r.user_id) AS VARCHAR) AS run_id, coalesce(l.status, r.status) AS status, coalesce(l.modified, r.modified) AS modified, 0 AS current_round, false AS stop_requested FROM l FULL JOIN r ON l.user_id = r.user_id"""
+    """WITH l AS (SELECT user_id, max_by(event_type, event_id) AS status, max(event_id) AS modified FROM events GROUP BY user_id), r AS (SELECT o_custkey, max_by(o_orderstatus, o_orderkey) AS status, max(o_orderkey) AS modified FROM orders GROUP BY o_custkey)
+SELECT CAST(coalesce(l.user_id, r.o_custkey) AS VARCHAR) AS run_id, coalesce(l.status, r.status) AS status, coalesce(l.modified, r.modified) AS modified, 0 AS current_round, false AS stop_requested FROM l FULL JOIN r ON l.user_id = r.o_custkey"""
 )
 def run_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as local runs, customers as remote ones."""
     events = journal_events(spark, sf_dir).select("run_id", F.col("key").alias("status"), "seq")
-    local = runs.latest_states(events.where("run_id % 3 <> 0")).withColumnRenamed("seq", "modified")
-    remote = runs.latest_states(events.where("run_id % 2 = 0 and seq % 2 = 0")).withColumnRenamed("seq", "modified")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("run_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("seq"))
+    local, remote = (runs.latest_states(x).withColumnRenamed("seq", "modified") for x in (events, orders))
     return runs.catalogue(local, remote)
 
 
@@ -685,17 +719,36 @@ def matched_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as event streams: each turn's text comes in two deltas, and the last turn completes the session."""
-    talk = table(spark, sf_dir, "conversations").select(F.concat(F.lit("s"), "conv_id").alias("session"), "turn", "text")
-    n = F.length("text")
-    halves = talk.select("session", "turn", F.posexplode(F.array(F.substring(F.col("text"), F.lit(1), F.floor(n / 2).cast("int")), F.substring(F.col("text"), F.floor(n / 2).cast("int") + 1, n))).alias("half", "delta"))
-    props = F.struct(F.col("session").alias("sessionID"), F.lit("m").alias("messageID"), F.concat(F.lit("p"), "turn").alias("partID"), F.lit("text").alias("field"), "delta")
-    return halves.select("session", (F.col("turn") * 2 + F.col("half")).alias("seq"), F.to_json(F.struct(F.lit("message.part.delta").alias("type"), props.alias("properties"))).alias("event"))
+    """Conversations as event streams, two events a turn.
+
+    A user's text comes in two deltas, an assistant's as a delta that an update
+    replaces and completes; a system turn is a delta of another message, which
+    is ignored, and an error.
+    """
+    talk = table(spark, sf_dir, "conversations").select(F.concat(F.lit("s"), "conv_id").alias("session"), "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    half, session, part = F.floor(F.length("text") / 2).cast("int"), F.col("session").alias("sessionID"), F.concat(F.lit("p"), "turn")
+
+    def event(kind: str, *fields: Column) -> Column:
+        return F.to_json(F.struct(F.lit(kind).alias("type"), F.struct(session, *fields).alias("properties")))
+
+    def delta(text: Column, message: str = "m") -> Column:
+        return event("message.part.delta", F.lit(message).alias("messageID"), part.alias("partID"), F.lit("text").alias("field"), text.alias("delta"))
+
+    updated = F.struct(session, F.lit("m").alias("messageID"), part.alias("id"), F.lit("text").alias("type"), "text", F.struct(F.lit(1).alias("end")).alias("time"))
+    two = (
+        F.when(F.col("role") == "user", F.array(delta(F.substring(F.col("text"), F.lit(1), half)), delta(F.substring(F.col("text"), half + 1, F.length("text")))))
+        .when(F.col("role") == "assistant", F.array(delta(F.lit("draft")), event("message.part.updated", updated.alias("part"))))
+        .otherwise(F.array(event("session.error", F.col("text").alias("error")), F.lit("no event")))
+    )
+    return talk.select("session", "turn", F.posexplode(two).alias("at", "event")).select("session", (F.col("turn") * 2 + F.col("at")).alias("seq"), "event")
 
 
-@query("SELECT 's' || conv_id AS session, string_agg(text, '' ORDER BY turn) AS text, false AS completed, 2 * count(*) AS n_events FROM conversations GROUP BY conv_id")
+@query(
+    """SELECT 's' || conv_id AS session, coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role <> 'system'), '') AS text, coalesce(bool_or(role = 'assistant'), false) AS completed,
+  CASE WHEN bool_or(role = 'system') THEN coalesce(max_by(CASE WHEN text = '' THEN 'session error' ELSE text END, turn) FILTER (WHERE role = 'system'), '') END AS error, 2 * count(*) AS n_events FROM conversations GROUP BY conv_id"""
+)
 def sse_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assemble.assembled(_stream_events(spark, sf_dir)).select("session", "text", "completed", "n_events")
+    return assemble.assembled(_stream_events(spark, sf_dir)).select("session", "text", "completed", "error", "n_events")
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS stream, CASE WHEN bool_or(role = 'system') THEN NULL ELSE trim(string_agg(CASE WHEN turn % 2 = 0 THEN text ELSE '' END, '' ORDER BY turn), ' ' || chr(10)) END AS text, CASE WHEN bool_or(role = 'system') THEN 'system' END AS error FROM conversations GROUP BY conv_id")
@@ -706,3 +759,117 @@ def completed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = talk.select(F.col("conv_id").cast("string").alias("stream"), F.col("turn").alias("seq"), F.from_json(event, S.STREAM_EVENT).alias("event"))
     return assemble.completed_text(rows)
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, or of this machine for a local session without that setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="scratch-")
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, lang AS instruction, source AS input, text AS output FROM documents")
+def json_lines_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON lines in ASCII, in order, and read again."""
+    path = scratch(spark)
+    docs = doc_samples(spark, sf_dir).select(F.col("seq").cast("string").alias("id"), "instruction", "input", "output")
+    writers.json_lines(docs, path, "id", ascii_only=True)
+    return readers.json_lines(spark, path, S.RAW_SAMPLE).select("id", "instruction", "input", "output")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) || ' ' || props AS value, true AS in_order FROM events")
+def verbatim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as they are, read again with file and number; numbers follow the order that they were written in."""
+    path = scratch(spark)
+    writers.verbatim(table(spark, sf_dir, "events").withColumn("raw", F.concat_ws(" ", "event_id", "props")), path, order=["event_id"])
+    number = F.row_number().over(Window.partitionBy("path").orderBy(F.split("value", " ")[0].cast("bigint"))) - 1
+    return readers.lines(spark, path).select("value", (number == F.col("line_no")).alias("in_order"))
+
+
+@query("SELECT count(*) AS n_lines, count(DISTINCT event_id % 3) AS n_folders FROM events")
+def lines_at_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the files of a name in folders of any depth, counted by file."""
+    path = scratch(spark)
+    events = table(spark, sf_dir, "events")
+    events.select((F.col("event_id") % 3).alias("round"), F.col("props").alias("value")).write.partitionBy("round").text(path)
+    counts = readers.line_counts(spark, path, "part-*.txt")
+    return counts.agg(F.sum("n").alias("n_lines"), F.countDistinct(F.regexp_extract("path", r"round=(\d+)", 1)).alias("n_folders"))
+
+
+@query("SELECT 'prompt_' || lpad(CAST(row_number() OVER (ORDER BY n_name) - 1 AS VARCHAR), 6, '0') AS id, n_name AS prompt FROM nation")
+def prompt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a prompt file, one of the 25 nations each, with blank lines between."""
+    path = scratch(spark)
+    names = table(spark, sf_dir, "nation").select(F.explode(F.array(F.concat(F.lit("  "), "n_name"), F.lit(" "))).alias("value"), "n_name").orderBy("n_name", F.desc("value"))
+    names.select("value").coalesce(1).write.text(path)
+    return readers.prompts(spark, path)
+
+
+@query("SELECT conv_id AS stream, turn, CAST('{\"turn\":' || chr(10) || turn || '}' AS VARCHAR) AS data FROM conversations")
+def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Server-sent events, a frame for each turn: a comment, data in two lines, and a frame without JSON that is skipped."""
+    talk = table(spark, sf_dir, "conversations")
+    parts = F.array(F.lit(": comment"), F.lit('data: {"turn":'), F.concat(F.lit("data:"), F.col("turn").cast("string"), F.lit("}\r")), F.lit(""), F.lit("data: none {"), F.lit("\r"))
+    rows = talk.select(F.col("conv_id").alias("stream"), "turn", F.posexplode(parts).alias("at", "value")).select("stream", (F.col("turn") * 6 + F.col("at")).alias("line_no"), "value")
+    found = readers.frames(rows)
+    return found.select("stream", F.get_json_object("data", "$.turn").cast("bigint").alias("turn"), "data")
+
+
+@query("SELECT event_id, 2 AS n, json_extract_string(props, '$.k') AS k FROM events")
+def json_line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "events").select("event_id", readers.json_array_of(F.concat("props", F.lit("\n \n[1, 2]\n"))).alias("x"))
+    return found.select("event_id", F.size("x").alias("n"), F.try_variant_get(F.col("x")[0], "$.k", "string").alias("k"))
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, props AS message, CAST(event_id % 5 + 1 AS INTEGER) AS round FROM events")
+def journal_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A journal written as lines and read by the scan that fails at a bad line."""
+    path = scratch(spark)
+    writers.verbatim(journal.chained(_full_events(spark, sf_dir)), path, "line", ["run_id", "seq"])
+    return readers.journal(spark, path).select("run_id", "message", "round")
+
+
+@query("SELECT lang AS instruction, source AS input, text AS output FROM documents")
+def signed_training_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed training records written as JSON lines and read by the scan that checks keys and signatures."""
+    path = scratch(spark)
+    docs = doc_samples(spark, sf_dir)
+    signature = crypto.record_signature(F.col("instruction"), F.col("input"), F.col("output"), F.lit("m"), KEY)
+    rows = docs.select(F.col("seq").cast("string").alias("id"), "instruction", "input", "output", F.struct(F.lit("other").alias("task_type"), F.lit("m").alias("teacher_model"), signature.alias("signature")).alias("metadata"))
+    writers.json_lines(rows, path)
+    return readers.training_samples(spark, path, KEY).select("instruction", "input", "output")
+
+
+@query("SELECT count(*) AS record_count, true AS signed FROM documents")
+def sealed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents' lines, and whether its signature is that of its text."""
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("value"))
+    sealed = writers.manifest(rows, "run", KEY, "2024-01-01T00:00:00Z")
+    return sealed.select(F.get_json_object("manifest", "$.record_count").cast("bigint").alias("record_count"), crypto.verified(F.col("signature"), crypto.hmac_sha256(F.col("manifest"), KEY)).alias("signed"))
+
+
+@query(
+    f"""WITH p AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents)
+SELECT place // 8 AS batch, {quoted(text._BATCH_REQUEST % 256)} || string_agg('id: ' || doc_id || chr(10) || 'instruction: ' || coalesce(lang, '') || chr(10) || 'input: ' || coalesce(source, ''), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place) || chr(10) AS request FROM p GROUP BY 1"""
+)
+def batched_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = doc_samples(spark, sf_dir).select("seq", F.col("seq").cast("string").alias("id"), "instruction", "input")
+    return ordering.batch_requests(rows, "seq", 8)
+
+
+@query(
+    """WITH c AS (SELECT vec_id, [CAST(floor(abs(x) * 100) AS INTEGER) for x in embedding[1:CAST(1 + vec_id % 9 AS INTEGER)]][1:6] AS ids, (row_number() OVER (ORDER BY vec_id) - 1) // 4 AS batch FROM embeddings),
+f AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) - len(ids) AS gap FROM c)
+SELECT vec_id, list_concat(ids, list_transform(range(gap), lambda x: -1)) AS input_ids, list_concat(list_transform(ids, lambda x: 1), list_transform(range(gap), lambda x: 0)) AS attention_mask, list_concat(ids, list_transform(range(gap), lambda x: -1)) AS labels FROM f"""
+)
+def training_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of up to nine ids, cut at six and filled up to the longest of a batch of four."""
+    vectors = table(spark, sf_dir, "embeddings")
+    ids = F.transform(F.slice("embedding", 1, (1 + F.col("vec_id") % 9).cast("int")), lambda x: F.floor(F.abs(x) * 100).cast("int"))
+    return ordering.training_batches(vectors.select("vec_id", ids.alias("ids")), "vec_id", 4, pad=-1, most=6).select("vec_id", "input_ids", "attention_mask", "labels")

@@ -3,9 +3,12 @@
 Text has no line numbers across splits. A line's number is made from the place
 that Spark gives each row while it reads: rows of one task are consecutive, and
 tasks are numbered in the order of a file's splits, so that the order of
-``monotonically_increasing_id`` within a file is the order of its lines. Numbers
-then count from 0 within each file, by a window over (file, id) that moves only
-ids where ``with_numbers`` is asked for.
+``monotonically_increasing_id`` within a split is the order of its lines. Lines are
+numbered within their split and moved by the lines of the file's splits before it,
+so that a file of any size is numbered by as many tasks as it has splits.
+
+Scans that fail on a bad line check it in a filter, so that a count or a choice of
+columns fails as well.
 """
 
 from __future__ import annotations
@@ -28,8 +31,11 @@ def lines(spark: SparkSession, path: str | list[str], pattern: str | None = None
     rows = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"), "value")
     if not numbers:
         return rows.select("path", F.lit(None).cast("bigint").alias("line_no"), "value")
-    place = F.row_number().over(Window.partitionBy("path").orderBy("_start", "_id")) - 1
-    return rows.select("path", place.cast("bigint").alias("line_no"), "value")
+    earlier = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = rows.groupBy("path", "_start").agg(F.count("*").alias("_n")).select("path", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("path", "_start").orderBy("_id")) - 1
+    numbered = rows.withColumn("_place", place).join(splits, ["path", "_start"])
+    return numbered.select("path", (F.col("_before") + F.col("_place")).cast("bigint").alias("line_no"), "value")
 
 
 def json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType, pattern: str | None = None, broken: bool = False) -> DataFrame:
@@ -51,8 +57,7 @@ def journal(spark: SparkSession, path: str, fail: bool = True) -> DataFrame:
     """
     found = lines(spark, path).where(F.trim("value") != "").withColumn("violation", validate.journal_violation(F.col("value")))
     if fail:
-        bad = F.raise_error(F.concat(F.lit("journal line "), F.col("line_no"), F.lit(": "), F.col("violation"))).cast("string")
-        found = found.withColumn("value", F.when(F.col("violation").isNull(), F.col("value")).otherwise(bad)).drop("violation")
+        found = validate.required(found, F.concat(F.lit("journal line "), F.col("line_no"), F.lit(": "), F.col("violation"))).drop("violation")
     event = F.from_json("value", S.JOURNAL_EVENT)
     out = found.select(F.col("line_no").alias("seq"), F.col("value").alias("raw_line"), *([] if fail else ["violation"]), event.alias("x"))
     return out.select("seq", "raw_line", *([] if fail else ["violation"]), "x.*", F.try_to_timestamp("x.ts").alias("event_time"))
@@ -67,8 +72,7 @@ def training_samples(spark: SparkSession, path: str, key: str | None = None) ->
     if key is not None:
         expected = crypto.record_signature(F.col("instruction"), F.col("input"), F.col("output"), F.col("metadata.teacher_model"), key)
         problem = F.coalesce(problem, F.when(~crypto.verified(F.col("metadata.signature"), expected), "signature"))
-    bad = F.raise_error(F.concat(F.col("path"), F.lit(" line "), F.col("line_no"), F.lit(": "), problem)).cast("string")
-    return found.withColumn("raw", F.when(problem.isNull(), F.col("raw")).otherwise(bad))
+    return validate.required(found, F.concat(F.col("path"), F.lit(" line "), F.col("line_no"), F.lit(": "), problem))
 
 
 def eval_samples(spark: SparkSession, path: str, most: int) -> DataFrame:
@@ -76,6 +80,15 @@ def eval_samples(spark: SparkSession, path: str, most: int) -> DataFrame:
     return json_lines(spark, path, S.RAW_SAMPLE).where(F.col("line_no") < most)
 
 
+def newest_lines(spark: SparkSession, path: str, pattern: str, n: int) -> DataFrame:
+    """(path, line_no, value): the last ``n`` lines of the newest file of that name, as it is now; a file that was cut is read from its start."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    found = files.select("path", "modificationTime").orderBy(F.desc("modificationTime"), "path").first()
+    if found is None:
+        return lines(spark, path, pattern)
+    return lines(spark, found.path).orderBy(F.desc("line_no")).limit(n)
+
+
 def prompts(spark: SparkSession, path: str, prefix: str = "prompt") -> DataFrame:
     """(id, prompt): one for each line that isn't blank, numbered in order."""
     found = lines(spark, path).withColumn("prompt", F.trim("value")).where("prompt <> ''")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +41,22 @@ def append_json(rows: DataFrame, path: str) -> None:
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Replaces a table's files; readers see the old or the new ones by the committer's rename."""
-    rows.write.mode("overwrite").parquet(path)
+    """Replaces a table: the new one is written beside it in full, then takes its name; the old one goes last.
+
+    Readers see the old table, for the moment of two renames none, then the new
+    one; a write that fails leaves the old one. In a store without renames of
+    folders the last step is a copy.
+    """
+    spark = rows.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(path + end) for end in ("", f"-{uuid.uuid4().hex}", f"-{uuid.uuid4().hex}"))
+    rows.write.parquet(fresh.toString())
+    files = target.getFileSystem(conf)
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"can't move {path}")
+    if not files.rename(fresh, target):
+        raise OSError(f"can't name {path}")
+    files.delete(old, True)
 
 
 def append_stream(rows: DataFrame, path: str, checkpoint: str):

@@ -94,7 +94,12 @@ class Assembler:
 
 
 OUTPUT = "session string, text string, completed boolean, error string, n_events bigint"
-STATE = "saved string, n bigint"
+STATE = "saved string, n bigint, started bigint"
+
+
+def inactivity_ms(overall_ms: int) -> int:
+    """How long a session may be silent: a tenth of what it may take, from 5 to 30 seconds."""
+    return max(5_000, min(30_000, overall_ms // 10))
 
 
 def _advance(session: str, events: pd.DataFrame, saved: str | None) -> Assembler:
@@ -120,16 +125,19 @@ def assembled(events: DataFrame) -> DataFrame:
     return events.where("session is not null").select("session", "seq", "event").groupBy("session").applyInPandas(one, OUTPUT)
 
 
-def assembled_stream(events: DataFrame, inactive_ms: int = 30_000) -> DataFrame:
+def assembled_stream(events: DataFrame, inactive_ms: int | None = None, overall_ms: int = 300_000) -> DataFrame:
     """The same over a stream: a row for each session and micro-batch that has events of it; state is one answer a session.
 
-    A session without events for ``inactive_ms`` gives a last row with the error
-    ``timed out``, unless it was completed, and its state goes.
+    A session without events for ``inactive_ms`` (by default as ``inactivity_ms``
+    has it), or open for ``overall_ms`` since its first one, gives a last row with
+    the error ``timed out``, unless it was completed, and its state goes.
     """
+    silent = inactivity_ms(overall_ms) if inactive_ms is None else inactive_ms
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        saved, n = state.get if state.exists else (None, 0)
-        if state.hasTimedOut:
+        now = state.getCurrentProcessingTimeMs()
+        saved, n, started = state.get if state.exists else (None, 0, now)
+        if state.hasTimedOut or now - started >= overall_ms:
             one = Assembler(key[0], saved)
             state.remove()
             if not one.completed:
@@ -138,8 +146,8 @@ def assembled_stream(events: DataFrame, inactive_ms: int = 30_000) -> DataFrame:
         events_now = pd.concat(list(batches))
         one = _advance(key[0], events_now, saved)
         n += len(events_now)
-        state.update((one.saved(), n))
-        state.setTimeoutDuration(inactive_ms)
+        state.update((one.saved(), n, started))
+        state.setTimeoutDuration(max(1, min(silent, started + overall_ms - now)))
         yield pd.DataFrame({"session": [key[0]], "text": [one.text], "completed": [one.completed], "error": [one.error], "n_events": [n]})
 
     rows = events.where("session is not null").select("session", "seq", "event")

@@ -91,15 +91,15 @@ def test_metrics_and_report(spark):
     assert (m.total_samples, m.successful_samples, m.failed_samples, m.success_rate) == (4, 2, 2, 0.5)
     assert (m.json_parse_rate, m.format_compliance_rate, m.repetition_rate, m.avg_output_length) == (0.5, 0.5, 0.0, 8.0)
     assert evaluate.metrics(scored.limit(0)).collect() == [] and evaluate.metrics(scored.where("success is null")).first().json_parse_rate is None
-    r = evaluate.report(scored).first()
-    assert r.metrics.total_samples == 4 and [x.sample_id for x in r.sample_results] == list("abcd")
+    one, results = evaluate.report(scored)
+    assert one.first().total_samples == 4 and [x.sample_id for x in results.collect()] == list("abcd")
 
 
 def test_percentiles_use_the_nearest_rank(spark):
     rng = random.Random(4)
-    rows = [(g, rng.random()) for g in "abc" for _ in range(rng.randint(1, 40))]
+    rows = [(g, rng.random()) for g in "abc" for _ in range(rng.randint(1, 40))] + [("d", rng.choice([1.0, 2.0, rng.random()])) for _ in range(3001)]
     got = {r.g: r for r in evaluate.latency_summary(spark.createDataFrame(rows, "g string, v double"), "v", ["g"]).collect()}
-    for g in "abc":
+    for g in "abcd":
         xs = sorted(v for k, v in rows if k == g)
         for p, name in ((0.5, "p50"), (0.95, "p95")):
             assert got[g][name] == xs[round((len(xs) - 1) * p)]
@@ -219,3 +219,60 @@ def test_messages(spark):
     got = df.select(runs.system_and_turns(F.col("m")).alias("p"), runs.last_of_role(F.col("m"), "user").alias("u"), runs.role_lines(F.col("m")).alias("l"), runs.as_parts(F.col("m")).alias("q")).collect()
     assert got[0].p.system == "s" and len(got[0].p.turns) == 3 and got[0].u == "v" and got[0].l.endswith("user: v") and got[0].q[1].parts[0].text == "u"
     assert got[1].p.system is None and got[1].u is None
+
+
+def test_positions_with_repeated_and_null_values(spark):
+    values = [None] * 3 + [5] * 900 + list(range(100)) + [7] * 40
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v bigint, i bigint")
+    for n in (1, 7, 5000):
+        got = sorted(ordering.positioned(rows, "v", ranges=n).collect(), key=lambda r: r.position)
+        assert [r.position for r in got] == list(range(len(values)))
+        assert [-1 if r.v is None else r.v for r in got] == sorted(-1 if v is None else v for v in values)
+        assert len({r.i for r in got}) == len(values)
+    if_hot = ordering.ranged(rows, "v", 50).groupBy("_range").count().agg(F.max("count")).first()[0]
+    assert if_hot < 120  # the value that 900 rows have is cut
+    floats = spark.createDataFrame([(x / 7,) for x in range(300)], "v double")
+    assert [r.v for r in sorted(ordering.positioned(floats, "v", ranges=20).collect(), key=lambda r: r.position)] == [x / 7 for x in range(300)]
+
+
+def test_split_with_repeated_and_null_values(spark):
+    rows = spark.createDataFrame([(None, 0), (1, 1), (1, 2), (2, 3), (2, 4), (2, 5), (2, 6), (2, 7), (2, 8), (2, 9)], "v bigint, i bigint")
+    got = ordering.split_tail(rows, "v", 0.3).collect()
+    assert sum(r.split == "val" for r in got) == 3 and all(r.v == 2 for r in got if r.split == "val")
+    nulls = spark.createDataFrame([(None, i) for i in range(10)], "v bigint, i bigint")
+    assert sum(r.split == "val" for r in ordering.split_tail(nulls, "v", 0.2).collect()) == 2
+
+
+def test_first_rows_with_repeated_and_null_order(spark):
+    rows = spark.createDataFrame([(0, "a"), (0, "b"), (1, "a"), (1, "c"), (None, "d"), (None, "d"), (None, None), (3, None)], "seq bigint, text string")
+    got = sorted(map(tuple, dedupe.keep_first(rows, F.col("text"), ["seq"]).collect()), key=str)
+    assert got == sorted([(0, "a"), (0, "b"), (1, "c"), (None, "d"), (None, None)], key=str)
+    assert dedupe.keep_first(rows, F.col("text"), ["seq"], ["text"]).columns == ["text"]
+
+
+def test_best_so_far_over_all_rows(spark):
+    rng = random.Random(2)
+    values = [None if i % 11 == 0 else rng.random() for i in range(400)]
+    got = sorted(evaluate.best_so_far(spark.createDataFrame(list(enumerate(values)), "i bigint, v double"), "v", ["i"]).collect())
+    least = None
+    for (i, v, best, improved), value in zip(got, values):
+        assert improved == (value is not None and (least is None or value < least))
+        least = value if least is None or (value is not None and value < least) else least
+        assert best == least
+
+
+def test_training_arrays_and_batched_requests(spark):
+    rows = spark.createDataFrame([(1, [1, 2, 3]), (2, [4]), (3, []), (4, [5, 6])], "seq bigint, ids array<int>")
+    got = {r.seq: (r.batch, r.input_ids, r.attention_mask, r.labels) for r in ordering.training_batches(rows, "seq", 2, pad=9, most=2).collect()}
+    assert got == {1: (0, [1, 2], [1, 1], [1, 2]), 2: (0, [4, 9], [1, 0], [4, 9]), 3: (1, [9, 9], [0, 0], [9, 9]), 4: (1, [5, 6], [1, 1], [5, 6])}
+    samples = spark.createDataFrame([(1, "a", "do", "x"), (2, "b", None, "y"), (3, "c", "go", None)], "seq bigint, id string, instruction string, input string")
+    texts = [r.request for r in ordering.batch_requests(samples, "seq", 2, 64).orderBy("batch").collect()]
+    assert texts[0].endswith("<= 64 tokens.\n\nid: a\ninstruction: do\ninput: x\n\n---\n\nid: b\ninstruction: \ninput: y\n") and texts[1].endswith("id: c\ninstruction: go\ninput: \n")
+
+
+def test_newest_and_unseen(spark):
+    files = spark.createDataFrame([("a", 3), ("b", 5), ("c", 5)], "path string, modified bigint")
+    assert ordering.newest(files).first().path == "b"
+    answers = spark.createDataFrame([(1, 'x {"k":1}'), (2, '{"k":1} y'), (3, '{"k":2}'), (4, "none")], "seq bigint, response string")
+    seen = answers.where("seq = 3").select(F.sha2(F.lit('{"k":2}'), 256).alias("hash"))
+    assert [r.seq for r in dedupe.unseen_objects(answers, seen).collect()] == [1]

@@ -27,6 +27,16 @@ def test_a_round(spark, tmp_path):
     assert curate.run_round(spark, str(tmp_path / "raw.jsonl"), str(tmp_path / "out"))["clean"].count() == 20
 
 
+def test_a_round_over_two_files(spark, tmp_path):
+    texts = [f"answer {i}: " + hashlib.md5(str(i).encode()).hexdigest() for i in range(10)]
+    write(tmp_path / "raw/a.jsonl", [sample(i, t) for i, t in enumerate(texts[:6])])
+    write(tmp_path / "raw/b.jsonl", [sample(100 + i, t) for i, t in enumerate(texts[3:])])
+    out = curate.run_round(spark, str(tmp_path / "raw"), str(tmp_path / "out"), curate.Plan(val_ratio=0.2))
+    kept = out["split"].orderBy("seq").collect()
+    assert [r.id for r in kept] == ["0", "1", "2", "3", "4", "5", "103", "104", "105", "106"]
+    assert [r.id for r in kept if r.split == "val"] == ["105", "106"]
+
+
 def test_a_build_over_repositories(spark, tmp_path):
     one = [sample(i, f"answer {i}") for i in range(30)]
     write(tmp_path / "data/a/clean_round_1.jsonl", one)

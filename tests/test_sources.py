@@ -137,3 +137,36 @@ def test_sealed_dataset(spark, tmp_path):
         W.seal(df, str(tmp_path), "run1", "key", "2024-01-01T00:00:00Z")
     other = W.manifest(df.withColumn("value", F.lit("x")), "run1", "key", "2024-01-01T00:00:00Z").first()
     assert other.signature != row.signature
+
+
+def test_scans_fail_whatever_is_selected(spark, tmp_path):
+    bad = write(tmp_path / "journal.jsonl", json.dumps(event()), "not a json")
+    null = write(tmp_path / "null.jsonl", json.dumps(event(event_version=None)))
+    train = write(tmp_path / "train.jsonl", '{"instruction": "i", "input": "x", "output": "o"}', '{"instruction": "i"}')
+    for frame in (R.journal(spark, bad), R.journal(spark, null), R.training_samples(spark, train)):
+        for act in (lambda f: f.count(), lambda f: f.select(f.columns[-1]).collect(), lambda f: f.agg(F.lit(1)).collect(), lambda f: f.limit(5).collect()):
+            with pytest.raises(Exception):
+                act(frame)
+    assert R.training_samples(spark, write(tmp_path / "good.jsonl", '{"instruction": "i", "input": "x", "output": "o"}')).count() == 1
+
+
+def test_the_newest_file_is_read_as_it_is(spark, tmp_path):
+    import os
+
+    write(tmp_path / "clean_round_1.jsonl", "a", "b")
+    path = write(tmp_path / "clean_round_2.jsonl", *map(str, range(10)))
+    os.utime(tmp_path / "clean_round_1.jsonl", (1, 1))
+    last = lambda: sorted((r.line_no, r.value) for r in R.newest_lines(spark, str(tmp_path), "clean_round_*.jsonl", 3).collect())
+    assert last() == [(7, "7"), (8, "8"), (9, "9")]
+    write(tmp_path / "clean_round_2.jsonl", "fresh")  # cut and written anew
+    assert path.endswith("2.jsonl") and last() == [(0, "fresh")]
+
+
+def test_a_table_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    W.replace_table(spark.range(3), path)
+    W.replace_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+    with pytest.raises(Exception):
+        W.replace_table(spark.range(2).select(F.raise_error(F.lit("x")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 5
