@@ -45,11 +45,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import shuffle_partitions, written
+from ._shared import shuffle_partitions, whole_groups, written
 from .components import components
 
 #: Keys of one trie group in one task; larger groups are split further down the trie.
 GROUP_LIMIT = 50_000
+#: Shingle sets that one side of a block of pairs has.
+BLOCK_SETS = 500
 #: Shingles that are summed at once.
 _CHUNK = 1 << 13
 #: Bits of a byte, each in a byte of a 64-bit word, highest bit first in memory.
@@ -496,18 +498,55 @@ def _sets(shingle: int):
     return rows
 
 
+def _alike(similarity: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of blocks of sets (kind 0: a, shingles) and pairs (kind 1: a, b), the pairs whose sets are alike."""
+        for table in whole_groups(batches, ["block"], rows=1):
+            table = table.combine_chunks()
+            block, kind = (table[c].to_numpy() for c in ("block", "kind"))
+            flat = table["shingles"].combine_chunks()
+            values, bounds = flat.values.to_numpy(), flat.offsets.to_numpy()
+            one, two = table["a"].to_numpy(), table["b"].fill_null(0).to_numpy()
+            kept: list[tuple[int, int]] = []
+            sets: dict[int, np.ndarray] = {}
+            now = None
+            for i in range(len(block)):
+                if block[i] != now:
+                    now, sets = block[i], {}
+                if kind[i] == 0:
+                    sets[one[i]] = values[bounds[i] : bounds[i + 1]]
+                    continue
+                x, y = sets.get(one[i]), sets.get(two[i])
+                if x is None or y is None or min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+                    continue
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= similarity * (len(x) + len(y) - both) - 1e-9:
+                    kept.append((int(one[i]), int(two[i])))
+            yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in kept], pa.int64()) for j in (0, 1)], names=["src", "dst"])
+
+    return rows
+
+
 def _jaccard(classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> Callable[[DataFrame], DataFrame]:
-    """Keeps the pairs of classes whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
+    """Keeps the pairs of classes whose shingle sets have a Jaccard similarity of ``similarity`` or more.
+
+    Classes are dealt to blocks of about BLOCK_SETS, and pairs to pairs of blocks:
+    a class that a third of all pairs have goes once to each block it meets, and a
+    task holds the sets of two blocks.
+    """
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct()
-        reps = pairs.select(F.explode(F.array("src", "dst")).alias("rep")).distinct()
-        wanted = written(classes.join(reps, "rep", "left_semi").select("rep", "sid"))
-        sets = texts.join(wanted, F.col("id") == F.col("rep")).select("rep", "sid", "text").mapInArrow(_sets(shingle), "rep bigint, shingles array<bigint>").dropDuplicates(["rep"])
-        one, two = (sets.select(F.col("rep").alias(i), F.col("shingles").alias(c)) for i, c in (("src", "a"), ("dst", "b")))
-        both = F.size(F.array_intersect("a", "b"))
-        alike = both >= similarity * (F.size("a") + F.size("b") - both) - 1e-9
-        return pairs.join(one, "src").join(two, "dst").where(alike).select("src", "dst")
+        pairs = written(pairs.distinct())
+        wanted = written(classes.join(pairs.select(F.col("src").alias("rep")).unionByName(pairs.select(F.col("dst").alias("rep"))).distinct(), "rep", "left_semi").select("rep", "sid"))
+        blocks = -(-wanted.count() // BLOCK_SETS) or 1
+        of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+        keyed = pairs.withColumn("block", of("src") * blocks + of("dst"))
+        needed = keyed.select("block", F.col("src").alias("rep")).unionByName(keyed.select("block", F.col("dst").alias("rep"))).distinct()
+        found = texts.join(wanted, F.col("id") == F.col("rep")).select("rep", "sid", "text").mapInArrow(_sets(shingle), "rep bigint, shingles array<bigint>")
+        sets = needed.join(found.dropDuplicates(["rep"]), "rep").select("block", F.lit(0).alias("kind"), F.col("rep").alias("a"), F.lit(None).cast("bigint").alias("b"), "shingles")
+        rows = sets.unionByName(keyed.select("block", F.lit(1).alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(None).cast("array<bigint>").alias("shingles")))
+        n = shuffle_partitions(pairs.sparkSession)
+        return rows.repartition(n, "block").sortWithinPartitions("block", "kind").mapInArrow(_alike(similarity), "src bigint, dst bigint")
 
     return confirm
 
@@ -556,7 +595,7 @@ def near_duplicates(
 
 
 #: Standard deviations around the expected distance within which shingle sets are compared themselves.
-MARGIN = 3.0
+MARGIN = 2.5
 
 
 def similarity_bits(similarity: float, width: int, margin: float = MARGIN) -> tuple[int, int]:
