@@ -1,24 +1,31 @@
 """Main text of HTML pages by minimum-cut labelling.
 
-A page is read into blocks, the stretches of text between block-level tags. A
-linear classifier over a block's tags, class names, links and length gives the
-cost of calling it content or boilerplate; the costs are the capacities from the
-source and to the sink. Blocks that follow each other, and blocks of one parent,
-are tied by edges whose capacity grows with the share of the DOM path that they
-have in common. The minimum cut, found by maximum flow, is the cheapest
-labelling. Blocks whose own cost outweighs all their edges are labelled before,
-which doesn't change the minimum.
+A page is read into blocks, the stretches of text between block-level tags; a run
+of text in an inline element that is marked as boilerplate is a node of its own
+within its block. A linear classifier over a node's tags, class names, links and
+length gives the cost of calling it content or boilerplate; the costs are the
+capacities from the source and to the sink. Nodes that follow each other, and
+nodes of one parent, are tied by edges whose capacity grows with the share of the
+DOM path that they have in common. The minimum cut, found by maximum flow, is the
+cheapest labelling. Nodes whose own cost outweighs all their edges are labelled
+before, which doesn't change the minimum.
+
+Marks are evidence, not verdicts: names of classes and ids count by their words,
+a name with words of layout (``has-sidebar``) says nothing, one with words that
+aren't known says little, and what holds the page's largest article isn't
+boilerplate by its name. Only what isn't shown at all is out for sure.
 
 Each page is a row by itself: no shuffle, and no page is cut. A null or empty
 page has an empty text. Malformed markup never fails: unclosed elements end with
 their parents, a ``<`` that opens no tag is text, and an unclosed comment or
-script runs to the end. Repeated rows give repeated results.
+script runs to the end. Reading takes time in proportion to the page. Repeated
+rows give repeated results.
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -26,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>\x00]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>\x00]*+)(?P<attrs2>[^>]*+)>|<[!?][^>]*+>",
-    re.DOTALL,
-)
-_ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+_OPENS = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>\x00]*+)")
+#: Attributes up to a ``>`` outside of quotes.
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 #: Elements without an end tag.
@@ -53,7 +60,7 @@ _CLOSES = {
     "tbody": ({"tbody", "thead", "tfoot"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}),
 }
-#: Tags that mark all they hold as boilerplate; header only outside of an article.
+#: Tags that mark all they hold as boilerplate; header only outside of content.
 PLAIN_TAGS = frozenset("nav footer aside form menu dialog button search".split())
 PLAIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 #: Words of class names and ids that mark boilerplate.
@@ -63,139 +70,246 @@ PLAIN_WORDS = frozenset(
     replies reply respond responses rail share sharing sidebar sidebars signin signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets masthead
     alert disclaimer overlay paywall teaser outbrain taboola""".split()
 )
-#: Words that mark boilerplate unless a word of content stands beside them.
+#: Words that mark boilerplate outside of content, unless a word of content stands beside them.
 PERHAPS_PLAIN = frozenset("header meta tags tools links top bottom aside side form search".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 CONTENT_WORDS = frozenset("article articles content entry post posts story body text main prose blogpost maincontent articlebody".split())
+#: Words of names that tell of a page's layout or state; such a name says nothing of what it holds.
+LAYOUT_WORDS = frozenset("has no with without is not layout template open opened closed enabled disabled allowed".split())
+_WRAPS = frozenset("wrap wrapper wrapped container".split())
+#: Words that add nothing to those beside them.
+NEUTRAL_WORDS = _WRAPS | frozenset(
+    """area bar block box bottom btn button buttons col column columns div entries first global group header icon icons inner item items last left line link links list message msg
+    module new page panel primary region right row secondary section site slot small space sub title top unit view wide big center""".split()
+)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-#: Cost in units of a hundredth.
-SURE = 5_000
+#: Costs in units of a hundredth: of what isn't shown, of tags and of names that mark boilerplate, of names that may.
+HIDDEN = 5_000
+PLAIN_TAG, PLAIN_NAME, PERHAPS, WEAK = 600, 500, 300, 120
+#: Evidence of content from a tag, a name, and in sum.
+CONTENT_TAG, CONTENT_NAME, CONTENT_MOST = 300, 250, 350
 EDGE = 60
+#: Share of a page's prose that no boilerplate has, where nothing on the page is marked as content.
+MOST_PROSE = 0.6
+#: Depth of the DOM beyond which elements count as children of that depth.
+DEPTH = 256
+
+
+def name_evidence(value: str, inside: bool) -> tuple[int, int]:
+    """(boilerplate, content): what the names of a class attribute or id tell; ``inside`` of content some tell less."""
+    plain = content = 0
+    for name in value.split():
+        words = {w.lower() for w in _NAME.findall(name)}
+        if not words or words & LAYOUT_WORDS:
+            continue
+        good, bad = words & CONTENT_WORDS, words & PLAIN_WORDS
+        if bad and good and words & _WRAPS:
+            continue
+        if bad:
+            known = words <= PLAIN_WORDS | CONTENT_WORDS | NEUTRAL_WORDS | PERHAPS_PLAIN or any(w.isdigit() for w in words)
+            plain = max(plain, PLAIN_NAME if known else WEAK)
+        elif good:
+            content = max(content, CONTENT_NAME if words <= CONTENT_WORDS | NEUTRAL_WORDS else CONTENT_NAME // 2)
+        elif words & PERHAPS_PLAIN and not inside:
+            plain = max(plain, PERHAPS)
+    return plain, content
 
 
 class _Element:
-    __slots__ = ("tag", "plain", "content", "skipped", "depth", "parent", "link")
+    """An element: its marks as they are read, and its score once the page is known."""
+
+    __slots__ = ("tag", "parent", "depth", "link", "inside", "hidden", "by_tag", "by_name", "content", "holds", "prose", "score")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None):
+        while parent and parent.depth >= DEPTH:
+            parent = parent.parent
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.plain, self.content = (parent.plain, parent.content) if parent else (False, False)
         self.link = tag == "a" or bool(parent and parent.link)
-        if tag in PLAIN_TAGS or (tag == "header" and not self.content):
-            self.plain = True
+        self.hidden = bool(parent and parent.hidden)
+        self.by_tag = self.by_name = self.content = self.prose = self.score = 0
+        self.holds = False
+        inside = bool(parent and parent.inside)
+        if tag in PLAIN_TAGS or (tag == "header" and not inside):
+            self.by_tag = PLAIN_TAG
         if tag in CONTENT_TAGS:
-            self.content = True
-        if attrs and tag not in ("a", "html", "body"):
-            self._read(attrs)
+            self.content = CONTENT_TAG
+        if attrs and tag not in ("html", "body"):
+            self._read(attrs, inside)
+        self.inside = inside or (self.content > 0 and self.plain < PERHAPS)
 
-    def _read(self, attrs: str) -> None:
+    @property
+    def plain(self) -> int:
+        return max(self.by_tag, self.by_name)
+
+    def _read(self, attrs: str, inside: bool) -> None:
         for m in _ATTR.finditer(attrs):
-            name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "")
-            if name in ("class", "id", "itemprop"):
-                words = {w.lower() for w in _NAME.findall(value)}
-                good = not words.isdisjoint(CONTENT_WORDS)
-                if not words.isdisjoint(PLAIN_WORDS) or (not good and not self.content and not words.isdisjoint(PERHAPS_PLAIN)):
-                    self.plain = True
-                elif good:
-                    self.content = True
+            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if name in ("class", "id"):
+                if self.tag != "a":
+                    plain, content = name_evidence(unescape(value), inside)
+                    self.by_name, self.content = max(self.by_name, plain), max(self.content, content)
+            elif name == "itemprop":
+                if value.lower() == "articlebody":
+                    self.content = max(self.content, CONTENT_NAME)
             elif name == "role":
                 if value.lower() in PLAIN_ROLES:
-                    self.plain = True
+                    self.by_tag = PLAIN_TAG
                 elif value.lower() in ("main", "article"):
-                    self.content = True
+                    self.content = max(self.content, CONTENT_TAG)
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE)):
-                self.plain = True
-
-
-class Block:
-    """Text between two block-level tags, and what the classifier looks at."""
-
-    __slots__ = ("text", "element", "linked")
-
-    def __init__(self, text: str, element: _Element, linked: int):
-        self.text, self.element, self.linked = text, element, linked
-
-
-def blocks(html: str) -> list[Block]:
-    """The page's blocks in order, with white space inside them as single spaces."""
-    out: list[Block] = []
-    root = _Element("#root", "", None)
-    stack = [root]
-    parts: list[tuple[str, bool]] = []
-
-    def flush() -> None:
-        if parts:
-            text = " ".join(unescape_all(parts).split())
-            if text:
-                holder = next((e for e in reversed(stack) if e.tag in BLOCK), root)
-                linked = sum(len(t.strip()) for t, is_link in parts if is_link)
-                out.append(Block(text, holder, linked))
-            parts.clear()
-
-    def close(at: int) -> None:
-        del stack[at:]
-
-    at, end = 0, len(html)
-    while at < end:
-        m = _TOKEN.search(html, at)
-        if not m:
-            break
-        if m.start() > at:
-            parts.append((html[at : m.start()], stack[-1].link))
-        at = m.end()
-        tag = m["tag"] or m["tag2"]
-        if not tag:
-            continue
-        tag = tag.lower()
-        is_end = bool(m["end"] or m["end2"])
-        attrs = m["attrs"] or m["attrs2"] or ""
-        if tag in SKIPPED and not is_end:
-            if not (attrs.endswith("/") and tag in ("svg", "math")):
-                over = _end_of(tag).search(html, at)
-                at = over.end() if over else end
-            parts.append((" ", False))
-            continue
-        if tag == "br":
-            parts.append((" ", False))
-            continue
-        if tag in BLOCK:
-            flush()
-        if is_end:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if tag not in BLOCK and stack[i].tag in BLOCK:
-                    break  # an inline end tag doesn't end a block
-            continue
-        if tag in _CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in BLOCK:
-                    break
-        if tag in _CLOSES:
-            what, until = _CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in until:
-                    break
-                if stack[i].tag in what:
-                    close(i)
-                    if tag != "tr":
+                self.hidden = True
+
+
+class Run:
+    """A node of the graph: the text of a block, or of an inline element in it that is marked by itself."""
+
+    __slots__ = ("element", "n", "linked", "end")
+
+    def __init__(self, element: _Element, n: int, linked: int, end: str):
+        self.element, self.n, self.linked, self.end = element, n, linked, end
+
+
+class Page:
+    """A page's blocks, each a list of (node, text) in order, and the nodes."""
+
+    def __init__(self, html: str):
+        self.root = _Element("#root", "", None)
+        self.elements, self.blocks, self.runs = [self.root], [], []
+        self._parts: list[tuple[str, _Element]] = []
+        self._read(html)
+        self._weigh()
+
+    def _flush(self, holder: _Element) -> None:
+        parts, self._parts = self._parts, []
+        if not any(t.strip() for t, _ in parts):
+            return
+        gathered: dict[int, list] = {}
+        block = []
+        for text, element in parts:
+            text = unescape(text) if "&" in text else text
+            marked = holder
+            while element is not holder and element.tag not in BLOCK and element.parent:
+                if element.hidden or (element.plain >= PERHAPS and element.tag != "a"):
+                    marked = element  # the outermost that is marked
+                element = element.parent
+            own = gathered.setdefault(id(marked), [marked, len(self.runs) + len(gathered), [], 0])
+            block.append((own[1], text))
+            own[2].append(text)
+        for (_, element), (at, text) in zip(parts, block, strict=True):
+            if element.link:
+                next(g for g in gathered.values() if g[1] == at)[3] += len(text.strip())
+        for marked, _, texts, linked in gathered.values():
+            whole = " ".join("".join(texts).split())
+            marked.prose += max(len(whole) - linked, 0)
+            self.runs.append(Run(marked, len(whole), linked, whole[-1:]))
+        self.blocks.append(block)
+
+    def _read(self, html: str) -> None:
+        stack, open_tags, quotes = [self.root], Counter(), True
+
+        def close(at: int) -> None:
+            for e in stack[at:]:
+                open_tags[e.tag] -= 1
+            del stack[at:]
+
+        def flush() -> None:
+            self._flush(next((e for e in reversed(stack) if e.tag in BLOCK), self.root))
+
+        at, end = 0, len(html)
+        while at < end:
+            m = _OPENS.search(html, at)
+            if not m:
+                break
+            start = m.start()
+            if start > at:
+                self._parts.append((html[at:start], stack[-1]))
+            if m[0] == "<!--":
+                over = html.find("-->", m.end())
+                at = over + 3 if over >= 0 else end
+                continue
+            over = html.find(">", m.end())
+            if over < 0:  # no tag ends from here on
+                at = start
+                break
+            if m[0] in ("<!", "<?"):
+                at = over + 1
+                continue
+            t = _TAG.match(html, start)
+            tag, attrs = t[2].lower(), ""
+            q = _QUOTED.match(html, t.end()) if quotes else None
+            quotes = quotes and q is not None  # quotes that never end: from here on they are letters
+            at = q.end() if q else over + 1
+            attrs = html[t.end() : at - 1]
+            if tag in SKIPPED and not t[1]:
+                if not (attrs.endswith("/") and tag in ("svg", "math")):
+                    closed = _end_of(tag).search(html, at)
+                    at = closed.end() if closed else end
+                self._parts.append((" ", stack[-1]))
+                continue
+            if tag == "br":
+                self._parts.append((" ", stack[-1]))
+                continue
+            if tag in BLOCK:
+                flush()
+            if t[1]:
+                if open_tags[tag] > 0:
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i].tag == tag:
+                            close(i)
+                            break
+                        if tag not in BLOCK and stack[i].tag in BLOCK:
+                            break  # an inline end tag doesn't end a block
+                continue
+            if tag in _CLOSES_P and open_tags["p"] > 0:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag == "p":
+                        close(i)
                         break
-        if tag not in VOID:
-            stack.append(_Element(tag, attrs, stack[-1]))
-    if at < end:
-        parts.append((html[at:], stack[-1].link))
-    flush()
-    return out
-
-
-def unescape_all(parts: list[tuple[str, bool]]) -> str:
-    """Character references are decoded run by run, as the markup between two runs ends a reference."""
-    return "".join([unescape(t) if "&" in t else t for t, _ in parts])
+                    if stack[i].tag in BLOCK:
+                        break
+            if tag in _CLOSES:
+                what, until = _CLOSES[tag]
+                for i in range(len(stack) - 1, 0, -1) if any(open_tags[x] > 0 for x in what) else ():
+                    if stack[i].tag in until:
+                        break
+                    if stack[i].tag in what:
+                        close(i)
+                        if tag != "tr":
+                            break
+            if tag not in VOID:
+                stack.append(_Element(tag, attrs, stack[-1]))
+                self.elements.append(stack[-1])
+                open_tags[tag] += 1
+        if at < end:
+            self._parts.append((html[at:], stack[-1]))
+        flush()
+
+    def _weigh(self) -> None:
+        """Scores of elements from the root down: evidence of content above 0, of boilerplate below."""
+        for e in reversed(self.elements):
+            if e.parent:
+                e.parent.prose += e.prose
+        free = [e for e in self.elements if e.content and e.plain < PERHAPS and not e.hidden and e.prose]
+        tagged = [e for e in free if e.content >= CONTENT_TAG] or free
+        main = max(tagged, key=lambda e: e.prose, default=None)
+        self.has_content = main is not None
+        up = main
+        while up:
+            up.holds = True
+            up = up.parent
+        for e in self.elements[1:]:
+            base = e.parent.score
+            spared = e.holds if self.has_content else e.prose >= MOST_PROSE * self.root.prose
+            by_tag = 0 if spared and e.tag in ("form", "header") else e.by_tag
+            plain = max(by_tag, 0 if spared else e.by_name)
+            if plain >= PERHAPS:
+                e.score = max(min(base, 0) - plain, -2 * PLAIN_TAG)
+            else:
+                e.score = base - plain
+                if e.content:
+                    e.score = min(e.score + (e.content if base >= 0 else e.content // 4), CONTENT_MOST)
 
 
 _ends: dict[str, re.Pattern] = {}
@@ -207,23 +321,20 @@ def _end_of(tag: str) -> re.Pattern:
     return _ends[tag]
 
 
-def cost(block: Block, has_content: bool) -> int:
-    """Above 0 the block looks like content, below like boilerplate; in hundredths."""
-    e = block.element
-    if e.plain:
-        return -SURE
-    n = len(block.text)
-    share = min(block.linked / n, 1.0)
-    total = -30 + min(n, 200) - int(250 * share)
-    if e.content:
-        total += 250
-    elif has_content:
+def cost(run: Run, has_content: bool) -> int:
+    """Above 0 the node looks like content, below like boilerplate; in hundredths."""
+    e = run.element
+    if e.hidden:
+        return -HIDDEN
+    share = min(run.linked / max(run.n, 1), 1.0)
+    total = -30 + min(run.n, 200) - int(250 * share) + e.score
+    if e.score <= 0 and has_content:
         total -= 200  # the page names its content, and this is elsewhere
     if e.tag in _HEADINGS:
         total += 60
     if e.tag == "li" and share > 0.5:
         total -= 100
-    if block.text[-1] in ".!?:;\"'»”…)":
+    if run.end and run.end in ".!?:;\"'»”…)":
         total += 60
     return total
 
@@ -240,8 +351,8 @@ def _common(a: _Element, b: _Element) -> float:
     return a.depth / longest
 
 
-def edges_of(found: list[Block]) -> dict[tuple[int, int], int]:
-    """Capacities between blocks that follow each other, and between neighbours of one parent."""
+def edges_of(found: list[Run]) -> dict[tuple[int, int], int]:
+    """Capacities between nodes that follow each other, and between neighbours of one parent."""
     edges: dict[tuple[int, int], int] = {}
     last: dict[int, int] = {}
     for i, b in enumerate(found):
@@ -331,10 +442,10 @@ def _source_side(nodes: list[int], costs: list[int], near: list[dict[int, int]])
 
 def main_text(html: str | None) -> str:
     """The page's content blocks, joined by line feeds."""
-    found = blocks(html or "")
-    has_content = any(b.element.content and not b.element.plain for b in found)
-    labels = min_cut([cost(b, has_content) for b in found], edges_of(found))
-    return "\n".join(b.text for b, content in zip(found, labels, strict=True) if content)
+    page = Page(html or "")
+    labels = min_cut([cost(r, page.has_content) for r in page.runs], edges_of(page.runs))
+    kept = (" ".join("".join(t for i, t in block if labels[i]).split()) for block in page.blocks)
+    return "\n".join(t for t in kept if t)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ import itertools
 import os
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -69,6 +70,79 @@ def test_a_page_without_an_article_element():
     assert H.main_text(page).split("\n") == ["Head", text, "Short.", text]
 
 
+LONG = "This paragraph of the article is long enough to be taken for prose, and it ends with a full stop as prose does."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div data-hidden="false"><p>%s</p></div>',
+        '<article data-state="hidden"><p>%s</p></article>',
+        '<article class="blog-post has-sidebar"><p>%s</p></article>',
+        '<div class="layout-sidebar-right"><article><p>%s</p></article><div class="sidebar"><p>A text beside it that is long enough, and ends with a stop.</p></div></div>',
+        '<div class="content-sidebar-wrap"><main><p>%s</p></main></div>',
+        '<div class="main-content no-sidebar"><p>%s</p></div>',
+        '<div class="content has-sidebar"><p>%s</p></div>',
+        '<article class="post comments-open"><p>%s</p></article>',
+        '<article><section id="related-work"><p>%s</p></section></article>',
+        '<article><p class="notice-of-intent">%s</p></article>',
+        '<article><p>%s <span class="advertisement">Buy now, it is cheap!</span></p></article>',
+        '<article><p><span hidden>no</span>%s<i style="display:none">no</i></p></article>',
+        '<form id="aspnetForm"><div class="article"><p>%s</p></div></form>',
+        '<div class="sidebar"><p>%s</p></div>',
+        '<article title="a > b" class=x><p>%s</p></article>',
+        '<div class="wrapper"><p>%s</p></div><div class="comments"><p>A reader says so at some length, and in whole sentences, too.</p><p>Another reader says the opposite, at no less length than the first.</p></div>',
+    ],
+)
+def test_marks_are_weighed(page):
+    assert H.main_text(page % LONG) == LONG
+    assert H.main_text("<body><nav><a href=/>Home</a></nav>" + page % LONG + "<footer>Imprint</footer></body>") == LONG
+
+
+@pytest.mark.parametrize(
+    "plain",
+    [
+        '<div class="comments">%s</div>', '<section id="comment-12"><article class="comment-body">%s</article></section>', '<div class="ad-slot">%s</div>', '<aside>%s</aside>', '<form>%s</form>',
+        '<div class="cookie-notice">%s</div>', '<div class="newsletter-signup-box">%s</div>', '<div class="related-posts">%s</div>', '<div role="alert">%s</div>', '<p class="disclaimer">%s</p>',
+    ],
+)
+def test_boilerplate_within_and_beside_an_article(plain):
+    other = "A text that is just as long as prose would be, with several words and a stop at its end."
+    assert H.main_text(f"<body><article><p>{LONG}</p>{plain % other}<p>{LONG}</p></article></body>") == f"{LONG}\n{LONG}"
+    assert H.main_text(f"<body><article><p>{LONG}</p></article>{plain % other}</body>") == LONG
+
+
+def generated(rng):
+    """A page without an article element, and its text."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+    want, body = [], []
+    for _ in range(rng.randint(2, 8)):
+        text = prose(rng.randint(15, 60))
+        want.append(text)
+        cut = rng.randrange(5, len(text) - 5)
+        body.append(rng.choice([f"<p>{text}</p>", f"<p>{text[:cut]}<b>{text[cut:]}</b></p>", f"<div><p>{text}</div>", f"<p>{text[:cut]}<!-- x --><span>{text[cut:]}</span>"]))
+    links = "".join(f"<li><a href=/{i}>{rng.choice(words)}</a></li>" for i in range(rng.randint(2, 9)))
+    around = [f"<ul>{links}</ul>", f'<div class="{rng.choice(["sidebar", "site-footer", "cookie-notice", "ad-slot", "comment-list"])}"><p>{prose(12)}</p></div>']
+    rng.shuffle(around)
+    return f"<html><body>{around[0]}<div>{''.join(body)}</div>{around[1]}</body></html>", "\n".join(want)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_generated_pages_without_an_article(seed):
+    html, want = generated(random.Random(seed))
+    assert H.main_text(html) == want
+
+
+@pytest.mark.parametrize("unit", ['<a x="', '<a "\'> ', "<div>x", "</b>", "<li>a", "<p><b>", "<!", "<td>", '<span class="ad">x</span>', "<ul><li><a>x</a>"])
+def test_a_megabyte_of_bad_markup_is_read_in_time(unit):
+    start = time.time()
+    H.main_text("<p>first</p>" + unit * ((1 << 20) // len(unit)))
+    assert time.time() - start < 60
+    if unit == '<a x="':
+        assert time.time() - start < 1
+
+
 @pytest.mark.parametrize("html", [None, "", " ", "<", "<p", "</p>", "<!--", "<script>x", "a < b", "<b><p></b>x", "&#xZZ;&amp", "<a title=\"x>y\">t</a>", "<p class='a\">x", "\x00<\x00>"])
 def test_odd_pages_do_not_fail(html):
     assert isinstance(H.main_text(html), str)
