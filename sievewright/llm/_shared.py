@@ -45,6 +45,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def host_key(column: Column) -> Column:
     """A text key that keeps null apart from every string."""
     return F.when(column.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), column))
