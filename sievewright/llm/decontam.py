@@ -10,11 +10,16 @@ windows to every block; within a block the posting lists of a window are
 intersected, moved by the term's offset, from the block's rarest term on. A
 window with a term that the block lacks stops at once.
 
+Test items go to the blocks in packs of a bounded size, one at a time: the driver
+holds one pack, its matches are written before the next, and the passes meet by
+the block's number and the document's place in it, which the index stores.
+
 Words are runs of letters and digits (and any non-ASCII character) after
 lower-casing A-Z. A null or empty text has no words: such a document is in the
 result with zeros, such an item has no window. An item of fewer words than the
 window is one window. Repeated document rows give repeated result rows; items
-that share an id count as one. Only the named columns are read, so extra columns
+that share an id count as one, and so do items without an id, which count but
+have no name in a list of names. Only the named columns are read, so extra columns
 of any name do no harm.
 """
 
@@ -25,35 +30,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import shared_dir, written
+from ._shared import shared_dir, unused, written
 
 #: Words of test items that go to the executors in one pass; a larger set takes more passes.
 PACK_WORDS = 2_000_000
 
-_INDEX = "doc_ids array<bigint>, doc_starts array<int>, terms array<bigint>, term_starts array<int>, postings array<int>"
-_HITS = "doc_id bigint, n_words bigint, spans array<struct<first:int,last:int>>, items array<string>, near array<string>"
+#: Words beyond a window's own within which its words are near each other.
+SLOP = 2
+
+_INDEX = "block bigint, doc_ids array<bigint>, doc_starts array<int>, terms array<bigint>, term_starts array<int>, postings array<int>"
+_HITS = "block bigint, place int, doc_id bigint, n_words bigint, spans array<struct<first:int,last:int>>, items array<string>, near array<string>"
 
 
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = TaskContext.get().partitionId() << 32
     for batch in batches:
         data, offsets = T.text_buffers(batch.column(1))
         for low, high in T.slices(offsets):
             _, _, words, bounds = T.word_spans(data, offsets[low : high + 1], T.ALNUM)
+            block += 1
             order = np.argsort(words, kind="stable").astype(np.int32)
             terms, at = np.unique(words[order], return_index=True)
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array([block]),
                     _one_list(batch.column(0).slice(low, high - low)),
                     _one_list(pa.array(bounds.astype(np.int32))),
                     _one_list(pa.array(terms.view(np.int64))),
                     _one_list(pa.array(np.append(at, len(order)).astype(np.int32))),
                     _one_list(pa.array(order)),
                 ],
-                names=["doc_ids", "doc_starts", "terms", "term_starts", "postings"],
+                names=["block", "doc_ids", "doc_starts", "terms", "term_starts", "postings"],
             )
 
 
@@ -86,7 +98,7 @@ class Windows:
                     self.words.append(part)
                     self.items.append([])
                 self.items[k].append(item)
-        self.items = [sorted(set(x)) for x in self.items]
+        self.items = [set(x) for x in self.items]
         self.sizes = np.array([len(x) for x in self.words], np.int64)
         self.vocabulary, inverse = np.unique(np.concatenate([*self.words, np.zeros(0, np.uint64)]), return_inverse=True)
         ends = np.cumsum(self.sizes)
@@ -108,12 +120,22 @@ def _phrase(lists: list[np.ndarray]) -> np.ndarray:
     return starts
 
 
-def _near(lists: dict[int, np.ndarray], needed: dict[int, int], span: int, docs: np.ndarray) -> set[int]:
-    """Documents with a stretch of at most ``span`` words that has every term (``needed`` times each), in any order."""
-    rare = min(needed, key=lambda i: len(lists[i]))
+def _within(lists: list[np.ndarray], span: int) -> np.ndarray:
+    """Places of the rarest term that have every other term less than ``span`` words away, from the rarest on."""
+    lists = sorted(lists, key=len)
+    at = lists[0]
+    for other in lists[1:]:
+        if not len(at):
+            break
+        at = at[np.searchsorted(other, at + span) > np.searchsorted(other, at - span, "right")]
+    return at
+
+
+def _near(lists: dict[int, np.ndarray], needed: dict[int, int], span: int, docs: np.ndarray, places: np.ndarray) -> set[int]:
+    """Documents with a stretch of at most ``span`` words around one of the places that has every term (``needed`` times each), in any order."""
     found: set[int] = set()
-    whose = np.searchsorted(docs, lists[rare], "right") - 1
-    for at, d in zip(lists[rare].tolist(), whose.tolist(), strict=True):
+    whose = np.searchsorted(docs, places, "right") - 1
+    for at, d in zip(places.tolist(), whose.tolist(), strict=True):
         if d in found:
             continue
         starts = np.arange(max(at - span + 1, int(docs[d])), at + 1)
@@ -134,6 +156,10 @@ def _search_block(row: dict, windows: Windows, slop: int | None) -> dict[int, tu
         size = int(windows.sizes[k])
         ids = at[windows.ids[k, :size]]
         lists = [postings[first[i] : first[i + 1]] for i in ids]
+        span = size + (slop or 0)
+        places = _within(lists, span)
+        if not len(places):
+            continue
         starts = _phrase(lists)
         doc = np.searchsorted(docs, starts, "right") - 1
         whole = starts + size <= docs[doc + 1] if len(starts) else np.zeros(0, bool)
@@ -143,14 +169,18 @@ def _search_block(row: dict, windows: Windows, slop: int | None) -> dict[int, tu
             found[1].update(windows.items[k])
         if slop is not None:
             needed = {int(i): int(n) for i, n in zip(*np.unique(ids, return_counts=True), strict=True)}
-            for d in _near({i: postings[first[i] : first[i + 1]] for i in needed}, needed, size + slop, docs):
+            for d in _near({i: postings[first[i] : first[i + 1]] for i in needed}, needed, span, docs, places):
                 hits.setdefault(d, ([], set(), set()))[2].update(windows.items[k])
     return hits
 
 
-def _searcher(items: list[tuple[str, str | None]], window: int, slop: int | None):
+def _names(items: set) -> list:
+    return sorted(items, key=lambda x: (x is None, x))
+
+
+def _searcher(items: Broadcast, window: int, slop: int | None):
     def search_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(items, window)
+        windows = Windows(items.value, window)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].values for n in ("doc_ids", "doc_starts", "terms", "term_starts", "postings")}
@@ -160,13 +190,15 @@ def _searcher(items: list[tuple[str, str | None]], window: int, slop: int | None
                 out = [hits.get(d, empty) for d in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(np.full(n, batch.column("block")[i].as_py())),
+                        pa.array(np.arange(n, dtype=np.int32)),
                         row["doc_ids"],
                         pa.array(np.diff(row["doc_starts"]).astype(np.int64)),
                         pa.array([[{"first": a, "last": b} for a, b in sorted(set(x[0]))] for x in out], pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                        pa.array([sorted(x[1]) for x in out], pa.list_(pa.string())),
-                        pa.array([sorted(x[2] - x[1]) for x in out], pa.list_(pa.string())),
+                        pa.array([_names(x[1]) for x in out], pa.list_(pa.string())),
+                        pa.array([_names(x[2] - x[1]) for x in out], pa.list_(pa.string())),
                     ],
-                    names=["doc_id", "n_words", "spans", "items", "near"],
+                    names=["block", "place", "doc_id", "n_words", "spans", "items", "near"],
                 )
 
     return search_rows
@@ -182,19 +214,23 @@ def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int | Non
     ``pack_words`` words, one pass over the index each, so that what is sent has
     a bound; a usual benchmark is one pack.
     """
-    tests = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null")
+    spark = index.sparkSession
+    tests = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     words = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     packs = max(1, -(-int(words) // (pack_words * 4)))
     passes = None
     for p in range(packs):
-        pack = [(r.item, r.text) for r in tests.where(F.pmod(F.xxhash64("item"), F.lit(packs)) == p).sort("item", "text").toLocalIterator()]
+        chosen = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(packs)) == p).sort("item", "text")
+        pack = spark.sparkContext.broadcast([(r.item, r.text) for r in chosen.toLocalIterator()])
         found = index.mapInArrow(_searcher(pack, window, slop), _HITS)
-        if packs > 1:
-            found = found.withColumn("at", F.monotonically_increasing_id())
+        if packs == 1:
+            return found.drop("block", "place")
+        found = written(found.where((F.lit(p) == 0) | (F.size("items") > 0) | (F.size("near") > 0)))
+        pack.destroy()
         passes = found if passes is None else passes.unionByName(found)
-    if packs == 1:
-        return passes
-    return passes.groupBy("at").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *(F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("spans", "items", "near"))).withColumn("near", F.array_except("near", "items")).drop("at")
+    lists = [F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("spans", "items", "near")]
+    merged = passes.groupBy("block", "place").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *lists)
+    return merged.withColumn("near", F.array_except("near", "items")).drop("block", "place")
 
 
 def covered(spans: Column) -> Column:
@@ -208,7 +244,7 @@ def covered(spans: Column) -> Column:
 
 
 def report(hits: DataFrame) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256 (of the comma-joined sorted ids), contaminated."""
+    """Per document: n_words, n_hit, n_items, items_sha256 (of the comma-joined sorted ids), contaminated, n_near (further items that are near)."""
     return hits.select(
         "doc_id",
         "n_words",
@@ -216,19 +252,20 @@ def report(hits: DataFrame) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
+        F.size("near").cast("bigint").alias("n_near"),
     )
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of an item; rows of a null doc_id are kept only if no such row is hit."""
     # written first, so that its size is known and texts are shuffled only where it is too large to be sent
-    bad = written(search(build_index(docs), items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    bad = written(search(build_index(docs), items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias(unused(docs, "bad"))).distinct())
+    return docs.join(bad, F.col("doc_id").eqNullSafe(bad[bad.columns[0]]), "left_anti")
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return report(search(build_index(docs), items, window=10))
+    return report(search(build_index(docs), items, window=10, slop=SLOP))
 
 
 ORACLE = """
@@ -241,8 +278,17 @@ runs AS (SELECT rid, n, k, array_to_string(list_slice(w, k, k + n - 1), ' ') AS
   FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d JOIN sizes ON len(w) >= n)),
 hit AS (SELECT rid, item, k, n FROM runs JOIN win USING (n, g)),
 pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS p FROM hit) GROUP BY rid),
-its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid),
+freq AS (SELECT word, count(*) AS c FROM (SELECT unnest(w) AS word FROM d) GROUP BY word),
+wins AS (SELECT row_number() OVER () AS k, item, string_split(g, ' ') AS g, n FROM win),
+rare AS (SELECT k, min_by(word, c) AS word FROM (SELECT k, unnest(g) AS word FROM wins) JOIN freq USING (word) GROUP BY k),
+toks AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+cand AS (SELECT rid, k, item, g, n, p FROM wins JOIN rare USING (k) JOIN toks USING (word)),
+around AS (SELECT c.*, w FROM cand c JOIN d USING (rid) WHERE list_has_all(list_slice(w, greatest(p - n - 1, 1), p + n + 1), g)),
+tries AS (SELECT DISTINCT rid, item, g, list_slice(w, s, s + n + 1) AS x FROM (SELECT *, unnest(range(greatest(p - n - 1, 1), p + 1)) AS s FROM around)),
+close AS (SELECT DISTINCT rid, item FROM tries WHERE len(list_filter(list_distinct(g), lambda u: len(list_filter(x, lambda v: v = u)) < len(list_filter(g, lambda v: v = u)))) = 0),
+nears AS (SELECT rid, count(*) AS n_near FROM close c WHERE NOT EXISTS (FROM hit h WHERE h.rid = c.rid AND h.item IS NOT DISTINCT FROM c.item) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid) LEFT JOIN nears USING (rid)
 """
