@@ -61,6 +61,16 @@ def test_mix_meets_targets(spark):
         before = sorted(map(str, got))
 
 
+@pytest.mark.parametrize("worth", ["1.0", "0.2", "0.2 + 0.8 * (id % 7) / 6", "if(id % 3 = 0, 50.0, 0.01)"])
+def test_buckets_are_of_one_size_for_any_quality(spark, monkeypatch, worth):
+    monkeypatch.setattr(M, "BUCKETS_AT_ONCE", 7)
+    docs = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"), F.expr(worth).alias("w"))
+    sizes = sorted(r["count"] for r in M.bucketed(docs, weight=F.col("w"), bucket_rows=200).groupBy("bucket").count().collect())
+    assert sum(sizes) == 20_000 and len(sizes) > 80 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    rows = M.mix(docs, weight=F.col("w"), bucket_rows=200).collect()
+    assert len(rows) == 20_000 and abs(sum(r.taken for r in rows) - rows[0].target) <= 1
+
+
 def test_mix_follows_quality_and_order_of_keys(spark):
     rows = [(i, "a b c", "s") for i in range(400)]
     df = spark.createDataFrame(docs_of(rows), SCHEMA)
@@ -72,7 +82,7 @@ def test_mix_follows_quality_and_order_of_keys(spark):
 
 
 def test_uniform_keys_match_their_definition(spark):
-    row = spark.createDataFrame([(12,)], "i bigint").select(M.uniform(F.col("i"))).first()
+    row = spark.createDataFrame([(12,)], "i bigint").select(M.uniform(F.col("i"), F.lit("x"))).first()
     assert row[0] == (int(hashlib.md5(b"12").hexdigest()[:12], 16) + 1) / 2**48
 
 
