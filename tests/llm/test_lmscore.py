@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -50,34 +52,81 @@ def test_surroundings_stay_in_the_text():
     assert got.T.tolist() == [[99, 99, 11, 99], [99, 10, 99, 99], [99, 99, 13, 14], [99, 12, 14, 15], [12, 13, 15, 99], [13, 14, 99, 99]]
 
 
+def hashes(text):
+    raw = text.encode()
+    return T.word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), T.SPACED)[2]
+
+
 def test_learns_what_both_sides_tell(spark):
     df = frame(spark, corpus())
     texts = df.select("text")
-    vocab = M.vocabulary(texts)
-    net = M.train(texts.coalesce(1), vocab, rounds=12)
+    counts = M.word_counts(texts)
+    vocab = M.vocabulary(counts)
+    net = M.train(texts, vocab, rounds=12)
     rng = random.Random(5)
     shuffled = " ".join(rng.choice("abcd") for _ in range(60))
     held = [(1, "a b c d " * 15), (2, shuffled), (3, "zz yy xx " * 20), (4, None), (5, ""), (None, "a b c"), (1, "a b c d " * 15)]
-    got = M.score(frame(spark, held), net, vocab).collect()
+    got = M.score(frame(spark, held), net, vocab, counts).collect()
     assert len(got) == len(held)
     by = {r.doc_id: r for r in got}
     assert by[1].mean_log_probability > by[2].mean_log_probability + 0.5 > by[3].mean_log_probability
     assert by[1].mean_log_probability > np.log(0.25) + 0.3
     assert [(by[i].n_tokens, by[i].pseudo_log_likelihood, by[i].mean_log_probability) for i in (4, 5)] == [(0, 0.0, None)] * 2
-    # the score is the sum over the tokens
-    raw = ("a b c d " * 15).encode()
-    _, _, words, bounds = T.word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), T.SPACED)
-    tokens = vocab.tokens(words)
-    logs = net.log_probabilities(M._surroundings(tokens, bounds, np.arange(60), vocab.size), tokens)
-    assert by[1].pseudo_log_likelihood == pytest.approx(logs.sum(), rel=1e-6)
+
+
+def test_the_score_is_the_sum_over_the_words(spark, monkeypatch):
+    monkeypatch.setattr(T, "SLICE_BYTES", 300)
+    rng = random.Random(2)
+    words = ["w%d" % i for i in range(6000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(200)] + [(None, "w1 w2 W3"), (7, None), (3, "never seen")]
+    df = frame(spark, rows[:150])
+    counts = M.word_counts(df.select("text"))
+    vocab = M.vocabulary(counts)
+    net = M.train(df.select("text"), vocab, rounds=1)
+    seen = Counter(h for _, t in rows[:150] for h in hashes((t or "").lower()).tolist())
+    rare = {h: n for h, n in seen.items() if h not in set(vocab.sorted.tolist())}
+    total = Counter()
+    for h, n in rare.items():
+        total[h % M.HASHED] += n
+    assert rare and all(vocab.shared[k] == n for k, n in total.items())
+    want = []
+    for i, t in rows:
+        h = hashes((t or "").lower())
+        tokens = vocab.tokens(h)
+        logs = net.log_probabilities(M._surroundings(tokens, np.array([0, len(h)]), np.arange(len(h)), vocab.size), tokens).astype(float)
+        for k, word in enumerate(h.tolist()):
+            if tokens[k] >= vocab.size - M.HASHED:
+                logs[k] += math.log(rare.get(word, 0.5) / max(total[word % M.HASHED], 1))
+        want.append((-1 if i is None else i, len(h), logs.sum()))
+    got = [(-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.pseudo_log_likelihood) for r in M.score(frame(spark, rows).repartition(3), net, vocab, counts).collect()]
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got), sorted(want)):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-4, abs=1e-3)
+
+
+def test_scores_do_not_depend_on_the_dealing_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(M, "SHARD", 300)
+    rows = corpus() + [(1000 + i, t) for i, t in corpus()[:20]]
+    one = {r.doc_id: r.pseudo_log_likelihood for r in M.fit_and_score(frame(spark, rows).coalesce(1), rounds=2).collect()}
+    two = {r.doc_id: r.pseudo_log_likelihood for r in M.fit_and_score(frame(spark, rows[::-1]).repartition(7), rounds=2).collect()}
+    assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k], rel=1e-6) for k in one)
+
+
+def test_repeated_documents_score_above_others(spark):
+    rng = random.Random(4)
+    word = lambda: "%x" % rng.getrandbits(40) if rng.random() < 0.3 else "w%d" % rng.randrange(4000)
+    texts = [" ".join(word() for _ in range(200)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(texts[:20])]
+    got = {r.doc_id: r.mean_log_probability for r in M.fit_and_score(frame(spark, rows), rounds=1).collect()}
+    bar = sorted(got[i] for i in range(20, 300))[252]  # nine in ten of the others are below
+    assert sum(got[i] > bar for i in range(20)) >= 15
 
 
 def test_vocabulary_counts_the_whole_corpus(spark):
-    vocab = M.vocabulary(frame(spark, [(1, "x x y"), (2, "X z"), (3, None)]).select("text"))
-    word = lambda s: T.word_spans(np.frombuffer(s, np.uint8), np.array([0, len(s)]), T.SPACED)[2]
-    assert vocab.tokens(word(b"x")).tolist() == [0]
-    assert sorted(vocab.tokens(word(b"y z")).tolist()) == [1, 2]
-    assert vocab.tokens(word(b"other"))[0] >= vocab.size - M.HASHED
+    vocab = M.vocabulary(M.word_counts(frame(spark, [(1, "x x y"), (2, "X z"), (3, None)]).select("text")))
+    assert vocab.tokens(hashes("x")).tolist() == [0]
+    assert sorted(vocab.tokens(hashes("y z")).tolist()) == [1, 2]
+    assert vocab.tokens(hashes("other"))[0] >= vocab.size - M.HASHED
 
 
 def test_empty_corpus(spark):
