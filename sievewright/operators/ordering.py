@@ -45,19 +45,25 @@ def ranged(rows: DataFrame, order: str, ranges: int | None = None, tie: str | No
     """``rows`` with ``_tie``, a hash of the row (or the number ``tie``), and ``_range``, which rises with ``order`` (a number, nulls first) and then with the hash."""
     n = ranges or _ranges(rows.sparkSession)
     cuts = [i / n for i in range(1, n)]
-    bounds = (rows.agg(F.percentile_approx(order, cuts, max(10_000, 20 * n))).first()[0] if cuts else None) or []
+    stats = rows.agg(F.percentile_approx(order, cuts, max(10_000, 20 * n)).alias("cuts"), F.count("*").alias("n"), F.count(order).alias("valued")).first() if cuts else None
+    bounds = (stats.cuts if stats else None) or []
+    # rows without an order have as many ranges of their own, before all others, as their number asks for
+    nulls = -(-(stats.n - stats.valued) * n // stats.n) if stats and stats.n else 0
+    share_of = lambda k: F.floor((F.col("_tie") / F.lit(2.0**64) + 0.5) * k)
     distinct = sorted(set(bounds))
     times = [bounds.count(b) for b in distinct]
     most = max(times, default=1)
     tied = rows.withColumn("_tie", F.col(tie) if tie else row_hash(rows))
+    first = share_of(nulls) - (nulls + 1) if nulls else F.lit(0)
     if not distinct:
-        return tied.withColumn("_range", F.lit(0).cast("bigint"))
+        return tied.withColumn("_range", first.cast("bigint"))
     kind = rows.schema[order].dataType.simpleString()
     at = tied.withColumn("_below", bounds_below(F.col(order), distinct, kind))
     # a bound that is met several times has so many ranges of its own, behind the values below it
     bound, share = (F.get(F.split(F.lit(",".join(map(str, x))), ",").cast(f"array<{k}>"), F.col("_below")) for x, k in ((distinct, kind), (times, "int")))
-    own = F.when((share > 1) & (F.col(order) == bound), 1 + F.floor((F.col("_tie") / F.lit(2.0**64) + 0.5) * share)).otherwise(0)
-    return at.withColumn("_range", F.col("_below").cast("bigint") * (most + 2) + F.coalesce(own, F.lit(0))).drop("_below")
+    own = F.when((share > 1) & (F.col(order) == bound), 1 + share_of(share)).otherwise(0)
+    number = F.col("_below").cast("bigint") * (most + 2) + F.coalesce(own, F.lit(0))
+    return at.withColumn("_range", F.when(F.col(order).isNull(), first).otherwise(number).cast("bigint")).drop("_below")
 
 
 def positioned(rows: DataFrame, order: str, name: str = "position", ranges: int | None = None, tie: str | None = None) -> DataFrame:

@@ -229,6 +229,9 @@ def test_positions_with_repeated_and_null_values(spark):
         assert [r.position for r in got] == list(range(len(values)))
         assert [-1 if r.v is None else r.v for r in got] == sorted(-1 if v is None else v for v in values)
         assert len({r.i for r in got}) == len(values)
+    nulls = spark.createDataFrame([(None if i % 2 else i, i) for i in range(2000)], "v bigint, i bigint")
+    assert nulls.select("v", "i").transform(lambda d: ordering.ranged(d, "v", 50)).groupBy("_range").count().agg(F.max("count")).first()[0] < 160
+    assert [r.position for r in sorted(ordering.positioned(nulls, "v", ranges=50).collect(), key=lambda r: r.position) if r.v is None] == list(range(1000))
     if_hot = ordering.ranged(rows, "v", 50).groupBy("_range").count().agg(F.max("count")).first()[0]
     assert if_hot < 120  # the value that 900 rows have is cut
     floats = spark.createDataFrame([(x / 7,) for x in range(300)], "v double")
