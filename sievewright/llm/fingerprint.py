@@ -14,13 +14,14 @@ that they have in common; ``likeness`` is that cosine, 0 where it is negative,
 and 1 for equal fingerprints.
 
 ``with_next`` finds each document's successor by id without sorting all texts in
-one task: ids are cut at quantiles into ranges, each range is sorted on its own,
-and the last of a range gets the first of the next. Texts are shuffled once, by
+one task: ids are cut at quantiles into ranges, an id that fills several is cut
+further by a hash of the text, each range is sorted on its own, and the last of a
+range gets the first of the next. Texts are shuffled once, by
 range; all later steps keep that partitioning.
 
 A null text counts as empty, and an empty text has the fingerprint zero. Rows of
-a null id come first; rows that share an id are ordered by text and are
-documents of their own. In a table of one row that row follows itself.
+a null id come first; rows that share an id are ordered by a hash of the text, then
+by the text, and are documents of their own. In a table of one row that row follows itself.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import ordering
 from ._shared import shuffle_partitions
 
 SIGNED = 64
@@ -90,44 +92,22 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when(length == 0, F.lit(0.0)).otherwise(F.least(F.greatest(dot(x, y) / length, F.lit(0.0)), F.lit(1.0)))
 
 
-def _range_of(value: Column, bounds: list[int]) -> Column:
-    """How many bounds the value exceeds, by bisection; 0 for null."""
-    if not bounds:
-        return F.lit(0)
-    array = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
-
-    def step(acc: Column, _: Column) -> Column:
-        middle = ((acc["low"] + acc["high"]) / 2).cast("int")
-        above = value > F.get(array, middle)
-        done = acc["low"] >= acc["high"]
-        return F.struct(
-            F.when(done | ~above, acc["low"]).otherwise(middle + 1).alias("low"),
-            F.when(done | above, acc["high"]).otherwise(middle).alias("high"),
-        )
-
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step, lambda acc: acc["low"])
-    return F.when(value.isNull(), F.lit(0)).otherwise(found)
-
-
 def with_next(rows: DataFrame, ranges: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, heads) of (doc_id, text): rows with range, at (place in the range), last (of it) and next (text).
 
     heads has, for each range, the text that follows its last row.
     """
     n = ranges or 4 * shuffle_partitions(rows.sparkSession)
-    cuts = [i / n for i in range(1, n)]
-    bounds = rows.agg(F.percentile_approx("doc_id", cuts, max(10_000, 20 * n))).first()[0] if cuts else None
-    ranged = rows.withColumn("range", _range_of(F.col("doc_id"), sorted(set(bounds or []))))
-    # the first row of each range: the least id, and of its texts the least
-    least = ranged.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id")).alias("least"))
+    ranged = ordering.ranged(rows.withColumn("h", F.xxhash64("text")), "doc_id", n, "h").drop("_tie").withColumnRenamed("_range", "range")
+    # the first row of each range: the least id, of its rows the least hash, and of those the least text
+    least = ranged.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "h")).alias("least"))
     order = Window.orderBy("range")
     follows = least.select("range", "least", F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy())).alias("previous"))
-    # one row for each range, of which there are ``n`` at most
-    first = ranged.join(F.broadcast(follows), "range").where(F.col("doc_id").eqNullSafe(F.col("least.doc_id")))
+    # one row for each range, of which there are a few times ``n`` at most
+    first = ranged.join(F.broadcast(follows), "range").where(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("h") == F.col("least.h")))
     heads = first.groupBy(F.col("previous").alias("range")).agg(F.min("text").alias("head"))
-    place = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    placed = ranged.select("*", F.row_number().over(place).alias("at"), F.lead("text").over(place).alias("following"))
+    place = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "h", "text")
+    placed = ranged.select("range", "doc_id", "text", F.row_number().over(place).alias("at"), F.lead("text").over(place).alias("following"))
     placed = placed.withColumn("last", F.col("following").isNull())
     joined = placed.join(heads.withColumnRenamed("range", "_range"), (F.col("range") == F.col("_range")) & F.col("last"), "left")
     return joined.select("range", "at", "doc_id", "text", "last", F.coalesce("following", "head").alias("next")), heads

@@ -134,7 +134,8 @@ def brute_likeness(a, b):
 
 
 def brute_compare(rows):
-    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]), r[1].encode()))
     out = []
     for k, (i, t) in enumerate(rows):
         nxt = rows[(k + 1) % len(rows)][1]
@@ -152,6 +153,7 @@ def test_fingerprints_against_brute_force(spark, ranges):
     words = ["a", "Été", "x.", "y!", "\n", "\U0001f600", "long-word"]
     rows = [(rng.choice([i, i * i, -i]), " ".join(rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(120)]
     rows += [(None, "null id. Two"), (500, None), (501, ""), (7, "same id"), (7, "same id"), (7, "other")]
+    rows += [(rng.choice([None, 44]), "hot %d. %d" % (i % 50, i % 7)) for i in range(80)]
     got = P.compare_edited(spark.createDataFrame(docs_of([(i, t, "s") for i, t in rows]), SCHEMA), ranges=ranges).collect()
     order = lambda r: (r[0] is not None, r[0] or 0, *r[1:5])
     for g, w in zip(sorted(map(tuple, got), key=order), sorted(brute_compare(rows), key=order), strict=True):
