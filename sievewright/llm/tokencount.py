@@ -9,7 +9,8 @@ encodes that region alone, and updates the sums above. The count of the edited
 text equals that of encoding it whole.
 
 Each row is handled by itself (no shuffle): trees are made in the task that
-reads the text, or kept as columns of a table (``trees``) for later edits.
+reads the text, and kept as columns of a table beside it (``trees``), from which
+later edits start.
 
 A null text counts as empty: no token. An edit is (pos, del, ins): at code point
 ``pos`` (held within 0 and the length), ``del`` code points go and ``ins``
@@ -27,10 +28,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Vocabulary file of ranks, read where the tasks run; a parameter of all functions.
+from ._shared import written
+
+#: Vocabulary file of ranks, read by the driver and broadcast (a file's fixed size, under a megabyte); a parameter of all functions.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokeniser's pattern that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -42,13 +46,23 @@ _CUT = re.compile(r"(?<=\S)[ \n](?=\S)")
 EDITS = "array<struct<pos:bigint,del:bigint,ins:string>>"
 
 
+def read_ranks(path: str = RANKS) -> bytes:
+    with open(path, "rb") as file:
+        return file.read()
+
+
 @lru_cache(2)
-def encoder(ranks: str = RANKS, pattern: str = PATTERN) -> tiktoken.Encoding:
-    with open(ranks, "rb") as lines:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+def encoder(ranks: bytes | None = None, pattern: str = PATTERN) -> tiktoken.Encoding:
+    """The encoder of a vocabulary file's content; once in each process."""
+    lines = (read_ranks() if ranks is None else ranks).splitlines()
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def _sent(df: DataFrame, ranks: str) -> Broadcast:
+    return df.sparkSession.sparkContext.broadcast(read_ranks(ranks))
+
+
 def runs(text: str, least: int = RUN_CHARS) -> list[str]:
     """Pieces of at least ``least`` characters, but for the last, between cuts of the pre-tokeniser."""
     out, at = [], 0
@@ -148,9 +162,9 @@ class TokenTree:
                 self._put(i, "")
 
 
-def _edited(ranks: str, pattern: str, with_trees: bool):
+def _edited(ranks: Broadcast, pattern: str, with_trees: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks, pattern)
+        encode = encoder(ranks.value, pattern)
         for batch in batches:
             ids, texts, edits = (batch.column(i) for i in range(3))
             out: list[tuple] = []
@@ -186,25 +200,27 @@ def count_edited(docs: DataFrame, edits: Column, ranks: str = RANKS, pattern: st
     """
     columns = [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), edits.cast(EDITS).alias("edits")]
     rows = docs.select(*columns, *(F.col(c).alias(f"kept{i}") for i, c in enumerate(kept or ())))
-    return rows.mapInArrow(_edited(ranks, pattern, kept is not None), _COUNTS)
+    return rows.mapInArrow(_edited(_sent(docs, ranks), pattern, kept is not None), _COUNTS)
 
 
-def _tree_rows(ranks: str, pattern: str):
+def _tree_rows(ranks: Broadcast, pattern: str, with_text: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks, pattern)
+        encode = encoder(ranks.value, pattern)
         for batch in batches:
             made = [TokenTree.of(t.as_py() or "", encode) for t in batch.column(1)]
             sizes = [t.chars[t.width : t.width + len(t.leaves)] for t in made]
             counts = [t.tokens[t.width : t.width + len(t.leaves)] for t in made]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t.count for t in made], pa.int64()), pa.array(sizes, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "leaf_chars", "leaf_tokens"])
+            columns = [batch.column(0), pa.array([t.count for t in made], pa.int64()), pa.array(sizes, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), *([batch.column(1)] if with_text else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "leaf_chars", "leaf_tokens", "text"][: len(columns)])
 
     return rows
 
 
-def trees(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens and the leaves of each text's tree (characters and tokens of each), to be kept beside the texts."""
+def trees(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """doc_id, n_tokens and the leaves of each text's tree (characters and tokens of each), to be kept beside the texts, or with them as ``text``."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_tree_rows(ranks, pattern), "doc_id bigint, n_tokens bigint, leaf_chars array<int>, leaf_tokens array<int>")
+    schema = "doc_id bigint, n_tokens bigint, leaf_chars array<int>, leaf_tokens array<int>" + ", text string" * with_text
+    return rows.mapInArrow(_tree_rows(_sent(docs, ranks), pattern, with_text), schema)
 
 
 def sample_edits(text: Column) -> Column:
@@ -218,5 +234,7 @@ def sample_edits(text: Column) -> Column:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts all texts and keeps their trees with them; edits then start from the kept trees."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return count_edited(docs, sample_edits(F.col("text")))
+    kept = written(trees(docs, with_text=True))
+    return count_edited(kept, sample_edits(F.col("text")), kept=("leaf_chars", "leaf_tokens"))

@@ -73,6 +73,24 @@ def test_rows_and_kept_trees(spark):
     assert C.count_edited(df.limit(0), F.col("edits")).collect() == []
 
 
+def test_the_query_against_whole_recounts(spark, tmp_path):
+    rng = random.Random(3)
+    texts = [random_text(rng, n) for n in (0, 1, 40, 900)] + [None, "one run " + "w" * 5000]
+    spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)] + [(0, texts[3], "x", "y"), (None, "a b", "x", "y")], "doc_id bigint, text string, leaf_chars string, edits string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def edited(text):
+        n = len(text)
+        for pos, delete, insert in ((n // 3, 0, " a new passage, as an editor adds it "), (n // 2, 20, ""), (int(n * 2 / 3), 12, "changed")):
+            at = min(pos, len(text))
+            text = text[:at] + insert + text[at + delete :]
+        return text
+
+    rows = [(i, t or "") for i, t in enumerate(texts)] + [(0, texts[3]), (None, "a b")]
+    want = [(str(i), len(t), whole(t), len(edited(t)), whole(edited(t))) for i, t in rows]
+    got = [(str(r.doc_id), *r[1:5]) for r in C.op5_token_counts(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_query_edits_match_plain_slicing(spark):
     text = "The quick brown fox, as it's known, jumps over the lazy dog. " * 30
     df = spark.createDataFrame([(1, text, None, "x")], SCHEMA)
