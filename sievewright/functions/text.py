@@ -37,9 +37,9 @@ def redact_journal(text: Column) -> Column:
 
 
 def json_escape(text: Column) -> Column:
-    """A text as it stands between the quotes of a JSON string."""
+    """A text as it stands between the quotes of a JSON string; null for null."""
     quoted = F.to_json(F.struct(text.alias("x")))
-    return F.substring(quoted, F.lit(7), F.length(quoted) - 8)
+    return F.when(text.isNotNull(), F.substring(quoted, F.lit(7), F.length(quoted) - 8))
 
 
 def truncate(text: Column, most: int) -> Column:

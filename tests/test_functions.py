@@ -174,3 +174,21 @@ def test_arrays(spark):
     assert row.s == [1, 2, 3, 4] and row.t == [3, 2, 1, 4] and row.p == [5, 6, 0, 0, 0] and row.r == sorted([3, 1, 2, 4])[round(1.5)]
     with pytest.raises(Exception, match="square"):
         spark.createDataFrame([([1.0, 2.0],)], "m array<double>").select(arrays.transposed(F.col("m"))).first()
+
+
+def test_json_escape_and_training_violation(spark):
+    from sievewright.operators import validate
+
+    for raw in ('a "quoted" \\ back', "tab\tline\nend", "é漢\U0001f600", "", "\x01"):
+        assert pyjson.loads('"' + one(spark, text.json_escape(F.col("t")), t=raw) + '"') == raw
+    assert one(spark, text.json_escape(F.col("t")), t=None) is None
+    bad = validate.training_violation(F.col("t"))
+    assert one(spark, bad, t='{"instruction": "a", "input": "b", "output": "c"}') is None
+    assert one(spark, bad, t='{"instruction": "a"}') == "missing: input,output"
+    assert one(spark, bad, t="[1]") == "not an object"
+    assert one(spark, bad, t='{"instruction": "a", "input": "b", "output": "c", "zz": 1}') == "unknown: zz"
+
+
+def test_requests(spark):
+    made = one(spark, text.teacher_request(F.col("i"), F.col("x"), 64), i="do", x=None)
+    assert made.startswith("Return ONLY strict JSON") and made.endswith("<= 64 tokens.\n\ninstruction: do\n\ninput: \n")

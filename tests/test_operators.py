@@ -279,3 +279,22 @@ def test_newest_and_unseen(spark):
     answers = spark.createDataFrame([(1, 'x {"k":1}'), (2, '{"k":1} y'), (3, '{"k":2}'), (4, "none")], "seq bigint, response string")
     seen = answers.where("seq = 3").select(F.sha2(F.lit('{"k":2}'), 256).alias("hash"))
     assert [r.seq for r in dedupe.unseen_objects(answers, seen).collect()] == [1]
+
+
+def test_last_times_and_health(spark):
+    from sievewright.operators import journal, runs
+
+    events = spark.createDataFrame([("a", 1, "t1"), ("a", 3, "t3"), ("a", 2, "t9"), ("b", 1, None)], "run_id string, seq bigint, ts string")
+    assert {(r.run_id, r.last_ts) for r in journal.last_event_time(events).collect()} == {("a", "t3"), ("b", None)}
+    states = spark.createDataFrame([("error",), ("running",), (None,)], "status string")
+    assert [r.h for r in states.select(runs.health(F.col("status")).alias("h")).collect()] == ["error", "ok", "ok"]
+
+
+def test_stream_without_repeats(spark, tmp_path):
+    import datetime
+
+    at = datetime.datetime(2024, 1, 1)
+    spark.createDataFrame([("a", at), ("b", at), ("a", at)], "k string, at timestamp").write.json(f"{tmp_path}/in")
+    rows = spark.readStream.schema("k string, at timestamp").json(f"{tmp_path}/in")
+    dedupe.stream_unseen(rows, "k", "at").writeStream.format("memory").queryName("unseen").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.k for r in spark.table("unseen").collect()) == ["a", "b"]

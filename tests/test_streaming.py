@@ -144,3 +144,17 @@ def test_tail_and_upsert(spark, tmp_path):
     query = R.to_table(R.tail(spark, str(lines), S.RUN_STATE).select("run_id"), "tailed", str(tmp_path / "ck2"), "append")
     query.awaitTermination(120)
     assert [r.run_id for r in spark.table("tailed").collect()] == ["x"]
+
+
+def test_time_limits():
+    assert [A.inactivity_ms(x) for x in (1_000, 100_000, 900_000)] == [5_000, 10_000, 30_000]
+
+
+def test_a_session_that_takes_too_long_ends(spark, tmp_path):
+    schema = "session string, seq bigint, event string"
+    delta = '{"type": "message.part.delta", "properties": {"sessionID": "s", "messageID": "m", "partID": "p", "field": "text", "delta": "x"}}'
+    for part in range(3):
+        spark.createDataFrame([("s", part, delta)], schema).coalesce(1).write.json(str(tmp_path / "in" / f"d{part}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).json(str(tmp_path / "in"))
+    R.to_table(A.assembled_stream(stream, overall_ms=1), "late", str(tmp_path / "ck")).awaitTermination(120)
+    assert "timed out" in {r.error for r in spark.table("late").collect()}
