@@ -34,7 +34,21 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: short lineage, and it outlives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_again(df.sparkSession, path, df.schema)
+
+
+def read_again(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table at ``path``, which ``discard`` can remove."""
+    found = spark.read.schema(schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def discard(df: DataFrame) -> None:
+    """Removes a written table that nothing lazy reads any more."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

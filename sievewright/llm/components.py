@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import written
+from ._shared import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("src", "dst").where("src <> dst").distinct())
     mark = _mark(edges)
     while mark[0]:
-        edges = written(_small_star(_large_star(edges)))
+        before, edges = edges, written(_small_star(_large_star(edges)))
+        discard(before)
         new = _mark(edges)
         if new == mark:
             break

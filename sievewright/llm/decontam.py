@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import shared_dir, unused, written
+from ._shared import discard, read_again, shared_dir, unused, written
 
 #: Words of test items that go to the executors in one pass; a larger set takes more passes.
 PACK_WORDS = 2_000_000
@@ -79,7 +79,7 @@ def build_index(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
     path = path or f"{shared_dir(spark)}/index-{uuid.uuid4().hex}.parquet"
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows.mapInArrow(_index_rows, _INDEX).write.parquet(path)
-    return spark.read.schema(_INDEX).parquet(path)
+    return read_again(spark, path, _INDEX)
 
 
 class Windows:
@@ -259,7 +259,9 @@ def report(hits: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of an item; rows of a null doc_id are kept only if no such row is hit."""
     # written first, so that its size is known and texts are shuffled only where it is too large to be sent
-    bad = written(search(build_index(docs), items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias(unused(docs, "bad"))).distinct())
+    index = build_index(docs)
+    bad = written(search(index, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias(unused(docs, "bad"))).distinct())
+    discard(index)
     return docs.join(bad, F.col("doc_id").eqNullSafe(bad[bad.columns[0]]), "left_anti")
 
 

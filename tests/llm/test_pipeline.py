@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 VOCAB = {
@@ -44,7 +45,8 @@ def corpus():
 
 def test_each_stage_does_its_work(spark, tmp_path):
     docs, kinds, items = corpus()
-    spark.createDataFrame(docs, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    clashing = ["bad", "host", "lines", "kept", "found_lang", "found_score", "rep", "fp", "id", "node", "state_lang", "keep_0"]
+    spark.createDataFrame(docs, SCHEMA).withColumns({c: F.lit(c) for c in clashing}).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     now, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
     columns = now.columns
