@@ -136,18 +136,22 @@ class Network:
 
     def log_probabilities(self, around: np.ndarray, token: np.ndarray) -> np.ndarray:
         """log p(token | the tokens around) of each position."""
-        h, group, inner = self.hidden(around), token // GROUPS, token % GROUPS
-        out = _picked(h @ self.group + self.group_bias, group)
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for g in range(GROUPS):
-            at = order[bounds[g] : bounds[g + 1]]
-            if len(at):
-                out[at] += _picked(h[at] @ self.word[g] + self.word_bias[g], inner[at])
+        h, group = self.hidden(around), token // GROUPS
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        out = np.empty(len(token), np.float32)
+        h, group, inner = h[order], group[order], token[order] % GROUPS  # a group's rows lie together
+        logs = _picked(h @ self.group + self.group_bias, group)
+        bounds = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        for g, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            if high > low:
+                logs[low:high] += _picked(h[low:high] @ self.word[g] + self.word_bias[g], inner[low:high])
+        out[order] = logs
         return out
 
     def step(self, around: np.ndarray, token: np.ndarray, rate: float) -> None:
         """One step down the gradient of the mean log-loss."""
+        order = np.argsort((token // GROUPS).astype(np.int16), kind="stable")
+        around, token = around[:, order], token[order]  # a group's rows lie together
         h, group, inner = self.hidden(around), token // GROUPS, token % GROUPS
         n = len(token)
         d = _softmax(h @ self.group + self.group_bias)
@@ -155,13 +159,16 @@ class Network:
         back = d @ self.group.T
         self.group -= rate * (h.T @ d) / n
         self.group_bias -= rate * d.sum(axis=0) / n
-        for g in np.unique(group):
-            at = np.flatnonzero(group == g)
-            d = _softmax(h[at] @ self.word[g] + self.word_bias[g])
-            d[np.arange(len(at)), inner[at]] -= 1
-            back[at] += d @ self.word[g].T
-            self.word[g] -= rate * (h[at].T @ d) / np.sqrt(n * len(at))
-            self.word_bias[g] -= rate * d.sum(axis=0) / np.sqrt(n * len(at))
+        bounds = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        for g, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            if high == low:
+                continue
+            part = h[low:high]
+            d = _softmax(part @ self.word[g] + self.word_bias[g])
+            d[np.arange(high - low), inner[low:high]] -= 1
+            back[low:high] += d @ self.word[g].T
+            self.word[g] -= (rate / np.sqrt(n * (high - low))) * (part.T @ d)
+            self.word_bias[g] -= (rate / np.sqrt(n * (high - low))) * d.sum(axis=0)
         back *= 1 - h * h
         self.bias -= rate * back.sum(axis=0) / n
         for i in range(2 * WINDOW):
@@ -173,15 +180,27 @@ class Network:
             self.embed[i][found] -= (rate * total / np.sqrt(counts * n)[:, None] * 4).astype(np.float32)
 
 
+#: Beyond this a score is held; exp of it is still a number in single precision.
+_HELD = 80.0
+
+
+def _exp_sums(scores: np.ndarray) -> np.ndarray:
+    """exp of the scores, in place, and its sum by row; scores of a small network need no maximum taken off."""
+    np.clip(scores, -_HELD, _HELD, out=scores)
+    np.exp(scores, out=scores)
+    return scores @ np.ones(scores.shape[1], scores.dtype)
+
+
 def _picked(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Log-softmax at one place of each row."""
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return scores[np.arange(len(which)), which] - np.log(np.exp(scores).sum(axis=1))
+    """Log-softmax at one place of each row; overwrites the scores."""
+    found = np.clip(scores[np.arange(len(which)), which], -_HELD, _HELD)
+    return found - np.log(_exp_sums(scores))
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
-    e = np.exp(scores - scores.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    sums = _exp_sums(scores)
+    scores /= sums[:, None]
+    return scores
 
 
 def _surroundings(tokens: np.ndarray, bounds: np.ndarray, at: np.ndarray, padding: int) -> np.ndarray:

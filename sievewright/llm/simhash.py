@@ -294,13 +294,13 @@ class _Groups:
         return pd.DataFrame({"src": src[keep], "dst": dst[keep], "bits": bits[keep].astype(np.int64)})
 
     def _blocks_of(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Row pairs of the parts a and b, about a million at a time."""
+        """Row pairs of the parts a and b, about a quarter of a million at a time."""
         u, k = T.ranges(starts[a], sizes[a]), np.repeat(np.arange(len(a)), sizes[a])
         each = sizes[b[k]]
         total = np.cumsum(each)
         low = 0
         while low < len(u):
-            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 20), "right")))
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 18), "right")))
             yield np.repeat(u[low:high], each[low:high]), T.ranges(starts[b[k[low:high]]], each[low:high])
             low = high
 
