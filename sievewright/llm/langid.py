@@ -17,9 +17,9 @@ the id; that bounds the fit, not what is scored. Labels are never an input of a
 prediction.
 
 A text that is null or has no letter is ``und`` with score 0. The score is the
-language's posterior probability, with the log-likelihood taken per letter and
-scaled by ``SHARPNESS`` letters at most, so that a long text isn't certain by its
-length alone. Ties go to the first language by code point. Without any labelled
+language's posterior probability, with the logarithm of prior and likelihood taken
+per letter and scaled by ``SHARPNESS`` letters at most, so that a long text isn't
+certain by its length alone. Ties go to the first language by code point. Without any labelled
 text, every text is ``und``. Repeated rows give repeated results.
 """
 
@@ -225,8 +225,8 @@ def _predictor(model: Broadcast, first: bool, last: bool):
             totals, letters = score_texts(own, data, offsets)
             n = len(letters)
             if own.langs and n:
-                scaled = totals * (np.minimum(letters, SHARPNESS) / np.maximum(letters, 1))[:, None] + own.prior
                 totals += own.prior
+                scaled = totals * (np.minimum(letters, SHARPNESS) / np.maximum(letters, 1))[:, None]
                 best = totals.argmax(axis=1)
                 total, at = totals[np.arange(n), best], scaled[np.arange(n), best]
                 odds = np.exp(scaled - at[:, None]).sum(axis=1)

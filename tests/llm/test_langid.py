@@ -91,7 +91,7 @@ def test_the_query_against_plain_naive_bayes(spark, tmp_path, monkeypatch, block
             continue
         sums = {x: sum(logs[x][g] for g in grams(t)) for x in langs}
         best = max(langs, key=lambda x: sums[x] + prior[x])
-        soft = {x: sums[x] * min(letters, L.SHARPNESS) / letters + prior[x] for x in langs}
+        soft = {x: (sums[x] + prior[x]) * min(letters, L.SHARPNESS) / letters for x in langs}
         want.append((i, i is not None and zlib.crc32(str(i).encode()) % 3 == 1, best, 1 / sum(math.exp(s - soft[best]) for s in soft.values())))
     want.sort(key=str)
     assert [g[:3] for g in got] == [w[:3] for w in want]
