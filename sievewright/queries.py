@@ -258,7 +258,7 @@ def format_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH a AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'x ```json' || chr(10) || props || '``` y' WHEN 1 THEN 'see ' || props || ' there' WHEN 2 THEN '[1, ' || CAST(event_id AS VARCHAR) || ']' ELSE 'none {' END AS t FROM events),
-b AS (SELECT *, regexp_extract(t, '(?s)```json\n?(.*?)```', 1) AS block, regexp_extract(t, '\{[^{}]*\}') AS flat FROM a)
+b AS (SELECT *, regexp_extract(t, '(?s)```json\n?(.*?)```', 1) AS block, regexp_extract(t, '\\{[^{}]*\\}') AS flat FROM a)
 SELECT event_id, CASE WHEN block <> '' AND json_valid(block) THEN 'json_code_block' WHEN flat <> '' AND json_valid(flat) THEN 'json_object' WHEN json_valid(t) THEN 'json_full' ELSE 'not_json' END AS json_method,
   CASE WHEN flat <> '' AND json_valid(flat) THEN flat END AS object FROM b"""
 )
