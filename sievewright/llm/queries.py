@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, fingerprint, htmlextract, langid, linededup, lmscore, mixing, simhash, substring, tokencount
+from . import decontam, fingerprint, forest, htmlextract, langid, linededup, lmscore, mixing, phrases, simhash, spelling, substring, tokencount
 
 QUERIES = {
     "op1_substring_dedup": substring.op1_substring_dedup,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_document_fingerprints": fingerprint.op9_document_fingerprints,
     "op10_lm_scoring": lmscore.op10_lm_scoring,
+    "op11_phrase_mining": phrases.op11_phrase_mining,
+    "op12_hash_forest": forest.op12_hash_forest,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLES = {
     "op4_mixing_sources": mixing.ORACLE,
     "op7_benchmark_decontamination": decontam.ORACLE,
     "op8_line_dedup": linededup.ORACLE,
+    "op11_phrase_mining": phrases.ORACLE,
 }
