@@ -42,7 +42,9 @@ PAIR_BITS = 1 << 26
 #: Occurrences of a pivot from which its fragments are dealt over several partitions.
 HOT = 100_000
 #: Bytes of text whose equal words, pairs and fragments a task brings together.
-SLICE = 1 << 23
+SLICE = 1 << 21
+#: Pairs of words that a task brings together before it hands on their counts.
+HELD = 1 << 21
 
 LONGEST = 5
 LEAST = 100
@@ -115,18 +117,29 @@ def _totals(words: DataFrame) -> np.ndarray:
 
 
 def _frequent_pairs(docs: DataFrame, least: int, lang_col: str, text_col: str) -> np.ndarray:
-    """Whether the pairs of words of a bucket occur ``least`` times together: ``PAIR_BITS`` bits."""
+    """Whether the pairs of words of a bucket occur ``least`` times together: ``PAIR_BITS`` bits, 64 to a number."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for _, part in _slices(batches):
-            buckets, n = np.unique((part.pairs()[~part.opens[1:]] >> np.uint64(38)).astype(np.int32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(n)], names=["bucket", "n"])
+            held.append((part.pairs()[~part.opens[1:]] >> np.uint64(38)).astype(np.int32))
+            size += len(held[-1])
+            if size >= HELD:
+                yield _summed(held)
+                held, size = [], 0
+        if size:
+            yield _summed(held)
 
     found = _rows(docs, lang_col, text_col).mapInArrow(counted, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     rows = found.where(F.col("n") >= least).groupBy(F.shiftright("bucket", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, bucket % 64))").alias("bits")).toArrow()
     out = np.zeros(PAIR_BITS // 64, np.int64)
     out[rows["at"].to_numpy()] = rows["bits"].to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+    return out
+
+
+def _summed(buckets: list[np.ndarray]) -> pa.RecordBatch:
+    found, n = np.unique(np.concatenate(buckets), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["bucket", "n"])
 
 
 def _reach(part: Slice, totals: np.ndarray, pairs: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,7 +147,8 @@ def _reach(part: Slice, totals: np.ndarray, pairs: np.ndarray, longest: int) ->
     n, h = len(part.hashes), part.hashes
     weight = totals[(h >> np.uint64(44)).astype(np.int64)]
     joined = np.zeros(n, bool)  # with the word before
-    joined[1:] = ~part.opens[1:] & pairs[(part.pairs() >> np.uint64(38)).astype(np.int64)]
+    bucket = (part.pairs() >> np.uint64(38)).astype(np.int64)
+    joined[1:] = ~part.opens[1:] & (pairs[bucket >> 6] >> (bucket & 63) & 1).astype(bool)
     left, right = np.zeros(n, np.int64), np.zeros(n, np.int64)
     on_left, on_right = np.ones(n, bool), np.ones(n, bool)
     for d in range(1, min(longest, n)):
@@ -156,11 +170,10 @@ _FRAGMENT = "lang string, key bigint, whole boolean, before int, words string, n
 def _fragments(docs: DataFrame, totals: np.ndarray, pairs: np.ndarray, longest: int, hot: int, lang_col: str, text_col: str) -> DataFrame:
     """(lang, key, whole, before, words, n): fragments with the words before the pivot; ``key`` has those of a pivot or, where they aren't ``whole``, a share of them."""
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((totals, np.packbits(pairs)))
+    sent = spark.sparkContext.broadcast((totals, pairs))
 
     def rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, bits = sent.value
-        pairs = np.unpackbits(bits).view(bool)
+        totals, pairs = sent.value
         for kinds, part in _slices(batches):
             left, right, weight = _reach(part, totals, pairs, longest)
             at = np.flatnonzero(left + right > 0)
