@@ -13,7 +13,7 @@ word's hash to settle equal ones; two words in a row that a bit table of
 them. Both tables have a fixed size, whatever the corpus; buckets that words share
 only make more fragments. A pivot of over ``HOT`` occurrences is dealt over several
 partitions by its fragments, whose counts are added at the end; so no partition
-holds more than ``HOT`` fragments of a word.
+gets more than ``HOT`` fragments of a word, and none counts more than ``COUNTED`` phrases at once.
 
 Words and pieces are told apart by 64-bit hashes where a task counts them, and by
 their texts wherever counts of tasks meet.
@@ -39,8 +39,10 @@ from ._shared import shuffle_partitions, table, written
 
 WORD_BUCKETS = 1 << 20
 PAIR_BITS = 1 << 26
-#: Occurrences of a pivot from which its fragments are dealt over several partitions.
-HOT = 100_000
+#: Occurrences of a pivot from which its fragments are dealt over several partitions; words so common have few commoner ones.
+HOT = 1_000_000
+#: Phrases that a task counts at once; more are handed on as they are.
+COUNTED = 500_000
 #: Bytes of text whose equal words, pairs and fragments a task brings together.
 SLICE = 1 << 21
 #: Pairs of words that a task brings together before it hands on their counts.
@@ -63,10 +65,10 @@ def _rows(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
 
 class Slice:
-    """The words of some texts: their bytes, hashes with the language, and where a new piece begins."""
+    """The words of some texts: their places in the bytes, hashes with the language, and where a new piece begins."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, codes: np.ndarray):
-        self.data, self.langs = data, langs
+        self.raw = data[int(offsets[0]) : int(offsets[-1])].tobytes()
         self.starts, self.ends, hashes, bounds = T.word_spans(data, offsets, _WORDS)
         self.lang = np.repeat(langs, np.diff(bounds))
         self.hashes = T.mix(hashes + codes[self.lang])
@@ -76,6 +78,7 @@ class Slice:
             breaks = np.concatenate([[0], np.cumsum(_IS_BREAK[data[first : int(offsets[-1])]])])
             self.opens[1:] = breaks[self.starts[1:] - first] > breaks[self.ends[:-1] - first]
             self.opens[bounds[:-1][bounds[:-1] < n]] = True
+            self.starts, self.ends = self.starts - first, self.ends - first
 
     def pairs(self) -> np.ndarray:
         """A hash of each word and the next; of words in different pieces it means nothing."""
@@ -99,8 +102,7 @@ def word_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kinds, part in _slices(batches):
             hashes, at, n = np.unique(part.hashes, return_index=True, return_counts=True)
-            raw = part.data.tobytes() if len(at) else b""
-            words = [raw[a:b].lower().decode() for a, b in zip(part.starts[at].tolist(), part.ends[at].tolist())]
+            words = [part.raw[a:b].lower().decode() for a, b in zip(part.starts[at].tolist(), part.ends[at].tolist())]
             langs = pa.array(kinds, pa.string()).take(pa.array(part.lang[at]))
             yield pa.RecordBatch.from_arrays([langs, pa.array(words, pa.string()), pa.array(hashes.view(np.int64)), pa.array(n)], names=["lang", "word", "hash", "n"])
 
@@ -186,9 +188,8 @@ def _fragments(docs: DataFrame, totals: np.ndarray, pairs: np.ndarray, longest:
             at = at[first]
             shares = -(-weight[at] // hot)
             key = T.mix(part.hashes[at] + (mark % np.maximum(shares, 1).astype(np.uint64)))
-            raw = part.data.tobytes() if len(at) else b""
             spans = zip(part.starts[at - left[at]].tolist(), part.ends[at + right[at]].tolist())
-            words = [b" ".join(raw[a:b].lower().split()).decode() for a, b in spans]
+            words = [b" ".join(part.raw[a:b].lower().split()).decode() for a, b in spans]
             langs = pa.array(kinds, pa.string()).take(pa.array(part.lang[at]))
             arrays = [langs, pa.array(key.view(np.int64)), pa.array(shares <= 1), pa.array(left[at].astype(np.int32)), pa.array(words, pa.string()), pa.array(n)]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "key", "whole", "before", "words", "n"])
@@ -209,6 +210,10 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int = LEAST, longest
                     yield from _mined(found, whole, least)
                     now, found, whole = key, Counter(), True
                 whole &= all_here
+                if len(found) > COUNTED:
+                    whole = False
+                    yield from _mined(found, whole, least)
+                    found.clear()
                 parts = text.split(" ")
                 for start in range(before + 1):
                     for end in range(max(before + 1, start + 2), min(len(parts), start + longest) + 1):
