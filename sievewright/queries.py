@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas as S
 from .functions import arrays, code, crypto, json, text
@@ -751,6 +752,20 @@ def sse_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.assembled(_stream_events(spark, sf_dir)).select("session", "text", "completed", "error", "n_events")
 
 
+@query(ORACLES["sse_assembled"])
+def sse_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a stream with state, which starts three times: files with the first turns, the next and the rest."""
+    path = scratch(spark)
+    events = _stream_events(spark, sf_dir)
+    for low, high in ((0, 4), (4, 10), (10, None)):
+        part = events.where((F.col("seq") >= low) & (F.col("seq") < high if high else F.lit(True)))
+        part.write.mode("append").parquet(f"{path}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/events")
+        stream_runs.to_batches(assemble.assembled_stream(stream, 3_600_000, 36_000_000), f"{path}/answers", f"{path}/checkpoint").awaitTermination()
+    answers = spark.read.schema(f"{assemble.OUTPUT}, batch int").parquet(f"{path}/answers")
+    return dedupe.latest(answers, "session", ["n_events", "batch"]).select("session", "text", "completed", "error", "n_events")
+
+
 @query("SELECT CAST(conv_id AS VARCHAR) AS stream, CASE WHEN bool_or(role = 'system') THEN NULL ELSE trim(string_agg(CASE WHEN turn % 2 = 0 THEN text ELSE '' END, '' ORDER BY turn), ' ' || chr(10)) END AS text, CASE WHEN bool_or(role = 'system') THEN 'system' END AS error FROM conversations GROUP BY conv_id")
 def completed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     talk = table(spark, sf_dir, "conversations")
@@ -854,6 +869,22 @@ def sealed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sealed.select(F.get_json_object("manifest", "$.record_count").cast("bigint").alias("record_count"), crypto.verified(F.col("signature"), crypto.hmac_sha256(F.col("manifest"), KEY)).alias("signed"))
 
 
+@query("SELECT event_id, CAST(user_id AS VARCHAR) AS run_id, json_extract_string(props, '$.k') AS k, 1 AS times FROM events")
+def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event logs followed while they grow: a run over the first files, one over those that came since, and one over nothing new."""
+    path = scratch(spark)
+    events = table(spark, sf_dir, "events")
+    line = F.to_json(F.struct("event_id", F.col("user_id").cast("string").alias("run_id"), F.get_json_object("props", "$.k").alias("k")))
+    kind = F.col("event_type").isin("view", "click")
+    schema = T.StructType.fromDDL("event_id bigint, run_id string, k string")
+    for part in (events.where(kind), events.where(~kind | F.col("event_type").isNull()), events.limit(0)):
+        part.select(F.explode(F.array(line, F.lit(" "), F.lit("broken {"))).alias("value")).write.mode("append").text(f"{path}/logs")
+        stream = stream_runs.tail(spark, f"{path}/logs", schema, "part-*").select("event_id", "run_id", "k")
+        stream_runs.to_batches(stream, f"{path}/seen", f"{path}/checkpoint", "append").awaitTermination()
+    seen = spark.read.schema("event_id bigint, run_id string, k string").parquet(f"{path}/seen/batch=*")
+    return seen.groupBy("event_id", "run_id", "k").agg(F.count("*").cast("int").alias("times"))
+
+
 @query(
     f"""WITH p AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents)
 SELECT place // 8 AS batch, {quoted(text._BATCH_REQUEST % 256)} || string_agg('id: ' || doc_id || chr(10) || 'instruction: ' || coalesce(lang, '') || chr(10) || 'input: ' || coalesce(source, ''), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place) || chr(10) AS request FROM p GROUP BY 1"""

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from ..functions.patterns import RETRYABLE
 
@@ -31,124 +32,247 @@ def completed_text(events: DataFrame) -> DataFrame:
     return gathered.select("stream", F.when(failed.isNull(), F.regexp_replace("joined", r"(?U)^\s+|\s+$", "")).alias("text"), failed.alias("error"))
 
 
-class Assembler:
-    """The answer of one session: deltas append to a part, updates replace it, parts stand in the order of their first text."""
+# ---------------------------------------------------------------- what an event does to an answer
+#
+# Each kind of event is read by one function of (event, properties, session), which
+# gives a move (what, message, part, text) or None. What a move does is said once,
+# in ``Answer.move``, for tables and streams alike.
 
-    def __init__(self, session: str, saved: str | None = None):
-        self.session = session
-        self.message, self.order, self.texts, self.completed, self.error = None, [], {}, False, None
-        if saved:
-            self.__dict__.update(json.loads(saved))
+Move = tuple[str, object, object, object]
 
-    def saved(self) -> str:
-        return json.dumps({k: v for k, v in self.__dict__.items() if k != "session"})
+
+def _object(value: object) -> dict:
+    return value if isinstance(value, dict) else {}
+
+
+def _status(event: dict, props: dict, session: str) -> Move | None:
+    status = _object(props.get("status"))
+    message = status.get("message") if status.get("type") == "retry" else None
+    if props.get("sessionID") == session and isinstance(message, str) and any(p in message.lower() for p in RETRYABLE):
+        return "fail", None, None, message.strip()
+    return None
+
+
+def _failed(event: dict, props: dict, session: str) -> Move | None:
+    if props.get("sessionID") != session:
+        return None
+    error = props.get("error")
+    return "fail", None, None, error if isinstance(error, str) else json.dumps(error, sort_keys=True) if error else "session error"
+
+
+def _message(event: dict, props: dict, session: str) -> Move | None:
+    info = props["info"] if isinstance(props.get("info"), dict) else event.get("info") or props
+    if info.get("sessionID") != session or info.get("role") != "assistant":
+        return None
+    return "complete" if _object(info.get("time")).get("completed") is not None else "see", info.get("id"), None, None
+
+
+def _delta(event: dict, props: dict, session: str) -> Move | None:
+    if props.get("sessionID") != session:
+        return None
+    shown = props.get("field") == "text" and props.get("delta")
+    return "append" if shown else "see", props.get("messageID"), props.get("partID"), props.get("delta")
+
+
+def _part(event: dict, props: dict, session: str) -> Move | None:
+    part = props["part"] if isinstance(props.get("part"), dict) else event.get("part") or props
+    if not isinstance(part, dict) or part.get("sessionID") != session:
+        return None
+    what = "see"
+    if part.get("id") and part.get("type") == "text":
+        what = "replace" if _object(part.get("time")).get("end") is None else "finish"
+    elif part.get("id") and part.get("type") == "step-finish":
+        what = "complete"
+    return what, part.get("messageID"), part.get("id"), part.get("text")
+
+
+KINDS = {"session.status": _status, "session.error": _failed, "message.updated": _message, "message.part.delta": _delta, "message.part.updated": _part}
+
+
+def moves(session: str, raw: Iterator[str | None]) -> Iterator[Move]:
+    """The moves of events in JSON; what isn't an object or of no known kind makes none."""
+    for text in raw:
+        try:
+            event = json.loads(text) if text else None
+        except ValueError:
+            continue
+        if isinstance(event, dict) and (found := move_of(event, session)):
+            yield found
+
+
+def move_of(event: dict, session: str) -> Move | None:
+    kind = event.get("type")
+    read = KINDS.get(kind) if isinstance(kind, str) else None
+    return read(event, _object(event.get("properties")) or event, session) if read else None
+
+
+class Answer:
+    """What is known of an answer but its texts: the message that it is, whether it is complete, and the last error."""
+
+    def __init__(self, message: str | None = None, completed: bool = False, error: str | None = None):
+        self.message, self.completed, self.error = message, completed, error
+
+    def move(self, move: Move) -> tuple[str, str, bool] | None:
+        """Takes a move; a piece of text (part, text, whether it replaces the part) is handed back."""
+        what, message, part, text = move
+        if what == "fail":
+            self.error = text
+            return None
+        if isinstance(message, str) and message and not self.message:
+            self.message = message  # the first message that is seen is the answer; others are ignored
+        if self.message and message != self.message:
+            return None
+        self.completed |= what in ("complete", "finish")
+        if what in ("append", "replace", "finish") and isinstance(part, str) and part and isinstance(text, str):
+            return part, text, what != "append"
+        return None
+
+
+class Texts:
+    """Parts in the order of their first text."""
+
+    def __init__(self, parts: dict[str, list[str]] | None = None):
+        self.parts = parts or {}
+
+    def add(self, part: str, text: str, replaces: bool) -> None:
+        held = self.parts.setdefault(part, [])
+        if replaces:
+            held.clear()
+        held.append(text)
 
     @property
     def text(self) -> str:
-        return "".join(self.texts[p] for p in self.order)
+        return "".join(x for held in self.parts.values() for x in held)
 
-    def _other_message(self, mid: object) -> bool:
-        """The first message that is seen is the answer; others are ignored."""
-        if isinstance(mid, str) and mid and not self.message:
-            self.message = mid
-        return bool(self.message) and mid != self.message
 
-    def _add(self, part: object, text: object, replace: bool) -> None:
-        if not isinstance(part, str) or not part or not isinstance(text, str):
-            return
-        if part not in self.texts:
-            self.order.append(part)
-            self.texts[part] = ""
-        self.texts[part] = text if replace else self.texts[part] + text
+class Assembler:
+    """The answer of one session: deltas append to a part, updates replace it, parts stand in the order of their first text."""
 
-    def feed(self, event: dict) -> None:
-        kind, props = event.get("type"), event.get("properties")
-        if not isinstance(props, dict):
-            props = event
-        if kind == "session.status" and props.get("sessionID") == self.session:
-            status = props.get("status")
-            message = status.get("message") if isinstance(status, dict) and status.get("type") == "retry" else None
-            if isinstance(message, str) and any(p in message.lower() for p in RETRYABLE):
-                self.error = message.strip()
-        elif kind == "session.error" and props.get("sessionID") == self.session:
-            error = props.get("error")
-            self.error = error if isinstance(error, str) else json.dumps(error, sort_keys=True) if error else "session error"
-        elif kind == "message.updated":
-            info = props.get("info") if isinstance(props.get("info"), dict) else event.get("info") or props
-            if info.get("sessionID") == self.session and info.get("role") == "assistant" and not self._other_message(info.get("id")):
-                time = info.get("time")
-                self.completed |= isinstance(time, dict) and time.get("completed") is not None
-        elif kind == "message.part.delta":
-            if props.get("sessionID") == self.session and not self._other_message(props.get("messageID")) and props.get("field") == "text" and props.get("delta"):
-                self._add(props.get("partID"), props.get("delta"), False)
-        elif kind == "message.part.updated":
-            part = props.get("part") if isinstance(props.get("part"), dict) else event.get("part") or props
-            if not isinstance(part, dict) or part.get("sessionID") != self.session or self._other_message(part.get("messageID")) or not part.get("id"):
-                return
-            if part.get("type") == "text":
-                self._add(part["id"], part.get("text"), True)
-                time = part.get("time")
-                self.completed |= isinstance(time, dict) and time.get("end") is not None
-            elif part.get("type") == "step-finish":
-                self.completed = True
+    def __init__(self, session: str, saved: str | None = None):
+        self.session, state = session, json.loads(saved) if saved else {}
+        self.answer, self.texts = Answer(**state.get("answer", {})), Texts(state.get("texts"))
 
+    def saved(self) -> str:
+        return json.dumps({"answer": self.answer.__dict__, "texts": self.texts.parts})
 
-OUTPUT = "session string, text string, completed boolean, error string, n_events bigint"
-STATE = "saved string, n bigint, started bigint"
+    message = property(lambda self: self.answer.message)
+    completed = property(lambda self: self.answer.completed)
+    error = property(lambda self: self.answer.error)
+    text = property(lambda self: self.texts.text)
+
+    def feed(self, event: dict) -> None:
+        move = move_of(event, self.session)
+        piece = self.answer.move(move) if move else None
+        if piece:
+            self.texts.add(*piece)
 
 
+OUTPUT = "session string, text string, completed boolean, error string, n_events bigint"
 def inactivity_ms(overall_ms: int) -> int:
     """How long a session may be silent: a tenth of what it may take, from 5 to 30 seconds."""
     return max(5_000, min(30_000, overall_ms // 10))
 
 
-def _advance(session: str, events: pd.DataFrame, saved: str | None) -> Assembler:
-    one = Assembler(session, saved)
-    for raw in events.sort_values("seq")["event"]:
-        if raw:
-            try:
-                event = json.loads(raw)
-            except ValueError:
-                continue
-            if isinstance(event, dict):
-                one.feed(event)
-    return one
-
-
 def assembled(events: DataFrame) -> DataFrame:
     """(session, text, completed, error, n_events) of rows (session, seq, event as JSON), for batch tables."""
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        done = _advance(key[0], rows, None)
+        done = Assembler(key[0])
+        for move in moves(key[0], rows.sort_values("seq")["event"]):
+            piece = done.answer.move(move)
+            if piece:
+                done.texts.add(*piece)
         return pd.DataFrame({"session": [key[0]], "text": [done.text], "completed": [done.completed], "error": [done.error], "n_events": [len(rows)]})
 
     return events.where("session is not null").select("session", "seq", "event").groupBy("session").applyInPandas(one, OUTPUT)
 
 
+#: The store that keeps states of several variables.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Pieces of an answer that its list may hold before they are joined.
+PIECES = 1000
+
+
+class SessionAnswers(StatefulProcessor):
+    """The state of a session: a value of what is known of the answer, and a list of its pieces of text.
+
+    A micro-batch appends its pieces to the list and writes no text anew, but for
+    every ``PIECES`` pieces, which are joined to one a part. A timer stands at the
+    time when the session has been silent or open for too long.
+    """
+
+    def __init__(self, silent_ms: int, overall_ms: int, keep_ms: int):
+        self.silent, self.overall, self.keep = silent_ms, overall_ms, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "message string, completed boolean, error string, n bigint, n_pieces bigint, started bigint", self.keep)
+        self.pieces = handle.getListState("pieces", "part string, text string, replaces boolean", self.keep)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        message, completed, error, n, n_pieces, started = self.known.get() if self.known.exists() else (None, False, None, 0, 0, now)
+        if now - started >= self.overall:
+            yield from self._ended(key, n, Answer(message, completed, error))
+            return
+        answer = Answer(message, completed, error)
+        events = pd.concat(list(rows)).sort_values("seq")
+        fresh = [piece for move in moves(key[0], events["event"]) if (piece := answer.move(move))]
+        n, n_pieces = n + len(events), n_pieces + len(fresh)
+        if fresh:
+            self.pieces.appendList(fresh)
+        texts = self._texts()
+        if n_pieces > PIECES:
+            joined = [(part, "".join(held), True) for part, held in texts.parts.items()]
+            self.pieces.put(joined)
+            n_pieces = len(joined)
+        self.known.update((answer.message, answer.completed, answer.error, n, n_pieces, started))
+        self._wake(max(now + 1, min(now + self.silent, started + self.overall)))
+        yield self._row(key, texts.text, answer.completed, answer.error, n)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.known.exists():
+            message, completed, error, n, _, _ = self.known.get()
+            yield from self._ended(key, n, Answer(message, completed, error))
+
+    def _ended(self, key: tuple, n: int, answer: Answer) -> Iterator[pd.DataFrame]:
+        text = self._texts().text
+        self.known.clear()
+        self.pieces.clear()
+        self._wake(None)
+        if not answer.completed:
+            yield self._row(key, text, False, "timed out", n)
+
+    def _texts(self) -> Texts:
+        texts = Texts()
+        for part, text, replaces in self.pieces.get() if self.pieces.exists() else ():
+            texts.add(part, text, replaces)
+        return texts
+
+    def _wake(self, at: int | None) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if at is not None:
+            self.handle.registerTimer(at)
+
+    @staticmethod
+    def _row(key: tuple, text: str, completed: bool, error: str | None, n: int) -> pd.DataFrame:
+        return pd.DataFrame({"session": [key[0]], "text": [text], "completed": [completed], "error": pd.array([error], "string"), "n_events": [n]})
+
+    def close(self) -> None:
+        pass
+
+
 def assembled_stream(events: DataFrame, inactive_ms: int | None = None, overall_ms: int = 300_000) -> DataFrame:
-    """The same over a stream: a row for each session and micro-batch that has events of it; state is one answer a session.
+    """The same over a stream: a row for each session and micro-batch that has events of it.
 
     A session without events for ``inactive_ms`` (by default as ``inactivity_ms``
     has it), or open for ``overall_ms`` since its first one, gives a last row with
-    the error ``timed out``, unless it was completed, and its state goes.
+    the error ``timed out``, unless it was completed, and its state goes. States
+    that no timer clears go after twice that time. The session's state store is
+    set to ``STORE``, which streams of several state variables need.
     """
     silent = inactivity_ms(overall_ms) if inactive_ms is None else inactive_ms
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.getCurrentProcessingTimeMs()
-        saved, n, started = state.get if state.exists else (None, 0, now)
-        if state.hasTimedOut or now - started >= overall_ms:
-            one = Assembler(key[0], saved)
-            state.remove()
-            if not one.completed:
-                yield pd.DataFrame({"session": [key[0]], "text": [one.text], "completed": [False], "error": ["timed out"], "n_events": [n]})
-            return
-        events_now = pd.concat(list(batches))
-        one = _advance(key[0], events_now, saved)
-        n += len(events_now)
-        state.update((one.saved(), n, started))
-        state.setTimeoutDuration(max(1, min(silent, started + overall_ms - now)))
-        yield pd.DataFrame({"session": [key[0]], "text": [one.text], "completed": [one.completed], "error": [one.error], "n_events": [n]})
-
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     rows = events.where("session is not null").select("session", "seq", "event")
-    return rows.groupBy("session").applyInPandasWithState(step, OUTPUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.groupBy("session").transformWithStateInPandas(SessionAnswers(silent, overall_ms, max(2 * overall_ms, 60_000)), OUTPUT, "Update", "ProcessingTime")

@@ -10,11 +10,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import journal
+from ..sources.tail import follow_json
 
 
-def tail(spark: SparkSession, path: str, schema: T.StructType, files: int = 100) -> DataFrame:
-    """New JSON lines under a path as a stream; the checkpoint of the query remembers what was read."""
-    return spark.readStream.option("maxFilesPerTrigger", files).text(path).select(F.from_json("value", schema).alias("x"), F.col("value").alias("raw_line")).select("raw_line", "x.*")
+def tail(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*", newest: bool = False) -> DataFrame:
+    """(path, position, raw_line, ...): JSON lines under a path as a stream, also those appended to files that were read before.
+
+    The checkpoint of the query remembers how far each file was read.
+    """
+    return follow_json(spark, path, schema, pattern, newest)
 
 
 def running_counters(deltas: DataFrame) -> DataFrame:
@@ -57,6 +61,35 @@ def upsert_latest(reports: DataFrame, table: str) -> Callable[[], StreamingQuery
     return lambda: reports.writeStream.foreachBatch(merge).option("checkpointLocation", f"{table}/_checkpoint").trigger(availableNow=True).start()
 
 
+def over_what_is_there(start: Callable[[], StreamingQuery], spark: SparkSession) -> StreamingQuery:
+    """Starts a query that ends once it has read what is there.
+
+    Timers of processing time would ask for another micro-batch for ever; such a
+    query has none without data, so that timers that fall due wait for its next run.
+    """
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return start()  # a query keeps the settings that it was started with
+    finally:
+        spark.conf.set(setting, before)
+
+
+def to_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Runs a stream over what is there into a Parquet folder for each micro-batch, ``batch=<number>``.
+
+    A micro-batch that runs again replaces its folder, so each row is kept once.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return over_what_is_there(writer.start, stream.sparkSession)
+
+
 def to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
     """Runs a stream over what is there into a table in memory, as tests and small reports want it."""
-    return stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return over_what_is_there(writer.start, stream.sparkSession)
