@@ -28,12 +28,16 @@ def first_of(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def keep_first(rows: DataFrame, key: Column, order: list[str], columns: list[str] | None = None) -> DataFrame:
     """The first row of each key (null is a key too), with ``columns`` or all of its columns.
 
-    Order columns may repeat or be null: nulls come first, and of rows with equal
+    Where order columns alone are asked for, only these travel. They may repeat or be null: nulls come first, and of rows with equal
     order the one with the least hash of the row stays.
     """
     from .ordering import row_hash
 
     names = columns or rows.columns
+    if set(names) <= set(order):
+        # the order columns of equal rows are equal, so that the least of them is the row
+        least = rows.groupBy(key.alias("_key")).agg(F.min(F.struct(*order)).alias("_row"))
+        return least.select(*(F.col("_row")[c].alias(c) for c in names))
     picked = F.struct(*(F.col(f"`{c}`") for c in names))
     found = rows.groupBy(key.alias("_key")).agg(F.min_by(picked, F.struct(*order, row_hash(rows).alias("_tie"))).alias("_row"))
     return found.select(*(F.col("_row")[c].alias(c) for c in names))

@@ -2,10 +2,11 @@
 
 Text has no line numbers across splits. A line's number is made from the place
 that Spark gives each row while it reads: rows of one task are consecutive, and
-tasks are numbered in the order of a file's splits, so that the order of
-``monotonically_increasing_id`` within a split is the order of its lines. Lines are
-numbered within their split and moved by the lines of the file's splits before it,
-so that a file of any size is numbered by as many tasks as it has splits.
+a task reads its splits one after the other, so that the ids of
+``monotonically_increasing_id`` within a split are consecutive. Lines are numbered from
+the least id of their split and moved by the lines of the file's splits before it, so
+that no line is shuffled or sorted and a file of any size is numbered by as many tasks
+as it has splits.
 
 Scans that fail on a bad line check it in a filter, so that a count or a choice of
 columns fails as well.
@@ -31,11 +32,24 @@ def lines(spark: SparkSession, path: str | list[str], pattern: str | None = None
     rows = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"), "value")
     if not numbers:
         return rows.select("path", F.lit(None).cast("bigint").alias("line_no"), "value")
+    # rows of a split have consecutive ids, so that the split's least id and the lines before it number them; only these travel
     earlier = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = rows.groupBy("path", "_start").agg(F.count("*").alias("_n")).select("path", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("path", "_start").orderBy("_id")) - 1
-    numbered = rows.withColumn("_place", place).join(splits, ["path", "_start"])
-    return numbered.select("path", (F.col("_before") + F.col("_place")).cast("bigint").alias("line_no"), "value")
+    splits = rows.groupBy("path", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    shifts = splits.select("path", "_start", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    numbered = rows.join(F.broadcast(shifts) if _few_splits(spark, rows) else shifts, ["path", "_start"])
+    return numbered.select("path", (F.col("_id") + F.col("_shift")).cast("bigint").alias("line_no"), "value")
+
+
+#: Splits of files up to which their table of counts is sent to all tasks, about 100 bytes each.
+FEW_SPLITS = 100_000
+
+
+def _few_splits(spark: SparkSession, rows: DataFrame) -> bool:
+    """Whether the table of splits is small: a split has its share of the bytes, or is a file."""
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    files = len(rows.inputFiles())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return files + size // max(1, most) <= FEW_SPLITS
 
 
 def json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType, pattern: str | None = None, broken: bool = False) -> DataFrame:
@@ -90,10 +104,18 @@ def newest_lines(spark: SparkSession, path: str, pattern: str, n: int) -> DataFr
 
 
 def prompts(spark: SparkSession, path: str, prefix: str = "prompt") -> DataFrame:
-    """(id, prompt): one for each line that isn't blank, numbered in order."""
+    """(id, prompt): one for each line that isn't blank, numbered over all files in the order of path and line."""
     found = lines(spark, path).withColumn("prompt", F.trim("value")).where("prompt <> ''")
-    place = F.row_number().over(Window.partitionBy("path").orderBy("line_no")) - 1
-    return found.select(F.format_string(f"{prefix}_%06d", place).alias("id"), "prompt")
+    # files are small numbers of rows; lines are placed within ranges of their file
+    cut = found.withColumn("_range", F.floor(F.col("line_no") / PROMPTS))
+    before = Window.orderBy("path", "_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = cut.groupBy("path", "_range").count().select("path", "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("path", "_range").orderBy("line_no")) - 1
+    return cut.withColumn("_place", place).join(shifts, ["path", "_range"]).select(F.format_string(f"{prefix}_%06d", F.col("_before") + F.col("_place")).alias("id"), "prompt")
+
+
+#: Lines of a file whose prompts are put in order in one task.
+PROMPTS = 100_000
 
 
 def names(spark: SparkSession, path: str) -> DataFrame:

@@ -170,3 +170,28 @@ def test_a_table_is_replaced(spark, tmp_path):
     with pytest.raises(Exception):
         W.replace_table(spark.range(2).select(F.raise_error(F.lit("x")).alias("id")), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_prompts_of_several_files_are_numbered_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "PROMPTS", 2)
+    write(tmp_path / "p/a.txt", "one", "", " two ", "three")
+    write(tmp_path / "p/b.txt", "four", "five")
+    found = sorted((r.id, r.prompt) for r in R.prompts(spark, str(tmp_path / "p")).collect())
+    assert found == [(f"prompt_{i:06d}", x) for i, x in enumerate(["one", "two", "three", "four", "five"])]
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_no_line_is_shuffled(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(R, "FEW_SPLITS", few)
+    for name in "abc":
+        write(tmp_path / f"n/{name}.txt", *(f"{name} {i}" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        found = R.lines(spark, str(tmp_path / "n"))
+        assert all(r.value == f"{r.path[-5]} {r.line_no}" for r in found.collect())
+        if few:
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
