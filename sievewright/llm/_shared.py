@@ -67,6 +67,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A number for each id and text, null ones too: rows that share it are repeats of one document."""
+    return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
+
+
 def host_key(column: Column) -> Column:
     """A text key that keeps null apart from every string."""
     return F.when(column.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), column))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import discard, read_again, shared_dir, unused, written
+from ._shared import discard, read_again, row_key, shared_dir, unused, written
 
 #: Words of test items that go to the executors in one pass; a larger set takes more passes.
 PACK_WORDS = 2_000_000
@@ -257,12 +257,18 @@ def report(hits: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """``docs`` without the rows that hold a window of an item; rows of a null doc_id are kept only if no such row is hit."""
+    """``docs`` without the rows that hold a window of an item.
+
+    Rows are told apart by id and text, so that of rows that share an id, or have
+    none, only those go that hold a window themselves.
+    """
+    key = unused(docs, "row_key")
+    keyed = docs.withColumn(key, row_key())
     # written first, so that its size is known and texts are shuffled only where it is too large to be sent
-    index = build_index(docs)
-    bad = written(search(index, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias(unused(docs, "bad"))).distinct())
+    index = build_index(keyed, id_col=key)
+    bad = written(search(index, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias(key)).distinct())
     discard(index)
-    return docs.join(bad, F.col("doc_id").eqNullSafe(bad[bad.columns[0]]), "left_anti")
+    return keyed.join(bad, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import shuffle_partitions, whole_groups, written
+from ._shared import row_key, shuffle_partitions, unused, whole_groups, written
 from .components import components
 
 #: Keys of one trie group in one task; larger groups are split further down the trie.
@@ -595,7 +595,7 @@ def near_duplicates(
 
 
 #: Standard deviations around the expected distance within which shingle sets are compared themselves.
-MARGIN = 2.5
+MARGIN = 3.0
 
 
 def similarity_bits(similarity: float, width: int, margin: float = MARGIN) -> tuple[int, int]:
@@ -618,12 +618,20 @@ def keep_one(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the least doc_id; rows of a null doc_id stay.
 
     Two texts are near-duplicates if their sets of five-word shingles have a Jaccard
-    similarity of at least ``similarity``.
+    similarity of at least ``similarity``. Rows are told apart by id and text, so
+    that unlike texts that share an id stay each; rows of one id and text are
+    repeats, of which one stays.
     """
-    near = near_duplicates(docs, similarity=similarity, **SIMILAR)
-    first = near.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    key = unused(docs, "row_key")
+    keyed = docs.where("doc_id is not null").withColumn(key, row_key())
+    near = near_duplicates(keyed, id_col=key, similarity=similarity, **SIMILAR)
+    named = keyed.groupBy(key).agg(F.min("doc_id").alias("place"), F.count("*").alias("n"))
+    groups = near.select(F.col("id").alias(key), "component_id").distinct().join(named, key).groupBy("component_id")
+    kept = written(groups.agg(F.min(F.struct("place", key, "n")).alias("x")).select(f"x.{key}", F.col("x.n").alias("n_rows")))
+    # texts are shuffled only for rows that repeat
+    once = keyed.join(kept.where("n_rows = 1").select(key), key, "left_semi")
+    again = keyed.join(kept.where("n_rows > 1").select(key), key, "left_semi").dropDuplicates([key])
+    return once.unionByName(again).select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where("doc_id is null"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

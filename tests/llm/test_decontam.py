@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from sievewright.llm import decontam as D
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -96,3 +98,12 @@ def test_empty_tables_and_removal(spark):
     kept = D.decontaminate(d, i)
     assert kept.columns == d.columns
     assert {r.doc_id for r in kept.collect()} == {x for x, _ in docs} - bad
+
+
+def test_rows_that_share_an_id_are_judged_each(spark):
+    leak = " ".join(f"w{i}" for i in range(12))
+    rows = [(None, leak), (None, "clean text"), (1, "before " + leak), (1, "another text"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("row_key", F.lit("x"))
+    kept = D.decontaminate(docs, spark.createDataFrame([(1, leak)], "item_id bigint, text string"))
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("1", "another text"), ("2", "None"), ("None", "clean text")]

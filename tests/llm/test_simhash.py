@@ -175,3 +175,15 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 180)] + [(7, 7), (None, 3)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 180)}
+
+
+def test_texts_of_one_id_stay_each(spark):
+    """Unlike texts that share an id stay, and so do rows without one; repeats and near copies go."""
+    rng = random.Random(31)
+    text = lambda: " ".join("%x" % rng.getrandbits(20) for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = " ".join(a.split()[:-1] + ["changed"])
+    rows = [(1, a, "x"), (1, b, "x"), (2, c, "x"), (2, c, "y"), (None, d, "x"), (None, e, "x"), (None, d, "x"), (7, near, "x"), (0, e, "x"), (9, None, "x"), (8, "", "x")]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, row_key string")).collect()
+    found = sorted((str(r.doc_id), r.text or "") for r in kept)
+    assert found == sorted([("1", a), ("1", b), ("2", c), ("None", d), ("None", d), ("None", e), ("0", e), ("8", "")])
