@@ -19,6 +19,23 @@ SECRETS = [
     (r"""(?i)pwd\s*[:=]\s*["'][^"']{8,}["']""", "password"),
 ]
 
+#: What a text that has a secret of a kind must hold, in lower case; kinds that need none of these aren't listed.
+SECRET_NEEDS = {
+    "api_key": ["key"],
+    "bearer_token": ["bearer"],
+    "token": ["token"],
+    "aws_access_key": ["akia"],
+    "aws_secret": ["aws"],
+    "private_key": ["-----begin"],
+    "ssh_private_key": ["-----begin"],
+    "db_url": ["://"],
+    "postgres_url": ["://"],
+    "github_token": ["ghp_"],
+    "gitlab_token": ["glpat-"],
+    "openai_key": ["sk-"],
+    "password": ["password", "pwd"],
+}
+
 #: Fields of a sample that are searched for secrets.
 SECRET_FIELDS = ["instruction", "input", "output", "response", "completion"]
 
@@ -36,6 +53,9 @@ REDACTIONS = [
     (r"""token[_-]?(id|key)?\s*[:=]\s*["']?[\w\-]{20,}""", "[TOKEN]"),
 ]
 
+#: What a text that any redaction changes must hold, in lower case.
+REDACTION_NEEDS = ["ghp_", "glpat-", "sk-", "bearer", "key", "akia", "-----begin", "token", "aws_secret"]
+
 #: Redaction of journal lines, with regard to case.
 JOURNAL_REDACTIONS = [REDACTIONS[0], REDACTIONS[2], REDACTIONS[3]]
 

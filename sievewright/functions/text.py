@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,15 +18,26 @@ ERROR_LENGTH = 200
 PATH_LENGTH = 100
 
 
+def might_hold(text: Column, literals: list[str]) -> Column:
+    """Whether a text has any of some lower-case literals, without regard to case: a cheap test before a pattern that needs one of them."""
+    lowered = F.lower(text)
+    return reduce(or_, (F.contains(lowered, F.lit(x)) for x in literals))
+
+
 def strip_ansi(text: Column) -> Column:
-    return F.regexp_replace(text, P.ANSI_ESCAPE, "")
+    return F.when(F.contains(text, F.lit("\x1b")), F.regexp_replace(text, P.ANSI_ESCAPE, "")).otherwise(text)
 
 
 def redact(text: Column, none: str | None = "None") -> Column:
-    """Secrets replaced by placeholders, escapes stripped; null becomes the text ``none``."""
-    text = strip_ansi(text.cast("string"))
+    """Secrets replaced by placeholders, escapes stripped; null becomes the text ``none``.
+
+    The patterns run only over texts that hold what one of them needs.
+    """
+    plain = strip_ansi(text.cast("string"))
+    redacted = plain
     for pattern, placeholder in P.REDACTIONS:
-        text = F.regexp_replace(text, f"(?i){pattern}", placeholder)
+        redacted = F.regexp_replace(redacted, f"(?i){pattern}", placeholder)
+    text = F.when(might_hold(plain, P.REDACTION_NEEDS), redacted).otherwise(plain)
     return text if none is None else F.coalesce(text, F.lit(none))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import code as C
-from ..functions import crypto, json
+from ..functions import crypto, json, text
 from ..functions import patterns as P
 
 
@@ -36,8 +36,16 @@ def all_strings(raw: Column, keys: list[str]) -> Column:
 
 
 def secret_hits(fields: list[str]) -> Column:
-    """``field:kind`` of each secret pattern that a field has, fields first, patterns in their order."""
-    hits = [F.when(F.col(f).rlike(pattern), F.lit(f"{f}:{kind}")) for f in fields for pattern, kind in P.SECRETS]
+    """``field:kind`` of each secret pattern that a field has, fields first, patterns in their order.
+
+    A pattern runs only over texts that hold what it needs.
+    """
+
+    def has(field: str, pattern: str, kind: str) -> Column:
+        found = F.col(field).rlike(pattern)
+        return text.might_hold(F.col(field), P.SECRET_NEEDS[kind]) & found if kind in P.SECRET_NEEDS else found
+
+    hits = [F.when(has(f, pattern, kind), F.lit(f"{f}:{kind}")) for f in fields for pattern, kind in P.SECRETS]
     return F.filter(F.array(*hits), lambda x: x.isNotNull())
 
 

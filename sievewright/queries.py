@@ -17,6 +17,7 @@ from .operators import dedupe, evaluate, fsm, journal, ordering, runs, validate
 from .sources import readers, writers
 from .streaming import assemble
 from .streaming import runs as stream_runs
+from .streaming.kept import KeptTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -776,6 +777,19 @@ def completed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.completed_text(rows)
 
 
+@query(ORACLES["latest_states"])
+def kept_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last report of each run as a kept table: three runs of a stream, each of which writes its own runs' rows alone."""
+    path = scratch(spark)
+    reports = journal_events(spark, sf_dir).select("run_id", F.col("key").alias("status"), "seq")
+    states = KeptTable(spark, f"{path}/states", "run_id", ["seq"], compact_every=2)
+    for kinds in (["view", "error"], ["click"], ["signup", "purchase"]):
+        reports.where(F.col("status").isin(kinds)).write.mode("append").parquet(f"{path}/reports")
+        stream = spark.readStream.schema(reports.schema).parquet(f"{path}/reports")
+        states.follow(stream, f"{path}/checkpoint").awaitTermination()
+    return states.read().select("run_id", "status", "seq")
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 
