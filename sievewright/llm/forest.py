@@ -46,7 +46,7 @@ TREES = 64
 #: Bits of a hash string.
 DEPTH = 32
 #: Chance with which a neighbour may be missed.
-MISS = 0.05
+MISS = 0.02
 #: Queries that go to the executors in one pass, about; more take more passes.
 PACK = 32_768
 #: Rows times queries that a step holds marks of.
