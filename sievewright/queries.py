@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from . import schemas as S
 from .functions import arrays, code, crypto, json, text
 from .functions import patterns as P
-from .operators import dedupe, evaluate, fsm, journal, ordering, runs, validate
-from .sources import readers, writers
+from .operators import dedupe, evaluate, fsm, journal, ordering, runs, seen, validate
+from .sources import committed, readers, writers
 from .streaming import assemble
 from .streaming import runs as stream_runs
 from .streaming.kept import KeptTable
@@ -173,6 +173,42 @@ def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", F.substring_index(validate.key_violation(F.col("props"), ["k"]), "unknown:", 1).alias("violation"), validate.all_strings(F.col("props"), ["k"]).alias("text_key"))
 
 
+SQL_ROUTED = f"""r AS (SELECT d.doc_id, d.text AS output, l.quality, len({sql_hits("d.text", "output")}) AS secrets, array_to_string({sql_hits("d.text", "output")}, ', ') AS hits,
+  {SQL_PROSE.replace("output", "d.text")} AS prose FROM documents d LEFT JOIN labels l USING (doc_id))"""
+
+
+@query(
+    f"""WITH {SQL_ROUTED} SELECT doc_id, CASE WHEN quality IS NULL THEN 'schema: missing: metadata' WHEN secrets > 0 THEN 'secret: ' || hits WHEN length(output) > 1500 THEN 'provenance: not signed'
+  {" ".join(f"WHEN contains(output, {quoted(p)}) THEN {quoted('semantic: contains_placeholder: ' + p)}" for p in P.PLACEHOLDERS)}
+  WHEN quality = 1 AND prose < 50 THEN 'semantic: review_too_short' WHEN quality = 0 AND NOT contains(output, '\"\"\"') AND NOT contains(output, '''''''') THEN 'semantic: missing_docstring'
+  WHEN length(output) > 900 THEN 'length: output_too_long' WHEN length(output) < 10 THEN 'length: output_too_short' END AS reject_reason FROM r"""
+)
+def routed_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through all five checks: those without a label lack a key, long ones were signed before they grew beyond 1500 characters, and labels give the task."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    signature = crypto.record_signature(F.col("lang"), F.col("source"), F.substring("text", 1, 1500), F.lit("m"), KEY)
+    task = F.when(F.col("quality") == 1, "code_review").otherwise("documentation")
+    made = F.struct(task.alias("task_type"), F.lit("m").alias("teacher_model"), signature.alias("signature"))
+    rows = docs.join(labels.select("doc_id", "quality"), "doc_id", "left").select(
+        "doc_id", F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("instruction"), F.col("source").alias("input"), F.col("text").alias("output"), F.when(F.col("quality").isNotNull(), made).alias("metadata")
+    )
+    raw = rows.withColumn("raw", F.to_json(F.struct(*S.RAW_KEYS)))
+    gate = validate.Gate(provenance_key=KEY, lengths=validate.Lengths(max_output=900))
+    return validate.with_reason(raw, gate).select("doc_id", "reject_reason")
+
+
+SQL_DANGER = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(t, {quoted('(?i)' + p)}) THEN {quoted(p)} END" for p in P.DANGEROUS_CODE) + "], lambda x: x IS NOT NULL)"
+_SQL_CODE = "concat('x = ', source, chr(10), CASE lang WHEN 'en' THEN 'import subprocess' WHEN 'de' THEN 'open(p, ''w'')' ELSE 'import os' END, chr(10), text)"
+
+
+@query(f"WITH c AS (SELECT doc_id, {_SQL_CODE} AS t FROM documents) SELECT doc_id, array_to_string({SQL_DANGER}, ' ') AS patterns FROM c")
+def dangerous_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patterns of dangerous code in documents that begin with a statement by their language."""
+    head = F.when(F.col("lang") == "en", "import subprocess").when(F.col("lang") == "de", "open(p, 'w')").otherwise("import os")
+    made = F.concat(F.lit("x = "), "source", F.lit("\n"), head, F.lit("\n"), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(code.dangerous(made), " ").alias("patterns"))
+
+
 @query("SELECT page_id, regexp_matches(html, '(?i)assignment|homework|course work|lab report|university|college|school project') AS homework, CASE WHEN regexp_matches(url, '\\.([^./?#]+)$') THEN true ELSE false END AS has_extension FROM pages")
 def repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
@@ -209,6 +245,59 @@ def response_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- text functions
 
 
+SQL_CUT = f"WITH r AS (SELECT doc_id, {sql_redacted('text')} AS t FROM documents), c AS (SELECT doc_id, CASE WHEN length(t) > 200 THEN substr(t, 1, 197) || '...' ELSE t END AS t FROM r)"
+
+
+@query(f"{SQL_CUT} SELECT doc_id, [c.t, source] AS texts, c.t AS deep, n_chars AS number FROM c JOIN documents USING (doc_id)")
+def sanitized_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts redacted and cut wherever they lie in structs, arrays and maps; numbers stay."""
+    docs = table(spark, sf_dir, "documents")
+    nested = F.struct(F.array("text", "source").alias("texts"), F.struct(F.create_map(F.lit("k"), F.struct("text")).alias("deep")).alias("inner"), F.col("n_chars").alias("number"))
+    rows = docs.select("doc_id", nested.alias("x"))
+    done = rows.select("doc_id", text.sanitize(F.col("x"), rows.schema["x"].dataType, 200).alias("x"))
+    return done.select("doc_id", "x.texts", F.col("x.inner.deep")["k"]["text"].alias("deep"), "x.number")
+
+
+@query(
+    """SELECT conv_id, turn, text AS content, CASE WHEN role = 'system' THEN 0 ELSE turn END AS prompt_tokens, CASE WHEN role = 'system' THEN 0 ELSE length(text) END AS completion_tokens,
+  CASE WHEN role = 'system' THEN 0 ELSE turn + length(text) END AS total_tokens, CASE WHEN role <> 'system' THEN role END AS model FROM conversations"""
+)
+def response_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns in the JSON of three kinds of provider, a role each, and what is read from it."""
+    n, at, said = F.length("text"), F.col("turn"), F.col("text")
+    one = F.to_json(F.struct(F.col("role").alias("model"), F.array(F.struct(F.struct(said.alias("content")).alias("message"))).alias("choices"), F.struct(at.alias("prompt_tokens"), n.alias("completion_tokens"), (at + n).alias("total_tokens")).alias("usage")))
+    two = F.to_json(F.struct(F.col("role").alias("model"), F.array(F.struct(said.alias("text"))).alias("content"), F.struct(at.alias("input_tokens"), n.alias("output_tokens")).alias("usage")))
+    three = F.to_json(F.array(F.struct(said.alias("generated_text"))))
+    provider = F.when(F.col("role") == "user", "openai").when(F.col("role") == "assistant", "anthropic").otherwise("huggingface")
+    raw = F.when(F.col("role") == "user", one).when(F.col("role") == "assistant", two).otherwise(three)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", json.response_of(provider, raw).alias("x")).select("conv_id", "turn", "x.*")
+
+
+@query(
+    """SELECT page_id, lower(regexp_extract(url, '\\.([^./]+)$', 1)) AS extension, concat_ws('_', regexp_extract(url, '[/:]([^/:]+)/([^/]+?)(?:\\.git)?/?$', 1), regexp_extract(url, '[/:]([^/:]+)/([^/]+?)(?:\\.git)?/?$', 2)) AS owner_name,
+  lower(regexp_extract(url, '\\.([^./]+)$', 1)) IN ('html') AND strlen(html) > 100 AND strlen(html) < 1048576 AS source_file, strlen(html) > 5 AS snippet_ok FROM pages"""
+)
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files: the extension and the last two parts of the address, and whether the file is a source of the stack of web pages."""
+    url, size = F.col("url"), F.octet_length("html")
+    return table(spark, sf_dir, "pages").select("page_id", text.extension(url).alias("extension"), text.owner_and_name(url).alias("owner_name"), (text.extension(url).isin("html") & text.source_file(url, size, "web")).alias("source_file"), code.snippet_ok(F.col("html")).alias("snippet_ok"))
+
+
+@query("SELECT event_id, strftime(ts, '%H:%M:%S') AS clock, least(pow(2.0, event_id % 9), 60.0) AS wait, CASE event_type WHEN 'view' THEN 'openai' WHEN 'click' THEN 'anthropic' END AS provider FROM events")
+def event_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time of day, waits before attempts, and providers by their aliases."""
+    alias = F.when(F.col("event_type") == "view", "GPT").when(F.col("event_type") == "click", "Claude").otherwise(F.col("event_type"))
+    stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
+    return table(spark, sf_dir, "events").select("event_id", text.clock(stamp).alias("clock"), text.backoff_seconds(F.col("event_id") % 9).alias("wait"), text.provider_name(alias).alias("provider"))
+
+
+@query("SELECT doc_id, replace(replace(replace(replace(replace(text, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(9), '\\t'), chr(13), '\\r') AS escaped, replace(replace('<' || text || '>', '<', '['), '>', ']') AS replaced FROM documents")
+def escaped_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as they stand in JSON, and with several replacements in turn."""
+    marked = F.concat(F.lit("<"), "text", F.lit(">"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.json_escape(F.col("text")).alias("escaped"), text.multi_replace(marked, [("<", "["), (">", "]")]).alias("replaced"))
+
+
 @query(f"WITH r AS (SELECT doc_id, {sql_redacted('text')} AS t FROM documents) SELECT doc_id, CASE WHEN length(t) > 500 THEN substr(t, 1, 497) || '...' ELSE t END AS redacted FROM r")
 def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.truncate(text.redact(F.col("text")), text.MESSAGE_LENGTH).alias("redacted"))
@@ -356,6 +445,16 @@ def unseen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.unseen(docs, docs.where("source = 'src0'")).select("doc_id")
 
 
+@query("SELECT doc_id, source FROM documents WHERE md5(text) NOT IN (SELECT md5(text) FROM documents WHERE source IN ('src0', 'src1'))")
+def unseen_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text two sources don't have, past a filter that was kept for each of them and merged."""
+    docs = table(spark, sf_dir, "documents").withColumn("hash", F.md5("text"))
+    known = docs.where("source in ('src0', 'src1')")
+    blocks = seen.blocks_for(known.agg(F.approx_count_distinct("hash")).first()[0])
+    kept = [seen.seen_filter(docs.where(F.col("source") == s), "hash", blocks) for s in ("src0", "src1")]
+    return seen.unseen_filtered(docs.select("doc_id", "source", "hash"), known, "hash", seen.merged(*kept), blocks).select("doc_id", "source")
+
+
 @query("SELECT count(*) AS n FROM (SELECT source AS x FROM documents UNION SELECT lang FROM documents UNION SELECT event_type FROM events)")
 def distinct_over_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, events = table(spark, sf_dir, "documents"), table(spark, sf_dir, "events")
@@ -883,6 +982,39 @@ def sealed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sealed.select(F.get_json_object("manifest", "$.record_count").cast("bigint").alias("record_count"), crypto.verified(F.col("signature"), crypto.hmac_sha256(F.col("manifest"), KEY)).alias("signed"))
 
 
+@query("SELECT conv_id, turn, role, text, 1 AS times FROM conversations")
+def committed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns that come in two lots and are streamed to committed files; a batch that is written again changes nothing."""
+    path = scratch(spark)
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    user = F.col("role") == "user"
+    for part in (talk.where(user), talk.where(~user | F.col("role").isNull())):
+        part.write.mode("append").parquet(f"{path}/turns")
+        stream = spark.readStream.schema(talk.schema).parquet(f"{path}/turns")
+        committed.stream_committed(stream, f"{path}/lines", f"{path}/checkpoint", "turns").awaitTermination()
+    committed.append_committed(talk.where(user), f"{path}/lines", "turns", 0)
+    found = committed.read_committed(spark, f"{path}/lines", talk.schema)
+    return found.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").cast("int").alias("times"))
+
+
+@query(
+    """WITH c AS (SELECT conv_id, turn, role, text, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next FROM conversations)
+SELECT conv_id AS path, turn, text AS value FROM c WHERE role <> 'assistant'"""
+)
+def conflict_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as merged files, in which the assistant's turns are the other side: ours stay."""
+    talk = table(spark, sf_dir, "conversations").where("role is not null")
+    other = F.array(F.lit("<<<<<<< ours"), F.lit("======="), F.col("text"), F.lit(">>>>>>> theirs"))
+    lines = talk.select(F.col("conv_id").alias("path"), "turn", F.posexplode(F.when(F.col("role") == "assistant", other).otherwise(F.array("text"))).alias("at", "value"))
+    return journal.without_conflicts(lines.withColumn("line_no", F.col("turn") * 4 + F.col("at"))).select("path", "turn", "value")
+
+
+@query(f"WITH {SQL_JOURNAL} SELECT run_id, strftime(max_by(event_time, seq), '%Y-%m-%d %H:%M:%S.%f') AS last_ts FROM j GROUP BY run_id")
+def last_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = journal_events(spark, sf_dir).withColumn("ts", F.col("event_time"))
+    return journal.last_event_time(events).select("run_id", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_ts"))
+
+
 @query("SELECT event_id, CAST(user_id AS VARCHAR) AS run_id, json_extract_string(props, '$.k') AS k, 1 AS times FROM events")
 def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event logs followed while they grow: a run over the first files, one over those that came since, and one over nothing new."""
