@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from . import schemas as S
 from .functions import arrays, code, crypto, json, text
 from .functions import patterns as P
-from .operators import dedupe, evaluate, fsm, journal, ordering, runs, seen, validate
+from .operators import dedupe, evaluate, frequent, fsm, journal, merkle, ordering, runs, seen, sketches, validate
 from .sources import committed, readers, writers
 from .streaming import assemble
 from .streaming import runs as stream_runs
@@ -398,6 +399,44 @@ def dataset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return journal.content_hash(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+#: Nodes of the tree over all documents, five levels up (a thousand million lines); levels above the root are empty.
+SQL_MERKLE = "l0 AS (SELECT doc_id AS node, 1 AS n, sha256(coalesce('0:' || text, '-')) AS hash FROM documents)" + "".join(
+    f", l{i} AS (SELECT node >> {merkle.BITS} AS node, CAST(sum(n) AS BIGINT) AS n, sha256('1:' || string_agg((node & {merkle.FAN - 1}) || ':' || hash, ',' ORDER BY node)) AS hash FROM l{i - 1}"
+    f" WHERE {i} = 1 OR (SELECT max(doc_id) FROM documents) >= {merkle.FAN ** (i - 1)} GROUP BY 1)"
+    for i in range(1, 6)
+)
+
+
+def document_tree(spark: SparkSession, sf_dir: str) -> merkle.MerkleTree:
+    """The tree over all documents, source by source: of a place between others the paths are hashed anew."""
+    docs, tree = table(spark, sf_dir, "documents"), merkle.MerkleTree(spark, scratch(spark))
+    first = F.col("source") == docs.agg(F.min("source")).first()[0]
+    for part in (docs.where(first), docs.where(~F.coalesce(first, F.lit(False)))):
+        tree.append(part, "doc_id", "text")
+    return tree
+
+
+@query(f"WITH {SQL_MERKLE} " + " UNION ALL ".join(f"SELECT {i} AS level, node, n, hash FROM l{i}" for i in range(1, 6)))
+def merkle_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes above the lines, after two appends whose places lie between each other."""
+    tree = document_tree(spark, sf_dir)
+    levels = range(1, (tree.roots().agg(F.max("levels")).first()[0] or 0) + 1)
+    return reduce(DataFrame.unionByName, (tree.nodes(i).select(F.lit(i).alias("level"), "node", "n", "hash") for i in levels))
+
+
+@query(
+    f"WITH {SQL_MERKLE}, lasts AS (SELECT source, max(doc_id) AS line FROM documents GROUP BY source) SELECT source, line, (SELECT hash FROM ("
+    + " UNION ALL ".join(f"SELECT {i} AS level, hash FROM l{i}" for i in range(1, 6))
+    + ") ORDER BY level DESC LIMIT 1) AS root FROM lasts"
+)
+def merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last document of each source, and the root that its text and its path lead to."""
+    docs, tree = table(spark, sf_dir, "documents"), document_tree(spark, sf_dir)
+    lasts = docs.groupBy("source").agg(F.max("doc_id").alias("at"), F.max_by("text", "doc_id").alias("text"))
+    proven = lasts.join(tree.proofs(lasts), "at")
+    return proven.select("source", F.col("at").alias("line"), merkle.climbed(merkle.leaf_hash(F.col("text")), F.col("at"), F.col("path")).alias("root"))
+
+
 # ---------------------------------------------------------------- deduplication
 
 
@@ -439,6 +478,27 @@ def dedupe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.dedupe_ratio(table(spark, sf_dir, "documents"), F.md5("text")).withColumn("ratio", F.round("ratio", 9))
 
 
+@query("SELECT source, count(text) AS total, count(DISTINCT text) AS distinct_keys, round(CASE WHEN count(text) > 0 THEN count(DISTINCT text) / count(text) ELSE 1 END, 9) AS ratio FROM documents GROUP BY ROLLUP (source)")
+def kept_dedupe_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratios by source and of all, from sketches that are kept by source and language."""
+    kept = sketches.key_sketches(table(spark, sf_dir, "documents"), "text", ["source", "lang"])
+    by_source = sketches.ratio_summary(kept, ["source"])
+    whole = sketches.ratio_summary(kept, []).select(F.lit(None).cast("string").alias("source"), "total", "distinct_keys", "ratio")
+    return by_source.unionByName(whole).withColumn("ratio", F.round("ratio", 9))
+
+
+@query(
+    """WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id FROM events WHERE user_id IS NOT NULL), n AS (SELECT day, count(*) AS k FROM d GROUP BY 1),
+  m AS (SELECT a.day, count(*) AS c FROM d a JOIN d b ON b.day = a.day + 1 AND a.user_id = b.user_id GROUP BY 1)
+SELECT n.day, n.k AS keys_today, CASE WHEN x.day IS NOT NULL THEN coalesce(c, 0) END AS also_next_day, CASE WHEN x.day IS NOT NULL THEN n.k - coalesce(c, 0) END AS lost,
+  x.k - coalesce(c, 0) AS new_next_day FROM n LEFT JOIN n x ON x.day = n.day + 1 LEFT JOIN m ON m.day = n.day"""
+)
+def returning_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of each day who come again on the next, who don't, and who are new, from sketches that are kept by day and type."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("day"))
+    return sketches.returning(sketches.key_sketches(events, "user_id", ["day", "event_type"]))
+
+
 @query("SELECT doc_id FROM documents WHERE md5(text) NOT IN (SELECT md5(text) FROM documents WHERE source = 'src0')")
 def unseen_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("hash", F.md5("text"))
@@ -584,6 +644,16 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.latency_summary(table(spark, sf_dir, "events"), "value", ["event_type"]).withColumn("mean", F.round("mean", 6))
 
 
+@query(
+    """WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) AS pos, count(value) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL)
+SELECT event_type, n, round(avg(value), 6) AS mean, max(value) FILTER (WHERE pos = ceil(n * 0.5::DOUBLE)) AS p50, max(value) FILTER (WHERE pos = ceil(n * 0.95::DOUBLE)) AS p95 FROM r GROUP BY event_type, n"""
+)
+def sketched_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles by type, merged from sketches by type and hour; exact up to ``sketches.K`` rows a type, beyond within the stated error of rank."""
+    hourly = sketches.value_sketches(table(spark, sf_dir, "events").withColumn("hour", F.date_trunc("hour", "ts")), "value", ["event_type", "hour"])
+    return sketches.percentiles(sketches.merged_values(hourly, ["event_type"]), {"p50": 0.5, "p95": 0.95}).withColumn("mean", F.round("mean", 6))
+
+
 @query(
     """SELECT event_id, min(value) OVER (w ROWS UNBOUNDED PRECEDING) AS best, coalesce(value < min(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS improved FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
 )
@@ -596,6 +666,17 @@ def gram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.gram_counts(table(spark, sf_dir, "benchmark"), "item_id", "text")
 
 
+@query(
+    """WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM documents),
+  g AS (SELECT c || lead(c) OVER w || lead(c, 2) OVER w || lead(c, 3) OVER w || lead(c, 4) OVER w AS gram FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  n AS (SELECT gram, count(*) AS n FROM g WHERE gram IS NOT NULL GROUP BY gram)
+SELECT CAST(row_number() OVER (ORDER BY n DESC, gram) AS INTEGER) AS rank, gram, n FROM n ORDER BY n DESC, gram LIMIT 100"""
+)
+def frequent_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hundred most frequent 5-grams of all documents: candidates from summaries by task, then exact counts."""
+    return frequent.top_grams(table(spark, sf_dir, "documents"), "text", 100)
+
+
 # ---------------------------------------------------------------- journal
 
 
