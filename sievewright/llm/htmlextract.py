@@ -2,13 +2,16 @@
 
 A page is read into blocks, the stretches of text between block-level tags; a run
 of text in an inline element that is marked as boilerplate is a node of its own
-within its block. A linear classifier over a node's tags, class names, links and
-length gives the cost of calling it content or boilerplate; the costs are the
-capacities from the source and to the sink. Nodes that follow each other, and
-nodes of one parent, are tied by edges whose capacity grows with the share of the
-DOM path that they have in common. The minimum cut, found by maximum flow, is the
-cheapest labelling. Nodes whose own cost outweighs all their edges are labelled
-before, which doesn't change the minimum.
+within its block. A linear classifier over a node's text (links, length, its end, and
+phrases of notices) gives the cost of calling it content or boilerplate. The marks of
+an element, its tags and names, say nothing of a text but of all that it holds: each marked
+element is a node, too, with the cost of its marks for every text in it. These costs are the
+capacities from the source and to the sink. A text is tied to the element that marks it, by
+an edge of the weight of the marks; texts that follow each other, and texts of one parent, by
+edges that grow with the share of the DOM path that they have in common. The minimum cut, found by
+maximum flow, is the cheapest labelling: prose in an advert goes with the advert, and
+a line that looks like nothing with the article around it. Nodes whose own cost outweighs
+all their edges are labelled before, which doesn't change the minimum.
 
 Marks are evidence, not verdicts: names of classes and ids count by their words,
 a name with words of layout (``has-sidebar``) says nothing, one with words that
@@ -84,12 +87,23 @@ NEUTRAL_WORDS = _WRAPS | frozenset(
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: Phrases of legal lines and notices; each counts against a text of up to ``NOTICE_MOST`` code points, and only so many count.
+CUES = re.compile(
+    r"©|\bcopyright\b|all rights reserved|(?:use|uses|using|accept|our) cookies|cookie (?:policy|settings|preferences)|privacy policy|terms (?:of (?:use|service)|and conditions)"
+    r"|(?:subscribe|sign up) (?:to|for) |\bnewsletter\b|\bsponsored\b|\badvertisement\b",
+    re.IGNORECASE,
+)
+#: What a phrase can't be without.
+_CUE_PARTS = ("©", "copyright", "all rights", "cookie", "privacy", "terms ", "subscribe", "sign up", "newsletter", "sponsored", "advertisement")
+CUE, CUES_MOST, NOTICE_MOST = 200, 3, 400
 #: Costs in units of a hundredth: of what isn't shown, of tags and of names that mark boilerplate, of names that may.
 HIDDEN = 5_000
 PLAIN_TAG, PLAIN_NAME, PERHAPS, WEAK = 600, 500, 300, 120
 #: Evidence of content from a tag, a name, and in sum.
 CONTENT_TAG, CONTENT_NAME, CONTENT_MOST = 300, 250, 350
-EDGE = 60
+#: Against what a page's content doesn't hold, and where that content is at least half of the prose that no mark speaks against.
+ELSEWHERE, FAR_ELSEWHERE = 200, 320
+EDGE = 100
 #: Share of a page's prose that no boilerplate has, where nothing on the page is marked as content.
 MOST_PROSE = 0.6
 #: Depth of the DOM beyond which elements count as children of that depth.
@@ -119,7 +133,7 @@ def name_evidence(value: str, inside: bool) -> tuple[int, int]:
 class _Element:
     """An element: its marks as they are read, and its score once the page is known."""
 
-    __slots__ = ("tag", "parent", "depth", "link", "inside", "hidden", "by_tag", "by_name", "content", "holds", "prose", "score")
+    __slots__ = ("tag", "parent", "depth", "link", "inside", "hidden", "by_tag", "by_name", "content", "holds", "prose", "score", "marks")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None):
         while parent and parent.depth >= DEPTH:
@@ -129,7 +143,7 @@ class _Element:
         self.link = tag == "a" or bool(parent and parent.link)
         self.hidden = bool(parent and parent.hidden)
         self.by_tag = self.by_name = self.content = self.prose = self.score = 0
-        self.holds = False
+        self.holds, self.marks = False, self
         inside = bool(parent and parent.inside)
         if tag in PLAIN_TAGS or (tag == "header" and not inside):
             self.by_tag = PLAIN_TAG
@@ -165,10 +179,18 @@ class _Element:
 class Run:
     """A node of the graph: the text of a block, or of an inline element in it that is marked by itself."""
 
-    __slots__ = ("element", "n", "linked", "end")
+    __slots__ = ("element", "n", "linked", "end", "cues")
+
+    def __init__(self, element: _Element, n: int, linked: int, end: str, cues: int):
+        self.element, self.n, self.linked, self.end, self.cues = element, n, linked, end, cues
 
-    def __init__(self, element: _Element, n: int, linked: int, end: str):
-        self.element, self.n, self.linked, self.end = element, n, linked, end
+
+def cues_in(text: str) -> int:
+    """Distinct phrases of notices in a short text."""
+    if len(text) > NOTICE_MOST:
+        return 0
+    low = text.lower()
+    return len({m[0] for m in CUES.finditer(low)}) if any(part in low for part in _CUE_PARTS) else 0
 
 
 class Page:
@@ -203,7 +225,7 @@ class Page:
         for marked, _, texts, linked in gathered.values():
             whole = " ".join("".join(texts).split())
             marked.prose += max(len(whole) - linked, 0)
-            self.runs.append(Run(marked, len(whole), linked, whole[-1:]))
+            self.runs.append(Run(marked, len(whole), linked, whole[-1:], cues_in(whole)))
         self.blocks.append(block)
 
     def _read(self, html: str) -> None:
@@ -310,6 +332,10 @@ class Page:
                 e.score = base - plain
                 if e.content:
                     e.score = min(e.score + (e.content if base >= 0 else e.content // 4), CONTENT_MOST)
+            if e.score == e.parent.score and e.hidden == e.parent.hidden:
+                e.marks = e.parent.marks  # the outermost of one score speaks for all in it
+        unmarked = sum(r.n - r.linked for r in self.runs if not r.element.hidden and r.element.score >= 0)
+        self.elsewhere = 0 if main is None else FAR_ELSEWHERE if 2 * main.prose >= unmarked else ELSEWHERE
 
 
 _ends: dict[str, re.Pattern] = {}
@@ -321,15 +347,11 @@ def _end_of(tag: str) -> re.Pattern:
     return _ends[tag]
 
 
-def cost(run: Run, has_content: bool) -> int:
-    """Above 0 the node looks like content, below like boilerplate; in hundredths."""
+def cost(run: Run) -> int:
+    """Of a text by itself: above 0 it looks like content, below like boilerplate; in hundredths."""
     e = run.element
-    if e.hidden:
-        return -HIDDEN
     share = min(run.linked / max(run.n, 1), 1.0)
-    total = -30 + min(run.n, 200) - int(250 * share) + e.score
-    if e.score <= 0 and has_content:
-        total -= 200  # the page names its content, and this is elsewhere
+    total = -30 + min(run.n, 200) - int(250 * share) - CUE * min(run.cues, CUES_MOST)
     if e.tag in _HEADINGS:
         total += 60
     if e.tag == "li" and share > 0.5:
@@ -339,6 +361,24 @@ def cost(run: Run, has_content: bool) -> int:
     return total
 
 
+def marks_cost(e: _Element, elsewhere: int) -> int:
+    """What the marks of an element tell of each text in it; ``elsewhere`` counts where the page names its content and this isn't it."""
+    return -HIDDEN if e.hidden else e.score - (elsewhere if e.score <= 0 else 0)
+
+
+def graph(page: Page) -> tuple[list[int], dict[tuple[int, int], int]]:
+    """Costs of all texts and then of the elements that mark them, and the edges between these nodes."""
+    costs, edges = [cost(r) for r in page.runs], edges_of(page.runs)
+    held: dict[int, tuple[_Element, list[int]]] = {}
+    for i, r in enumerate(page.runs):
+        held.setdefault(id(r.element.marks), (r.element.marks, []))[1].append(i)
+    for e, texts in held.values():
+        each = marks_cost(e, page.elsewhere)
+        edges.update({(i, len(costs)): abs(each) for i in texts if each})
+        costs.append(each * len(texts))
+    return costs, edges
+
+
 def _common(a: _Element, b: _Element) -> float:
     """Share of the longer path to the root that two elements have in common."""
     longest = max(a.depth, b.depth, 1)
@@ -443,7 +483,7 @@ def _source_side(nodes: list[int], costs: list[int], near: list[dict[int, int]])
 def main_text(html: str | None) -> str:
     """The page's content blocks, joined by line feeds."""
     page = Page(html or "")
-    labels = min_cut([cost(r, page.has_content) for r in page.runs], edges_of(page.runs))
+    labels = min_cut(*graph(page))
     kept = (" ".join("".join(t for i, t in block if labels[i]).split()) for block in page.blocks)
     return "\n".join(t for t in kept if t)
 

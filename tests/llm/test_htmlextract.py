@@ -169,6 +169,41 @@ def test_rows(spark):
     assert H.extract(df.limit(0)).collect() == []
 
 
+NOTICES = ["Copyright 2024 Foo Inc. All rights reserved.", "We use cookies to make this site better. By going on you accept our privacy policy.", "Subscribe to our newsletter, and never miss a story again."]
+
+
+@pytest.mark.parametrize("notice", NOTICES)
+def test_notices_without_marks(notice):
+    body = f"<div>{LONG}</div><div>A short line</div><div>{LONG}</div>"
+    for page in (f"<body>{body}<div>{notice}</div></body>", f'<body><div class="x1">{notice}</div>{body}</body>', f'<body><div class="x1">{notice}</div><article>{body}</article></body>'):
+        assert H.main_text(page).split("\n") == [LONG, "A short line", LONG]
+
+
+def test_texts_on_notices_stay():
+    said = "The new law asks that sites that use cookies say so in a privacy policy, which a lawyer called overdue when we spoke about it on Tuesday morning at some length."
+    assert H.main_text(f"<body><article><p>{LONG}</p><p>{said}</p><p>{LONG}</p></article></body>").split("\n") == [LONG, said, LONG]
+
+
+def test_prose_beside_an_article_goes_with_what_surrounds_it():
+    prose = "A text without any mark, which is long enough to look like prose by itself and ends with a full stop, but stands beside the article of the page and so isn't part of it at all."
+    assert H.main_text(f'<body><div class="x1"><p>{prose}</p></div><article><p>{LONG}</p><p>{LONG}</p></article></body>').split("\n") == [LONG, LONG]
+    # an article element that holds little doesn't rule out the rest
+    assert prose in H.main_text(f"<body><article><p>Read this, too.</p></article>{f'<p>{prose}</p>' * 9}</body>")
+
+
+def test_marks_and_neighbours_decide_what_a_text_leaves_open():
+    page = H.Page(PAGE)
+    costs, edges = H.graph(page)
+    labels = H.min_cut(costs, edges)
+    near = [0] * len(costs)
+    for (i, j), c in edges.items():
+        near[i] += c
+        near[j] += c
+    texts = range(len(page.runs))
+    flipped = [i for i in texts if (costs[i] > 0) != labels[i]]
+    assert sum(abs(costs[i]) < near[i] for i in texts) > len(texts) / 2 and len(flipped) >= 4
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
 def test_articles_of_the_test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
@@ -179,3 +214,11 @@ def test_articles_of_the_test_pages(spark):
         want[r.page_id] = "\n".join(p for p in parts if p)
     got = {r.page_id: r.text for r in H.op6_html_extraction(spark, "/root/testdata/sf0.01").collect()}
     assert got == want
+    # by their text alone many blocks would be labelled otherwise
+    texts = flipped = 0
+    for r in pages.collect():
+        page = H.Page(r.html)
+        labels = H.min_cut(*H.graph(page))
+        texts += len(page.runs)
+        flipped += sum((H.cost(run) > 0) != label for run, label in zip(page.runs, labels, strict=False))
+    assert flipped > texts / 20
