@@ -7,6 +7,7 @@ the one shuffle, so that a key that a third of all rows have is a row per task.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -73,15 +74,41 @@ def fuzzy_key(text: Column) -> Column:
     return F.sha2(_top_grams(text), 256)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _most_frequent(grams: Column) -> Column:
+    """The TOP most frequent of an array of strings, the first ones of equal counts, in no order: runs of the sorted array are counted."""
+
+    def of(all_grams: Column, ordered: Column) -> Column:
+        first = F.transform(ordered, lambda g, i: F.when((i == 0) | (F.get(ordered, i - 1) != g), i))
+        return _let(F.filter(first, lambda i: i.isNotNull()), lambda starts: runs(all_grams, ordered, starts))
+
+    def runs(all_grams: Column, ordered: Column, starts: Column) -> Column:
+        counts = F.transform(starts, lambda at, i: F.struct((F.coalesce(F.get(starts, i + 1), F.size(ordered)) - at).alias("n"), F.get(ordered, at).alias("g")))
+        return _let(counts, lambda c: _let(F.get(F.sort_array(F.transform(c, lambda x: x["n"]), False), F.lit(TOP - 1)), lambda least: chosen(all_grams, c, least)))
+
+    def chosen(all_grams: Column, counts: Column, least: Column) -> Column:
+        more = F.transform(F.filter(counts, lambda x: x["n"] > least), lambda x: x["g"])
+        even = F.transform(F.filter(counts, lambda x: x["n"] == least), lambda x: x["g"])
+        # an intersection has the order of its first array
+        some = _let(more, lambda m: F.concat(m, F.slice(F.array_intersect(all_grams, even), F.lit(1), TOP - F.size(m))))
+        return F.when(least.isNull(), F.transform(counts, lambda x: x["g"])).otherwise(some)
+
+    return _let(grams, lambda g: _let(F.sort_array(g), lambda ordered: of(g, ordered)))
+
+
 def fuzzy_key_builtin(rows: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """(id, fuzzy key) as ``fuzzy_key``, in built-in functions alone: a grouping by gram in place of Python."""
-    squeezed = rows.select(F.col(id_col).alias("id"), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+", "").alias("t"))
-    grams = squeezed.where(F.length("t") >= GRAM).select("id", F.posexplode(F.regexp_extract_all("t", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))).alias("at", "g"))
-    counts = grams.groupBy("id", "g").agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    top = counts.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "at", "g"))), 1, TOP).alias("top"))
-    long = top.select("id", F.array_join(F.array_sort(F.transform("top", lambda x: x["g"])), "").alias("k"))
-    short = squeezed.where(F.length("t") < GRAM).select("id", F.col("t").alias("k"))
-    return long.unionByName(short).select("id", F.sha2("k", 256).alias("fuzzy"))
+    """(id, fuzzy key) as ``fuzzy_key``, in built-in functions alone, where the text lies: nothing is shuffled."""
+    squeezed = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\s+", "")
+
+    def key(t: Column) -> Column:
+        grams = _let(F.split(t, ""), lambda c: F.transform(F.slice(c, F.lit(1), F.size(c) - (GRAM - 1)), lambda x, i: F.concat(x, *(F.get(c, i + k) for k in range(1, GRAM)))))
+        return F.when(F.length(t) < GRAM, t).otherwise(F.array_join(F.array_sort(_most_frequent(grams)), ""))
+
+    return rows.select(F.col(id_col).alias("id"), F.sha2(_let(squeezed, key), 256).alias("fuzzy"))
 
 
 def dedupe_samples(samples: DataFrame, order: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:

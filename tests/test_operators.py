@@ -298,3 +298,11 @@ def test_stream_without_repeats(spark, tmp_path):
     rows = spark.readStream.schema("k string, at timestamp").json(f"{tmp_path}/in")
     dedupe.stream_unseen(rows, "k", "at").writeStream.format("memory").queryName("unseen").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.k for r in spark.table("unseen").collect()) == ["a", "b"]
+
+
+def test_builtin_fuzzy_keys_need_no_shuffle(spark):
+    df = spark.createDataFrame([(1, "abcde" * 9), (2, "𝒜𝒷𝒸 def 𝒜𝒷𝒸 defg"), (2, "ab"), (3, None), (4, "".join(chr(33 + i % 97) for i in range(5000)))], "id int, t string")
+    keys = dedupe.fuzzy_key_builtin(df, "id", F.col("t"))
+    assert "Exchange" not in keys._jdf.queryExecution().executedPlan().toString()
+    # rows that share an id have a key each
+    assert sorted((r.id, r.fuzzy) for r in keys.collect()) == sorted((r.id, fuzzy(r.t or "")) for r in df.collect())
