@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import zlib
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,10 +29,28 @@ def global_hash(instruction: Column, input_text: Column, output: Column) -> Colu
     return F.md5(F.concat(F.coalesce(instruction, F.lit("")), F.lit("|"), F.coalesce(input_text, F.lit("")), F.lit("|"), F.coalesce(output, F.lit(""))))
 
 
-@F.pandas_udf(T.StringType())
-def _record_payload(instruction: pd.Series, input_text: pd.Series, output: pd.Series, model: pd.Series) -> pd.Series:
-    rows = zip(instruction, input_text, output, model, strict=True)
-    return pd.Series([json.dumps({"instruction": i or "", "input": x or "", "output": o or "", "teacher_model": m or ""}, sort_keys=True) for i, x, o, m in rows], dtype=object)
+#: Characters that JSON escapes by a letter or themselves, the backslash first.
+_SHORT = {"\\": "\\\\", '"': '\\"', "\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
+
+
+def _json_string(text: Column) -> Column:
+    """A text as a JSON string, with escapes for all but printable ASCII; null counts as empty."""
+
+    def coded(run: Column) -> Column:
+        return F.regexp_replace(F.lower(F.hex(F.encode(run, "UTF-16BE"))), "(.{4})", r"\\u$1")
+
+    t = F.coalesce(text, F.lit(""))
+    for c, escape in _SHORT.items():
+        t = F.replace(t, F.lit(c), F.lit(escape))
+    runs = F.regexp_extract_all(t, F.lit(r"([\x20-\x7e]+|[^\x20-\x7e]+)"), F.lit(1))
+    mixed = F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"^[\x20-\x7e]"), r).otherwise(coded(r))), "")
+    return F.concat(F.lit('"'), F.when(t.rlike(r"[^\x20-\x7e]"), mixed).otherwise(t), F.lit('"'))
+
+
+def _record_payload(instruction: Column, input_text: Column, output: Column, model: Column) -> Column:
+    fields = {"input": input_text, "instruction": instruction, "output": output, "teacher_model": model}
+    parts = [F.concat(F.lit(f'"{name}": '), _json_string(value)) for name, value in fields.items()]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
 def record_signature(instruction: Column, input_text: Column, output: Column, model: Column, key: str) -> Column:

@@ -162,6 +162,22 @@ def test_signatures(spark, key):
     assert one(spark, crypto.record_signature(F.col("a"), F.col("b"), F.col("c"), F.col("d"), key), a="i é", b=None, c='o"\n', d="m") == want
 
 
+def test_payloads_are_those_of_json_without_python(spark):
+    texts = ["".join(map(chr, range(0x250))), "\\u000a\\n\n\\", "𝒜é\u2028\ud7ff\ue000x", "plain", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    made = df.select("i", crypto._record_payload(F.col("t"), F.lit(None).cast("string"), F.col("t"), F.lit('m"')).alias("p"))
+    assert "Python" not in made._jdf.queryExecution().executedPlan().toString()
+    got = {r.i: r.p for r in made.collect()}
+    assert got == {i: pyjson.dumps({"instruction": t or "", "input": "", "output": t or "", "teacher_model": 'm"'}, sort_keys=True) for i, t in enumerate(texts)}
+
+
+def test_compression_takes_no_batches_of_ten_thousand_rows(spark):
+    df = spark.createDataFrame([(1, "é" * 9), (2, ""), (3, None)], "i int, t string")
+    made = df.select("i", crypto.compressed(F.col("t")).alias("z"), crypto.compressed(F.encode("t", "UTF-8")).alias("b"))
+    assert "ArrowEvalPython" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [(r.z and zlib.decompress(bytes(r.z)).decode(), r.z == r.b) for r in made.orderBy("i").collect()] == [("é" * 9, True), ("", True), (None, True)]
+
+
 def test_hashes_and_compression(spark):
     assert one(spark, crypto.sample_hash(F.col("a"), F.col("b")), a="x", b=None) == hashlib.sha256(b"x").hexdigest()
     assert one(spark, crypto.global_hash(F.col("a"), F.col("b"), F.col("c")), a="x", b="y", c="z") == hashlib.md5(b"x|y|z").hexdigest()
