@@ -85,3 +85,52 @@ def test_silent_sessions_time_out(spark, tmp_path):
 @pytest.mark.parametrize("event", ["{", "[]", "null", '{"type": 5}', '{"type": "message.part.delta"}', '{"type": "message.part.updated", "part": 5}', '{"type": "message.updated", "properties": {"info": {}}}'])
 def test_events_that_do_nothing(event):
     assert [A.Answer().move(m) for m in A.moves("s", [event, None, ""])] in ([], [None])
+
+
+def test_a_session_and_batch_sends_each_message_once():
+    """Without Spark: what a processor asks of states and timers, each time a message to the JVM."""
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.held = name, None
+
+        def __getattr__(self, what):
+            def call(*value):
+                calls.append(f"{self.name} {what}")
+                if what == "appendList":
+                    self.held = [*(self.held or []), *value[0]]
+                elif value:
+                    self.held = value[0]
+                return iter(self.held) if self.name == "pieces" and what == "get" else self.held
+
+            return call
+
+    class Handle:
+        def getValueState(self, name, *_):
+            return State(name)
+
+        getListState = getValueState
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+        def deleteTimer(self, at):
+            calls.append("no timer")
+
+    class Clock:
+        def getCurrentProcessingTimeInMs(self):
+            return 1_000
+
+    from pyspark.sql import Row
+
+    one = A.SessionAnswers(5_000, 60_000, 120_000)
+    one.init(Handle())
+    event = '{"type": "message.part.delta", "properties": {"sessionID": "s", "messageID": "m", "partID": "p", "field": "text", "delta": "%s"}}'
+    (row,) = one.handleInputRows(("s",), iter([Row(session="s", seq=2, event=event % "b"), Row(session="s", seq=1, event=event % "a")]), Clock())
+    assert (row.text, row.n_events) == ("ab", 2)
+    assert calls == ["known get", "pieces appendList", "known update", "timer"]
+    calls.clear()
+    (row,) = one.handleInputRows(("s",), iter([Row(session="s", seq=3, event=event % "c")]), Clock())
+    assert (row.text, row.n_events) == ("abc", 3)
+    assert calls == ["known get", "pieces get", "pieces appendList", "known update", "no timer", "timer"]
