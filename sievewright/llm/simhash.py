@@ -28,7 +28,9 @@ is read again, with fingerprints and components, and its candidates of different
 components are tried one by one; in all other groups every candidate pair lies
 within one component already. So each candidate pair is decided or needs no
 decision, whatever the group's size. Pairs whose fingerprints leave the similarity
-open are decided by the Jaccard similarity of their shingle sets.
+open are decided by the Jaccard similarity of their shingle sets. In a group that
+is read again the sets come to the members that have such pairs, and the pairs
+stay in the task: what a group hands on grows with its members, not their pairs.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import seen
 from . import _text as T
 from ._shared import row_key, shuffle_partitions, unused, whole_groups, written
 from .components import components
@@ -52,6 +55,8 @@ from .components import components
 GROUP_LIMIT = 50_000
 #: Shingle sets that one side of a block of pairs has.
 BLOCK_SETS = 500
+#: Rows with shingle sets that a task gathers before it looks at their groups.
+SET_ROWS = 4_000
 #: Shingles that are summed at once.
 _CHUNK = 1 << 13
 #: Bits of a byte, each in a byte of a 64-bit word, highest bit first in memory.
@@ -190,6 +195,19 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+#: Columns of a row of a group that is read again.
+_OPEN = ["node", "side", "rest", "errors", "rep", "fp", "label"]
+_OPEN_SCHEMA = "node string, side int, rest bigint, errors int, rep bigint, fp binary, label bigint"
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sets is at least ``similarity``."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both) - 1e-9
+
+
 class _Groups:
     """Whole nodes of one batch; rows are sorted by node, side and rest. ``first`` has the first row of each key."""
 
@@ -255,43 +273,68 @@ class _Groups:
         one = pd.DataFrame({"src": pair[:, 0], "dst": pair[:, 1], "node": None})
         return pd.concat([one, pd.DataFrame({"src": to[tied], "dst": rep[tied], "node": self.node[tied]})])
 
-    def crossing(self, sure: int, far: int) -> pd.DataFrame:
-        """(src, dst, bits) of candidates of different labels within ``far`` bits; those within ``sure`` as spanning links."""
-        number, label = np.unique(self.rows["label"].to_numpy(), return_inverse=True)
+    def _apart(self, label: np.ndarray, groups: Callable[[np.ndarray], np.ndarray], far: int, budget: int, lane_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks (u, v, bits) of rows of candidates within ``far`` bits that ``groups`` of their labels leave apart, at the first lane of each pair."""
         key = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(self.rep))))
         order = np.lexsort((label, key))  # keys are in order already
-        key, label, rep = key[order], label[order], self.rep[order]
-        wide = np.frombuffer(b"".join(self.rows["fp"].to_numpy()[order]), np.uint64).reshape(len(rep), -1)
-        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (label[1:] != label[:-1])]))
-        sizes = np.diff(np.append(starts, len(rep)))
+        key, sorted_label = key[order], label[order]
+        wide = np.frombuffer(b"".join(self.rows["fp"].to_numpy()), np.uint8).reshape(len(order), -1)
+        lane = np.array([int(x.split(".", 1)[0]) for x in self.node], np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sorted_label[1:] != sorted_label[:-1])]))
+        sizes = np.diff(np.append(starts, len(order)))
         subs = np.searchsorted(key[starts], np.arange(len(self.first)))  # the first part of one label of each key
         n_subs = np.diff(np.append(subs, len(starts)))
-        of = label[starts]
+        of = sorted_label[starts]
         one, two = self._products(np.concatenate([self.a, np.arange(len(subs))]), np.concatenate([self.b, np.arange(len(subs))]), subs, n_subs)
         apart = (of[one] != of[two]) & ((key[starts[one]] != key[starts[two]]) | (one < two))
         one, two = one[apart], two[apart]
-        found: list[tuple[np.ndarray, ...]] = []
-        groups, step = np.arange(len(number)), max(1, _CHUNK // int(sizes.max(initial=1)))
+        step = max(1, _CHUNK // int(sizes.max(initial=1)))
         for i in range(0, len(one), step):
             a, b = one[i : i + step], two[i : i + step]
-            open_ = groups[of[a]] != groups[of[b]]  # not linked meanwhile
+            open_ = groups(of[a]) != groups(of[b])  # not linked meanwhile
             for u, v in self._blocks_of(a[open_], b[open_], starts, sizes):
-                bits = np.bitwise_count(wide[u] ^ wide[v]).sum(axis=1)
-                near = bits <= far
-                found.append((rep[u[near]], rep[v[near]], bits[near], label[u[near]], label[v[near]]))
-                linked = bits <= sure
-                if linked.any():
-                    pair = np.unique(np.stack([groups[label[u[linked]]], groups[label[v[linked]]]]), axis=1)
-                    groups = forest(len(number), pair[0], pair[1])[groups]
-        if not found:
-            return pd.DataFrame({"src": [], "dst": [], "bits": []})
-        src, dst, bits, la, lb = (np.concatenate([f[k] for f in found]) for k in range(5))
-        # of the sure links one for each pair of labels, and what is unsure between labels that these leave apart
-        certain = bits <= sure
-        _, at = np.unique(np.stack([np.minimum(la, lb), np.maximum(la, lb)])[:, certain], axis=1, return_index=True)
-        keep = np.flatnonzero(certain)[at]
-        keep = np.concatenate([keep, np.flatnonzero(~certain & (groups[la] != groups[lb]))])
-        return pd.DataFrame({"src": src[keep], "dst": dst[keep], "bits": bits[keep].astype(np.int64)})
+                u, v = order[u], order[v]
+                bits = np.bitwise_count(wide[u].view(np.uint64) ^ wide[v].view(np.uint64)).sum(axis=1)
+                u, v, bits = (x[bits <= far] for x in (u, v, bits))
+                # a pair meets in several lanes: where it isn't met in its first one, the group there has it in one component or tried
+                lanes = np.bitwise_count(wide[u] ^ wide[v]).reshape(len(u), wide.shape[1] * 8 // lane_bits, lane_bits // 8).sum(axis=2) <= budget
+                here = lanes.argmax(axis=1) == lane[u]
+                yield u[here], v[here], bits[here]
+
+    def crossing(self, sure: int, far: int, budget: int, lane_bits: int, similarity: float | None = None) -> pd.DataFrame:
+        """Spanning links (src, dst) between candidates of different labels, and rows that have further ones to be decided by their shingle sets.
+
+        Candidates within ``sure`` bits are links. Those within ``far`` that these leave
+        apart are decided by ``similarity`` where the rows have shingles; else their rows
+        are handed on as they are, with src and dst null, to come again with shingles.
+        """
+        number, label = np.unique(self.rows["label"].to_numpy(), return_inverse=True)
+        groups = np.arange(len(number))
+        links: list[tuple[int, int]] = []
+
+        def link(u: int, v: int) -> None:
+            one, two = sorted((groups[label[u]], groups[label[v]]))
+            if one != two:
+                groups[groups == two] = one
+                links.append((int(self.rep[u]), int(self.rep[v])))
+
+        for u, v, _ in self._apart(label, lambda x: groups[x], sure, budget, lane_bits):
+            _, at = np.unique(np.stack([groups[label[u]], groups[label[v]]]), axis=1, return_index=True)
+            for i in at.tolist():
+                link(u[i], v[i])
+        again = np.zeros(len(self.rep), bool)
+        if far > sure:
+            sets = None if similarity is None else self.rows["shingles"].to_numpy()
+            for u, v, _ in self._apart(label, lambda x: groups[x], far, budget, lane_bits):
+                if sets is None:
+                    again[u] = again[v] = True
+                    continue
+                for x, y in zip(u.tolist(), v.tolist(), strict=True):
+                    if groups[label[x]] != groups[label[y]] and _similar(sets[x], sets[y], similarity):
+                        link(x, y)
+        columns, whole = ["src", "dst", *_OPEN], dict.fromkeys(["src", "dst", "side", "rest", "errors", "rep", "label"], "Int64") | {"node": object, "fp": object}
+        made = [pd.DataFrame(links, columns=["src", "dst"]), self.rows[again]]
+        return pd.concat([x.reindex(columns=columns).astype(whole) for x in made if len(x)] or [pd.DataFrame(columns=columns).astype(whole)])
 
     def _blocks_of(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Row pairs of the parts a and b, about a quarter of a million at a time."""
@@ -420,7 +463,7 @@ def links(
     group_limit: int = GROUP_LIMIT,
     step: int = 8,
     sure: int | None = None,
-    confirm: Callable[[DataFrame], DataFrame] | None = None,
+    confirm: _Jaccard | None = None,
 ) -> DataFrame:
     """(src, dst) links that join the classes (rep bigint, fp binary, distinct) as all pairs within the budget would.
 
@@ -449,9 +492,9 @@ def links(
 
     n = shuffle_partitions(classes.sparkSession)
 
-    def grouped(rows: DataFrame, columns: list[str], of, schema: str) -> DataFrame:
+    def grouped(rows: DataFrame, columns: list[str], of, schema: str, limit: int = group_limit) -> DataFrame:
         found = rows.select("node", "side", "rest", "errors", *columns)
-        return found.repartition(n, "node").sortWithinPartitions("node", "side", "rest").mapInPandas(_linker(bits, lane_budget, group_limit, of), schema)
+        return found.repartition(n, "node").sortWithinPartitions("node", "side", "rest").mapInPandas(_linker(bits, lane_budget, limit, of), schema)
 
     if whole:
         # of equal keys there is one class each: a leaf pair is a link by itself
@@ -480,8 +523,17 @@ def links(
         return first
     known = classes.join(label, F.col("rep") == F.col("id"), "left").select("rep", "fp", F.coalesce("component", "rep").alias("label"))
     open_rows = [x.join(again, "node", "left_semi") for x in cold] + [_squared(x.join(again, "node", "left_semi"), group_limit) for x in leaves]
-    crossing = [grouped(aligned(x).join(known, "rep"), ["rep", "fp", "label"], lambda g: g.crossing(sure, budget), "src bigint, dst bigint, bits bigint") for x in open_rows]
-    return first.unionByName(decided(reduce(DataFrame.unionByName, crossing)))
+    schema = f"src bigint, dst bigint, {_OPEN_SCHEMA}"
+    crossing = [grouped(aligned(x).join(known, "rep"), ["rep", "fp", "label"], lambda g: g.crossing(sure, budget, lane_budget, lane_bits), schema) for x in open_rows]
+    crossing = written(reduce(DataFrame.unionByName, crossing))
+    more = crossing.where("src is not null").select("src", "dst")
+    if confirm is None:
+        return first.unionByName(more)
+    undecided = crossing.where("src is null").select(*_OPEN)
+    held = undecided.join(confirm.sets(undecided.select("rep").distinct()), "rep")
+    similarity = confirm.similarity
+    last = grouped(held, ["rep", "fp", "label", "shingles"], lambda g: g.crossing(sure, budget, lane_budget, lane_bits, similarity), schema, min(group_limit, SET_ROWS))
+    return first.unionByName(more).unionByName(last.select("src", "dst"))
 
 
 def _sets(shingle: int):
@@ -517,17 +569,22 @@ def _alike(similarity: float):
                     sets[one[i]] = values[bounds[i] : bounds[i + 1]]
                     continue
                 x, y = sets.get(one[i]), sets.get(two[i])
-                if x is None or y is None or min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= similarity * (len(x) + len(y) - both) - 1e-9:
+                if x is not None and y is not None and _similar(x, y, similarity):
                     kept.append((int(one[i]), int(two[i])))
             yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in kept], pa.int64()) for j in (0, 1)], names=["src", "dst"])
 
     return rows
 
 
-def _jaccard(classes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> Callable[[DataFrame], DataFrame]:
+def _possible(rows: DataFrame, keys: DataFrame, key: str, n_keys: int) -> DataFrame:
+    """``rows`` without most of those whose key isn't among ``keys``, by a Bloom filter, so that few of them are shuffled to a join."""
+    blocks = seen.blocks_for(n_keys)
+    if blocks > seen.MOST_BLOCKS:
+        return rows
+    return seen.marked(rows, seen.seen_filter(keys, key, blocks), key, blocks).where("possible").select(*rows.columns)
+
+
+class _Jaccard:
     """Keeps the pairs of classes whose shingle sets have a Jaccard similarity of ``similarity`` or more.
 
     Classes are dealt to blocks of about BLOCK_SETS, and pairs to pairs of blocks:
@@ -535,20 +592,34 @@ def _jaccard(classes: DataFrame, texts: DataFrame, shingle: int, similarity: flo
     task holds the sets of two blocks.
     """
 
-    def confirm(pairs: DataFrame) -> DataFrame:
+    def __init__(self, classes: DataFrame, texts: DataFrame, shingle: int, similarity: float):
+        self.classes, self.texts, self.shingle, self.similarity = classes, texts, shingle, similarity
+
+    def _wanted(self, reps: DataFrame) -> DataFrame:
+        return written(self.classes.join(reps, "rep", "left_semi").select("rep", "sid"))
+
+    def _sets(self, wanted: DataFrame, n: int) -> DataFrame:
+        texts = _possible(self.texts, wanted.select(F.col("rep").alias("id")), "id", n)
+        found = texts.join(wanted, F.col("id") == F.col("rep")).select("rep", "sid", "text").mapInArrow(_sets(self.shingle), "rep bigint, shingles array<bigint>")
+        return found.dropDuplicates(["rep"])
+
+    def sets(self, reps: DataFrame) -> DataFrame:
+        """(rep, shingles) of the classes ``reps``."""
+        wanted = self._wanted(reps)
+        return self._sets(wanted, wanted.count())
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
         pairs = written(pairs.distinct())
-        wanted = written(classes.join(pairs.select(F.col("src").alias("rep")).unionByName(pairs.select(F.col("dst").alias("rep"))).distinct(), "rep", "left_semi").select("rep", "sid"))
-        blocks = -(-wanted.count() // BLOCK_SETS) or 1
-        of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-        keyed = pairs.withColumn("block", of("src") * blocks + of("dst"))
+        wanted = self._wanted(pairs.select(F.col("src").alias("rep")).unionByName(pairs.select(F.col("dst").alias("rep"))).distinct())
+        count = wanted.count()
+        blocks = -(-count // BLOCK_SETS) or 1
+        one, two = (F.pmod(F.xxhash64(c), F.lit(blocks)) for c in ("src", "dst"))
+        keyed = pairs.withColumn("block", F.least(one, two) * blocks + F.greatest(one, two))  # whichever of a pair comes first
         needed = keyed.select("block", F.col("src").alias("rep")).unionByName(keyed.select("block", F.col("dst").alias("rep"))).distinct()
-        found = texts.join(wanted, F.col("id") == F.col("rep")).select("rep", "sid", "text").mapInArrow(_sets(shingle), "rep bigint, shingles array<bigint>")
-        sets = needed.join(found.dropDuplicates(["rep"]), "rep").select("block", F.lit(0).alias("kind"), F.col("rep").alias("a"), F.lit(None).cast("bigint").alias("b"), "shingles")
+        sets = needed.join(self._sets(wanted, count), "rep").select("block", F.lit(0).alias("kind"), F.col("rep").alias("a"), F.lit(None).cast("bigint").alias("b"), "shingles")
         rows = sets.unionByName(keyed.select("block", F.lit(1).alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(None).cast("array<bigint>").alias("shingles")))
         n = shuffle_partitions(pairs.sparkSession)
-        return rows.repartition(n, "block").sortWithinPartitions("block", "kind").mapInArrow(_alike(similarity), "src bigint, dst bigint")
-
-    return confirm
+        return rows.repartition(n, "block").sortWithinPartitions("block", "kind").mapInArrow(_alike(self.similarity), "src bigint, dst bigint")
 
 
 def near_duplicates(
@@ -582,7 +653,7 @@ def near_duplicates(
         classes = written(least.select("fp", F.col("x.id").alias("rep"), F.col("x.sid").alias("sid")))
         texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
         sure, far = similarity_bits(similarity, width)
-        edges = links(classes.select("rep", "fp"), width, far, lane_bits or width, lane_budget, parts, group_limit, sure=sure, confirm=_jaccard(classes, texts, shingle, similarity))
+        edges = links(classes.select("rep", "fp"), width, far, lane_bits or width, lane_budget, parts, group_limit, sure=sure, confirm=_Jaccard(classes, texts, shingle, similarity))
     else:
         classes = written(named.groupBy("fp").agg(F.min("id").alias("rep")))
         edges = links(classes, width, budget, lane_bits or width, lane_budget, parts, group_limit)
@@ -626,12 +697,26 @@ def keep_one(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     keyed = docs.where("doc_id is not null").withColumn(key, row_key())
     near = near_duplicates(keyed, id_col=key, similarity=similarity, **SIMILAR)
     named = keyed.groupBy(key).agg(F.min("doc_id").alias("place"), F.count("*").alias("n"))
-    groups = near.select(F.col("id").alias(key), "component_id").distinct().join(named, key).groupBy("component_id")
-    kept = written(groups.agg(F.min(F.struct("place", key, "n")).alias("x")).select(f"x.{key}", F.col("x.n").alias("n_rows")))
-    # texts are shuffled only for rows that repeat
-    once = keyed.join(kept.where("n_rows = 1").select(key), key, "left_semi")
-    again = keyed.join(kept.where("n_rows > 1").select(key), key, "left_semi").dropDuplicates([key])
-    return once.unionByName(again).select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where("doc_id is null"))
+    members = near.select(F.col("id").alias(key), "component_id").distinct().join(named, key)
+    firsts = members.groupBy("component_id").agg(F.min(F.struct("place", key)).alias("x"), F.sum("n").alias("rows")).where("rows > 1")
+    firsts = firsts.select("component_id", F.col(f"x.{key}").alias("first"))
+    # keys of rows that go, and of rows that repeat and stay once
+    marked = members.join(firsts, "component_id").where((F.col(key) != F.col("first")) | (F.col("n") > 1)).select(key, (F.col(key) == F.col("first")).alias("again"))
+    marked = written(marked)
+    return _without(docs, key, marked).unionByName(docs.where("doc_id is null"))
+
+
+def _without(docs: DataFrame, key: str, marked: DataFrame) -> DataFrame:
+    """Rows of a doc_id without those whose key is ``marked``, one row a key where ``again``. Texts are shuffled for marked rows and a few others only."""
+    rows = docs.where("doc_id is not null").select(F.struct("*").alias("row"), row_key().alias(key))
+    blocks = seen.blocks_for(marked.count())
+    clear, doubtful = None, rows
+    if blocks <= seen.MOST_BLOCKS:
+        met = seen.marked(rows, seen.seen_filter(marked, key, blocks), key, blocks)
+        clear, doubtful = met.where("not possible").drop("possible"), met.where("possible").drop("possible")
+    doubtful = doubtful.join(marked, key, "left")
+    kept = [doubtful.where("again is null").select("row", key), doubtful.where("again").dropDuplicates([key]).select("row", key)]
+    return reduce(DataFrame.unionByName, [*([clear] if clear is not None else []), *kept]).select("row.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -124,6 +125,32 @@ def test_a_few_strangers_in_a_large_group(spark, limit):
     assert {r.id: r.component for r in found} == lane_components(keys, 5, 2)
 
 
+def test_a_group_read_again_hands_on_rows_not_pairs():
+    """Of members that are all unsure of each other, rows grow with the members, and sets decide in the task."""
+    rng = random.Random(8)
+    lane = rng.getrandbits(32)
+    n = 60
+    keys = [lane << 96 | rng.getrandbits(96) for _ in range(n)]
+    rows = pd.DataFrame({"node": "0.0.1", "side": 0, "rest": 7, "errors": 0, "rep": range(n), "fp": [k.to_bytes(16, "big") for k in keys], "label": range(n)})
+    again = S._Groups(rows, 22, 2).crossing(0, 128, 2, 32)
+    assert again["src"].isna().all() and sorted(again["rep"]) == list(range(n))
+    big = 1 << 62
+    sets = [np.arange(10, dtype=np.int64) + big + 100 * (i // 20) for i in range(n)]
+    done = S._Groups(again.drop(columns=["src", "dst"]).astype({c: "int64" for c in ("rest", "rep", "label")}).assign(shingles=sets), 22, 2).crossing(0, 128, 2, 32, 0.8)
+    assert len(done) == n - 3 and done["node"].isna().all()
+    label = S.forest(n, done["src"].to_numpy(np.int64), done["dst"].to_numpy(np.int64))
+    assert label.tolist() == [i // 20 * 20 for i in range(n)]
+
+
+def test_marked_rows_go_or_stay_once(spark):
+    """Rows of marked keys go, or stay once; all others stay, and columns of any name do no harm."""
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit(1).alias("row"))
+    marked = rows.where("doc_id % 40 = 0").select(S.row_key().alias("row_key"), (F.col("doc_id") % 80 == 0).alias("again"))
+    twice = rows.unionByName(rows.where("doc_id = 80"))
+    kept = S._without(twice, "row_key", marked)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(4000) if i % 40 or i % 80 == 0] and kept.columns == rows.columns
+
+
 def test_walk_finds_each_pair_once():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 1 << 10, 300, dtype=np.uint64))
