@@ -55,7 +55,7 @@ from .components import components
 GROUP_LIMIT = 50_000
 #: Shingle sets that one side of a block of pairs has.
 BLOCK_SETS = 500
-#: Rows with shingle sets that a task gathers before it looks at their groups.
+#: Rows of groups that are read again, with fingerprints or shingle sets, that a task gathers before it looks at them.
 SET_ROWS = 4_000
 #: Shingles that are summed at once.
 _CHUNK = 1 << 13
@@ -297,7 +297,7 @@ class _Groups:
                 bits = np.bitwise_count(wide[u].view(np.uint64) ^ wide[v].view(np.uint64)).sum(axis=1)
                 u, v, bits = (x[bits <= far] for x in (u, v, bits))
                 # a pair meets in several lanes: where it isn't met in its first one, the group there has it in one component or tried
-                lanes = np.bitwise_count(wide[u] ^ wide[v]).reshape(len(u), wide.shape[1] * 8 // lane_bits, lane_bits // 8).sum(axis=2) <= budget
+                lanes = np.bitwise_count(wide[u] ^ wide[v]).reshape(len(u), wide.shape[1] * 8 // lane_bits, lane_bits // 8).sum(axis=2, dtype=np.uint16) <= budget
                 here = lanes.argmax(axis=1) == lane[u]
                 yield u[here], v[here], bits[here]
 
@@ -337,13 +337,13 @@ class _Groups:
         return pd.concat([x.reindex(columns=columns).astype(whole) for x in made if len(x)] or [pd.DataFrame(columns=columns).astype(whole)])
 
     def _blocks_of(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Row pairs of the parts a and b, about a quarter of a million at a time."""
+        """Row pairs of the parts a and b, about 32,000 at a time."""
         u, k = T.ranges(starts[a], sizes[a]), np.repeat(np.arange(len(a)), sizes[a])
         each = sizes[b[k]]
         total = np.cumsum(each)
         low = 0
         while low < len(u):
-            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 18), "right")))
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 15), "right")))
             yield np.repeat(u[low:high], each[low:high]), T.ranges(starts[b[k[low:high]]], each[low:high])
             low = high
 
@@ -523,8 +523,8 @@ def links(
         return first
     known = classes.join(label, F.col("rep") == F.col("id"), "left").select("rep", "fp", F.coalesce("component", "rep").alias("label"))
     open_rows = [x.join(again, "node", "left_semi") for x in cold] + [_squared(x.join(again, "node", "left_semi"), group_limit) for x in leaves]
-    schema = f"src bigint, dst bigint, {_OPEN_SCHEMA}"
-    crossing = [grouped(aligned(x).join(known, "rep"), ["rep", "fp", "label"], lambda g: g.crossing(sure, budget, lane_budget, lane_bits), schema) for x in open_rows]
+    schema, few = f"src bigint, dst bigint, {_OPEN_SCHEMA}", min(group_limit, SET_ROWS)
+    crossing = [grouped(aligned(x).join(known, "rep"), ["rep", "fp", "label"], lambda g: g.crossing(sure, budget, lane_budget, lane_bits), schema, few) for x in open_rows]
     crossing = written(reduce(DataFrame.unionByName, crossing))
     more = crossing.where("src is not null").select("src", "dst")
     if confirm is None:
@@ -532,7 +532,7 @@ def links(
     undecided = crossing.where("src is null").select(*_OPEN)
     held = undecided.join(confirm.sets(undecided.select("rep").distinct()), "rep")
     similarity = confirm.similarity
-    last = grouped(held, ["rep", "fp", "label", "shingles"], lambda g: g.crossing(sure, budget, lane_budget, lane_bits, similarity), schema, min(group_limit, SET_ROWS))
+    last = grouped(held, ["rep", "fp", "label", "shingles"], lambda g: g.crossing(sure, budget, lane_budget, lane_bits, similarity), schema, few)
     return first.unionByName(more).unionByName(last.select("src", "dst"))
 
 
