@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import discard, read_again, row_key, shared_dir, unused, written
+from ._shared import discard, read_again, row_key, shared_dir, small_batches, unused, written
 
 #: Words of test items that go to the executors in one pass; a larger set takes more passes.
 PACK_WORDS = 2_000_000
@@ -43,6 +43,9 @@ PACK_WORDS = 2_000_000
 #: Words beyond a window's own within which its words are near each other.
 SLOP = 2
 
+#: Bytes of a row group of the index; a row is looked at whole, and so few rows are held at once.
+_GROUP = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
 _INDEX = "block bigint, doc_ids array<bigint>, doc_starts array<int>, terms array<bigint>, term_starts array<int>, postings array<int>"
 _HITS = "block bigint, place int, doc_id bigint, n_words bigint, spans array<struct<first:int,last:int>>, items array<string>, near array<string>"
 
@@ -78,7 +81,8 @@ def build_index(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/index-{uuid.uuid4().hex}.parquet"
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows.mapInArrow(_index_rows, _INDEX).write.parquet(path)
+    with small_batches(spark):
+        rows.mapInArrow(_index_rows, _INDEX).write.options(**_GROUP).parquet(path)
     return read_again(spark, path, _INDEX)
 
 
@@ -204,6 +208,20 @@ def _searcher(items: Broadcast, window: int, slop: int | None):
     return search_rows
 
 
+def _packs(items: DataFrame, item_col: str, text_col: str, pack_words: int) -> Iterator[tuple[int, int, Broadcast]]:
+    """(number, packs, items sent to the executors) of each pack, which goes once its turn is over."""
+    tests = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    words = tests.agg(F.sum(F.length("text"))).first()[0] or 0
+    packs = max(1, -(-int(words) // (pack_words * 4)))
+    for p in range(packs):
+        chosen = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(packs)) == p).sort("item", "text")
+        pack = items.sparkSession.sparkContext.broadcast([(r.item, r.text) for r in chosen.toLocalIterator()])
+        try:
+            yield p, packs, pack
+        finally:
+            pack.destroy()
+
+
 def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int | None = None, item_col: str = "item_id", text_col: str = "text", pack_words: int = PACK_WORDS) -> DataFrame:
     """Exact phrase matches, and with ``slop`` proximity matches, of the items' windows in the index.
 
@@ -214,19 +232,13 @@ def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int | Non
     ``pack_words`` words, one pass over the index each, so that what is sent has
     a bound; a usual benchmark is one pack.
     """
-    spark = index.sparkSession
-    tests = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    words = tests.agg(F.sum(F.length("text"))).first()[0] or 0
-    packs = max(1, -(-int(words) // (pack_words * 4)))
     passes = None
-    for p in range(packs):
-        chosen = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(packs)) == p).sort("item", "text")
-        pack = spark.sparkContext.broadcast([(r.item, r.text) for r in chosen.toLocalIterator()])
+    for p, packs, pack in _packs(items, item_col, text_col, pack_words):
         found = index.mapInArrow(_searcher(pack, window, slop), _HITS)
+        with small_batches(index.sparkSession):
+            found = written(found.where((F.lit(p) == 0) | (F.size("items") > 0) | (F.size("near") > 0)))
         if packs == 1:
             return found.drop("block", "place")
-        found = written(found.where((F.lit(p) == 0) | (F.size("items") > 0) | (F.size("near") > 0)))
-        pack.destroy()
         passes = found if passes is None else passes.unionByName(found)
     lists = [F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("spans", "items", "near")]
     merged = passes.groupBy("block", "place").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *lists)
@@ -273,7 +285,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    return report(search(build_index(docs), items, window=10, slop=SLOP))
+    index = build_index(docs)
+    hits = search(index, items, window=10, slop=SLOP)
+    discard(index)
+    return report(hits)
 
 
 ORACLE = """

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sievewright.llm import decontam as D
@@ -107,3 +108,16 @@ def test_rows_that_share_an_id_are_judged_each(spark):
     kept = D.decontaminate(docs, spark.createDataFrame([(1, leak)], "item_id bigint, text string"))
     assert kept.columns == docs.columns
     assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("1", "another text"), ("2", "None"), ("None", "clean text")]
+
+
+def test_the_index_has_small_row_groups_and_batches_are_set_back(spark, tmp_path):
+    rng = random.Random(5)
+    docs = [(d, " ".join("%x" % rng.getrandbits(30) for _ in range(250_000))) for d in range(8)]
+    held = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    index = D.build_index(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1), f"{tmp_path}/index")
+    (file,) = (pq.ParquetFile(x) for x in tmp_path.glob("index/*.parquet"))
+    assert max(file.metadata.row_group(i).total_byte_size for i in range(file.num_row_groups)) < 16 << 20
+    items = [(d, " ".join(text.split(" ")[100:110])) for d, text in docs]
+    got = D.search(index, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert [(r.doc_id, r["items"], [tuple(x) for x in r.spans]) for r in sorted(got)] == [(d, [str(d)], [(100, 110)]) for d, _ in docs]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == held
