@@ -30,10 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import seen
 from . import _text as T
 from ._shared import discard, read_again, row_key, shared_dir, small_batches, unused, written
 
@@ -276,11 +278,37 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     """
     key = unused(docs, "row_key")
     keyed = docs.withColumn(key, row_key())
-    # written first, so that its size is known and texts are shuffled only where it is too large to be sent
-    index = build_index(keyed, id_col=key)
-    bad = written(search(index, items, window).where(F.size("spans") > 0).select(F.col("doc_id").alias(key)).distinct())
-    discard(index)
-    return keyed.join(bad, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    bad = leaked(keyed, items, window, key)
+    # rows that can't be among them stay where they are: texts are shuffled for a few rows, however many hold a window
+    blocks = seen.blocks_for(bad.count())
+    if blocks > seen.MOST_BLOCKS:
+        return keyed.join(bad, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = keyed.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).alias("key"))
+    met = seen.marked(rows, seen.seen_filter(bad, key, blocks), "key", blocks)
+    # an anti join would be moved ahead of the filter
+    doubtful = met.where("possible").join(bad.select(F.col(key).alias("key"), F.lit(True).alias("gone")), "key", "left").where("gone is null")
+    return met.where("not possible").select("row.*").unionByName(doubtful.select("row.*"))
+
+
+def leaked(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ids of documents that hold a window of an item, once each. Each block's index is searched where it is made and not stored."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = None
+    for _, _, pack in _packs(items, "item_id", "text", PACK_WORDS):
+        with small_batches(docs.sparkSession):
+            hits = written(rows.mapInArrow(_leak_rows(pack, window), "doc_id bigint"))
+        found = hits if found is None else found.unionByName(hits)
+    return written(found.select(F.col("doc_id").alias(id_col)).distinct())
+
+
+def _leak_rows(items: Broadcast, window: int):
+    search_rows = _searcher(items, window, None)
+
+    def leak_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hits in search_rows(_index_rows(batches)):
+            yield hits.filter(pc.greater(pc.list_value_length(hits.column("spans")), 0)).select(["doc_id"])
+
+    return leak_rows
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

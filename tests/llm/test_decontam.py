@@ -121,3 +121,16 @@ def test_the_index_has_small_row_groups_and_batches_are_set_back(spark, tmp_path
     got = D.search(index, spark.createDataFrame(items, "item_id bigint, text string")).collect()
     assert [(r.doc_id, r["items"], [tuple(x) for x in r.spans]) for r in sorted(got)] == [(d, [str(d)], [(100, 110)]) for d, _ in docs]
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == held
+
+
+def test_decontaminate_stores_no_index_and_moves_few_texts(spark, monkeypatch):
+    docs, items = make()
+    many = [(d + 1000 * k, text) for k in range(20) for d, text in docs if d is not None]
+    monkeypatch.setattr(D, "build_index", None)
+    monkeypatch.setattr(D, "PACK_WORDS", 20)
+    got = D.decontaminate(spark.createDataFrame(many, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    bad = {(d, x) for (d, x), hit in zip(many, [b[5] for b in brute(docs, items) if b[0] is not None] * 20, strict=True) if hit}
+    assert 0 < len(bad) < len(many)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted((x for x in many if x not in bad), key=key)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "_words" in plan[plan.index("Join LeftOuter") :]  # texts pass the filter ahead of the join
